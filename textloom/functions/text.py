@@ -14,6 +14,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # The code points Python's str.strip()/str.isspace()/re "\s"
@@ -67,7 +68,7 @@ def is_ascii(col) -> Column:
 
 
 # --------------------------------------------------------------------------- NFC
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _nfc_arrow(s: pa.Array) -> pa.Array:
     norm = unicodedata.normalize
     isn = unicodedata.is_normalized
@@ -88,7 +89,7 @@ def doc_hash(col) -> Column:
 
 
 # --------------------------------------------------------------------------- HTML entities
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _unescape_arrow(s: pa.Array) -> pa.Array:
     un = html.unescape
     return pa.array([None if x is None else un(x) for x in s.to_pylist()], type=pa.string())
