@@ -107,11 +107,17 @@ def format_size(col) -> Column:
     """1024 ladder B/KB/MB/GB/TB with two decimals; TB is uncapped."""
     b = _c(col).cast("double")
     k = F.lit(1024.0)
-    return (F.when(b < k, F.format_string("%.2f B", b))
-            .when(b < k ** 2, F.format_string("%.2f KB", b / k))
-            .when(b < k ** 3, F.format_string("%.2f MB", b / k ** 2))
-            .when(b < k ** 4, F.format_string("%.2f GB", b / k ** 3))
-            .otherwise(F.format_string("%.2f TB", b / k ** 4)))
+
+    def fmt(x, unit):
+        # bytes / 1024^k is dyadic, so its decimal form is exact: HALF_EVEN
+        # first gives Python's rounding of exact ties (Java's %.2f rounds up).
+        return F.format_string(f"%.2f {unit}", F.bround(x, 2))
+
+    return (F.when(b < k, fmt(b, "B"))
+            .when(b < k ** 2, fmt(b / k, "KB"))
+            .when(b < k ** 3, fmt(b / k ** 2, "MB"))
+            .when(b < k ** 4, fmt(b / k ** 3, "GB"))
+            .otherwise(fmt(b / k ** 4, "TB")))
 
 
 def perplexity(loss) -> Column:
