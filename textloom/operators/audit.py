@@ -35,7 +35,8 @@ def token_audit(counts: DataFrame, registry: DataFrame, budget: int = TOKEN_BUDG
            .withColumn("enough_for_budget", F.col("effective_tokens_with_weights") >= F.lit(budget))
            .withColumn("budget_gap_or_surplus", F.col("effective_tokens_with_weights") - F.lit(budget)))
     # one-row totals attached to every source row (a broadcast of one row)
-    return per.join(F.broadcast(tot), how="left", on=F.lit(True))
+    return (per.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
+            .drop("_k"))
 
 
 def step_budget(budget_tokens, batch: int = BATCH_PER_DEVICE, accum: int = GRAD_ACCUM,
