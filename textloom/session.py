@@ -30,6 +30,7 @@ def get_spark(master: str | None = None, app: str = "textloom",
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -54,3 +55,22 @@ def cut_lineage(df):
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``textloom`` importable in Python workers (executors): zip the
+    package once per process and register it with ``addPyFile``."""
+    sc = spark.sparkContext
+    key = id(sc)
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="textloom-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "textloom"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
