@@ -245,3 +245,20 @@ def clean_wikitext(col) -> Column:
                  cut_terminal, collapse_space):
         t = step(t)
     return t
+
+
+STEPS = (strip_comments, strip_ref_selfclosed, strip_ref_pairs, strip_open_tags,
+         strip_close_tags, strip_other_tags, strip_tables_templates, strip_orphan_rows,
+         resolve_links, resolve_external, strip_headers, strip_emphasis, strip_switches,
+         decode_entities, strip_lists, cut_terminal, collapse_space)
+
+
+def clean_wikitext_df(df, col: str, out: str = "clean"):
+    """P6 as a DataFrame transform: the same chain, each step written to a
+    column so that steps which read their input several times (the UDF guards,
+    line splitting) do not copy the whole preceding chain into the plan."""
+    tmp = "_wk"
+    d = df.withColumn(tmp, F.coalesce(F.col(col), F.lit("")))
+    for step in STEPS:
+        d = d.withColumn(tmp, step(F.col(tmp)))
+    return d.withColumnRenamed(tmp, out)

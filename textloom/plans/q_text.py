@@ -38,7 +38,8 @@ SELECT doc_id,
 FROM documents""")
 def clean_wikitext_injected(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", W.clean_wikitext(_inject_col()).alias("clean"))
+    return W.clean_wikitext_df(d.select("doc_id", _inject_col().alias("raw")), "raw", "clean") \
+            .select("doc_id", "clean")
 
 
 @register("wiki_url", """
