@@ -153,3 +153,8 @@ def extract_reply(text, prompt) -> Column:
     t, p = _c(text), _c(prompt)
     rest = F.substring(t, F.length(p) + 1, 1 << 30)
     return F.coalesce(F.nullif(ustrip(rest), F.lit("")), ustrip(t))
+
+
+def wrap_sample(col, prefix: str, eos: str) -> Column:
+    """``prefix + NFC(text) + eos`` for a training sample."""
+    return F.concat(F.lit(prefix), nfc(col), F.lit(eos))

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,12 +79,11 @@ def rebuild_paragraphs(text: Column, keep_idx: Column, sep: str, min_para_chars:
 
 def dedup_frame(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
                 min_para_chars: int = 50, min_doc_chars: int = 20) -> DataFrame:
-    """The full three-stage pipeline as one status relation.
+    """X4 working relation: every document with ``first_raw``, ``new_text``,
+    ``para_changed``, ``too_short`` and ``first_final`` (see ``dedup_status``).
 
     ``corpus``: ``(source, pos, text)`` (``source_rank`` optional; taken from
     the registry).  ``registry``: ``(source, source_rank, para_dedup, ...)``.
-    Returns ``(source, source_rank, pos, status, para_changed, text)`` where
-    ``text`` is the final (stripped, not NFC-normalised) text, null unless kept.
     """
     reg = registry.select("source", "source_rank", "para_dedup")
     base = (corpus.drop("source_rank").join(reg, "source")
@@ -93,6 +93,11 @@ def dedup_frame(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
     raw = base.filter(F.col("text") != "").select(doc_hash("text").alias("h"), *KEY)
     w1 = first_by_order(raw, "h", KEY, "first_raw")
     s1 = base.join(w1, KEY, "left").withColumn("first_raw", F.coalesce("first_raw", F.lit(False)))
+    # Stage 1 feeds three branches with different columns, which Spark cannot
+    # serve from one exchange; keep it (text hash-partitioned by KEY) so the
+    # text is scanned, joined and shuffled once.  Memory-and-disk, and the
+    # lineage is deterministic, so a lost block is recomputed identically.
+    s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
 
     # Stage 2: per-source paragraph dedup over stage-1 survivors.
     survivors = s1.filter(F.col("first_raw") & F.col("para_dedup"))
@@ -189,3 +194,19 @@ def min_chars(df: DataFrame, col: str = "text", n: int = 20) -> DataFrame:
 def drop_empty(df: DataFrame, col: str = "text") -> DataFrame:
     """drop null/'' text (whitespace-only is not empty here)."""
     return df.filter(F.coalesce(F.col(col), F.lit("")) != "")
+
+
+def summary(report: DataFrame, totals: DataFrame) -> DataFrame:
+    """A5: human-readable summary lines (thousands separators, percent with one
+    decimal): one line per source, then the total line."""
+    def line(name, orig, kept, removed, rate):
+        return F.format_string("%s %s -> %s  (-%s, %s%%)", name,
+                               F.format_number(orig, 0), F.format_number(kept, 0),
+                               F.format_number(removed, 0), F.format_number(F.bround(rate * 100, 1), 1))
+    per = report.select(F.col("source_rank").alias("_o"),
+                        line(F.col("source"), F.col("original_docs"), F.col("deduped_docs"),
+                             F.col("removed_docs"), F.col("duplicate_rate")).alias("line"))
+    tot = totals.select(F.lit(1 << 30).alias("_o"),
+                        line(F.lit("TOTAL"), F.col("total_original_docs"), F.col("total_deduped_docs"),
+                             F.col("total_removed_docs"), F.col("duplicate_rate")).alias("line"))
+    return per.unionByName(tot)

@@ -97,3 +97,10 @@ def block_stats(blocks: DataFrame, block: int, split_col: str = "split") -> Data
     """Blocks per split and the (over-counting) blocks*block token total."""
     return blocks.groupBy(split_col).agg(F.count(F.lit(1)).alias("blocks")) \
                  .withColumn("tokens", F.col("blocks") * F.lit(block))
+
+
+def tokenize(df: DataFrame, merges: DataFrame, key: list[str], eos_id: int = 0,
+             text: str = "text") -> DataFrame:
+    """NFC, BPE-encode (distinct pre-tokens once), append EOS per document."""
+    from .bpe import encode
+    return encode(df, merges, key, text).withColumn("ids", append_eos(F.col("ids"), eos_id))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS_CODEPOINTS
 from ..session import ship_package
+from ..sources.corpus import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,7 +36,7 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # ----------------------------------------------------------------- SQL helpers

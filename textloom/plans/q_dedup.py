@@ -102,3 +102,10 @@ SELECT count(*)::BIGINT AS total_original_docs,
 FROM status""")
 def dedup_totals_q(spark, sf_dir):
     return D.dedup_totals(_status(spark, sf_dir))
+
+
+@register("dedup_summary")
+def dedup_summary(spark, sf_dir):
+    """A5 text lines over the report and totals."""
+    st = _status(spark, sf_dir)
+    return D.summary(D.dedup_report(st, fixture_registry(spark)), D.dedup_totals(st))

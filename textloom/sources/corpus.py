@@ -87,10 +87,22 @@ def read_corpus(spark: SparkSession, paths: Sequence[str], text_col: str = "text
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Text work is CPU-heavy per row.  When the input has fewer files than the
+    cluster has task slots (a small single-file table), the scan yields too few
+    useful tasks, so rows are redistributed round-robin once.  Large inputs
+    (many files) are left alone: their scan is already parallel and a
+    repartition would only add a full shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < slots:
+        return df.repartition(slots)
+    return df
+
+
 def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's ``documents`` table as a corpus: order = doc_id."""
     reg = fixture_registry(spark).select("source", "source_rank")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return (docs.select("source", F.col("doc_id").cast("long").alias("pos"),
-                        F.coalesce("text", F.lit("")).alias("text"))
-            .join(reg, "source"))
+    docs = spread(docs.select("source", F.col("doc_id").cast("long").alias("pos"),
+                              F.coalesce("text", F.lit("")).alias("text")))
+    return docs.join(reg, "source")

@@ -56,9 +56,13 @@ def valid_rows(df: DataFrame) -> DataFrame:
 
 
 def ingest_counts(df: DataFrame) -> DataFrame:
-    """Non-blank lines read vs kept (valid)."""
-    return df.agg(F.count(F.lit(1)).alias("total"),
-                  F.count_if(F.col(CORRUPT).isNull()).alias("kept"))
+    """Non-blank lines read vs kept (valid).  Spark refuses a JSON scan
+    that requires only the corrupt-record column, so a two-column projection
+    (the flag and one field) is persisted first, as Spark recommends."""
+    first = [c for c in df.columns if c != CORRUPT][0]
+    flags = df.select(CORRUPT, first).persist()
+    return flags.agg(F.count(F.lit(1)).alias("total"),
+                     F.count_if(F.col(CORRUPT).isNull()).alias("kept"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
