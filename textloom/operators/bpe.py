@@ -226,17 +226,23 @@ def token_counts(df: DataFrame, merges: DataFrame, group: list[str], text: str =
 
 
 # --------------------------------------------------------------------------- T6 / T7
+@F.arrow_udf(T.StringType())
+def _utf8_replace(b: pa.Array) -> pa.Array:
+    """Bytes -> text, invalid UTF-8 replaced by U+FFFD (Python's rules)."""
+    return pa.array([None if x is None else x.decode("utf-8", "replace") for x in b.to_pylist()],
+                    type=pa.string())
+
 def decode(df: DataFrame, voc: DataFrame, ids: str = "ids", key: list[str] = (),
            skip_special: bool = False) -> DataFrame:
     """Ids -> text (invalid UTF-8 -> U+FFFD).  The vocabulary join is a
     broadcast of a table bounded by the vocabulary size."""
-    ex = df.select(*key, F.posexplode(ids).alias("k", "id"))
+    ex = df.select(*key, F.posexplode(ids).alias("_i", "_id"))
     if skip_special:
-        ex = ex.filter(F.col("id") != 0)
-    j = ex.join(F.broadcast(voc), "id")
-    g = j.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("k", "hex"))).alias("_p"))
+        ex = ex.filter(F.col("_id") != 0)
+    j = ex.join(F.broadcast(voc.withColumnRenamed("id", "_id")), "_id")
+    g = j.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_i", "hex"))).alias("_p"))
     hx = F.array_join(F.transform("_p", lambda x: x["hex"]), "")
-    out = g.select(*key, F.decode(F.unhex(hx), "UTF-8").alias("decoded"))
+    out = g.select(*key, _utf8_replace(F.unhex(hx)).alias("decoded"))
     # documents with no ids decode to ''
     return df.select(*key).join(out, list(key), "left").fillna("", ["decoded"])
 

@@ -74,7 +74,12 @@ def read_corpus(spark: SparkSession, paths: Sequence[str], text_col: str = "text
             # (file rank in path order) << 40 | row index inside the file.  The
             # file list is metadata (one entry per file), not data.
             files = sorted(df.inputFiles())
-            fmap = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i))])
+            jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+            keys = {}
+            for i, f in enumerate(files):      # as listed and as the scan reports it
+                keys[f] = i
+                keys[jpath(f).toString()] = i
+            fmap = F.create_map(*[x for k, i in keys.items() for x in (F.lit(k), F.lit(i))])
             pos = (F.element_at(fmap, F.col("_metadata.file_path")).cast("long") * F.lit(1 << 40)
                    + F.col("_metadata.row_index"))
         parts.append(df.select(F.lit(stem).alias("source"), F.lit(rank).alias("source_rank"),
