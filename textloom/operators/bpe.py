@@ -117,22 +117,26 @@ def learn_merges(counts: DataFrame, num_merges: int, min_frequency: int = 2,
     Returns ``merges(rank, left, right, id)`` (id = 257 + rank).  The special
     token is not split into bytes (it has its own id)."""
     spark = counts.sparkSession
+    # symbols as " id id id " strings: a merge is one native regexp_replace
+    # (left to right, non-overlapping: the look-ahead leaves the separator for
+    # the next match), and adjacent pairs come from one split.
     words = (counts.filter(F.col("word") != SPECIAL)
              .groupBy("word").agg(F.sum("n").cast("long").alias("n"))
-             .select(word_symbols(F.col("word")).alias("symbols"), "n"))
-    words = cut_lineage(words.groupBy("symbols").agg(F.sum("n").alias("n")))
+             .select(word_symbols(F.col("word")).alias("s"), "n")
+             .select(F.concat(F.lit(" "), F.array_join(F.col("s").cast("array<string>"), " "), F.lit(" "))
+                     .alias("sym"), "n"))
+    words = cut_lineage(words.groupBy("sym").agg(F.sum("n").alias("n")))
     merges, cached = [], None
     for rank in range(num_merges):
-        top = (pair_counts(words).filter(F.col("cnt") >= min_frequency)
+        syms = F.split(F.btrim(F.col("sym"), F.lit(" ")), " ").cast("array<int>").alias("symbols")
+        top = (pair_counts(words.select(syms, "n")).filter(F.col("cnt") >= min_frequency)
                .orderBy(F.col("cnt").desc(), "left", "right").limit(1).collect())
         if not top:
             break
         a, b = top[0]["left"], top[0]["right"]
         new = 257 + rank
         merges.append((rank, a, b, new))
-        has = F.exists("symbols", lambda x: x == F.lit(a)) & F.exists("symbols", lambda x: x == F.lit(b))
-        words = words.withColumn("symbols", F.when(has, merge_pair(F.col("symbols"), a, b, new))
-                                 .otherwise(F.col("symbols")))
+        words = words.withColumn("sym", F.regexp_replace("sym", f" {a} {b}(?= )", f" {new}"))
         if (rank + 1) % checkpoint_every == 0:
             words = cut_lineage(words)          # reliable: bounds recomputation
         else:
