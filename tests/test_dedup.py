@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from model import dedup_model
 from textloom.operators import dedup as D

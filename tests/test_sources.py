@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.operators import bpe as B
 from textloom.operators import dedup as D
 from textloom.sources import formats as S
-from textloom.sources.corpus import read_corpus, registry
+from textloom.sources.corpus import read_corpus
 
 
 def test_read_corpus_order_and_missing(spark):

@@ -3,7 +3,6 @@ counts and the weighted token audit of the deduplicated corpus."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import audit as A
 from ..operators import bpe as B

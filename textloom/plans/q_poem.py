@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import poem as PF
-from ..functions.text import WS, html_unescape, ustrip
+from ..functions.text import WS
 from ..operators import incremental as I
 from ..operators import poem as PO
-from .catalog import WS_SQL, register, sql_hash, sql_strip, table
+from .catalog import register, sql_hash, sql_strip, table
 
 RE2_WS = f"[{WS}]"
 
