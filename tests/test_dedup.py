@@ -105,3 +105,14 @@ def test_text_functions(spark):
     u = t.select(wiki_url("t")).collect()[0][0]
     from urllib.parse import quote
     assert u == "https://vi.wikipedia.org/wiki/" + quote("Việt_Nam/a:b~c*d+e%f", safe="/:")
+
+
+def test_summary_lines(spark):
+    rep = spark.createDataFrame([("s0", 0, 1234, 1000, 234, 0.1896)],
+                                "source string, source_rank int, original_docs long, deduped_docs long, "
+                                "removed_docs long, duplicate_rate double")
+    tot = spark.createDataFrame([(1234, 1000, 234, 0.1896)],
+                                "total_original_docs long, total_deduped_docs long, "
+                                "total_removed_docs long, duplicate_rate double")
+    lines = [r.line for r in D.summary(rep, tot).orderBy("_o").collect()]
+    assert lines == ["s0 1,234 -> 1,000  (-234, 19.0%)", "TOTAL 1,234 -> 1,000  (-234, 19.0%)"]

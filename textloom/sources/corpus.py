@@ -89,7 +89,8 @@ def read_corpus(spark: SparkSession, paths: Sequence[str], text_col: str = "text
     out = parts[0]
     for d in parts[1:]:
         out = out.unionByName(d)
-    return out
+    # pos is fixed from file metadata above, so redistributing is order-safe
+    return spread(out)
 
 
 def spread(df: DataFrame) -> DataFrame:
