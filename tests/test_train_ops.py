@@ -93,3 +93,22 @@ def test_validate_requests(spark):
     assert r[0].is_valid and r[0].max_new_tokens == 128 and r[0].temperature == 0.8
     assert r[1].reasons == ["empty_message", "bad_max_new_tokens", "bad_temperature"]
     assert r[2].reasons == ["message_too_long"]
+
+
+def test_training_mixture_split_first(spark):
+    from textloom.sources.corpus import registry
+    df = spark.createDataFrame([(f"s{i % 2}", i) for i in range(40)], "source string, pos long")
+    reg = registry(spark, ["s0", "s1"], {"s0": 3})
+    a = M.training_mixture(df, reg, 42, 0.1, ["source", "pos"])
+    assert a.count() == 20 * 3 + 20 and a.filter(F.col("split") == "eval").count() == 8
+    b = M.training_mixture(df, reg, 42, 0.1, ["source", "pos"], split_first=True)
+    ev = {(r.source, r.pos) for r in b.filter(F.col("split") == "eval").collect()}
+    tr = {(r.source, r.pos) for r in b.filter(F.col("split") == "train").collect()}
+    assert len(ev) == 4 and not (ev & tr) and b.count() == 80
+
+
+def test_documented_links(spark):
+    from textloom.functions import wiki as W
+    df = spark.createDataFrame([("[https://x.org label] [http://y.org]",)], "t string")
+    assert df.select(W.resolve_external("t")).collect()[0][0] == "//x.org label //y.org"
+    assert df.select(W.resolve_external("t", "documented")).collect()[0][0] == "label "

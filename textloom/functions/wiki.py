@@ -156,14 +156,24 @@ def strip_orphan_rows(col) -> Column:
     return F.regexp_replace(t, f"(?md)^{S}*\\| [^\\n]*\\n?", "")
 
 
-def resolve_external(col) -> Column:
-    """Five ordered single-bracket rules (the last two cannot fire because
-    the third already takes any lower-case ``scheme:rest``)."""
-    t = F.regexp_replace(_c(col), "\\[([a-z][a-z0-9_-]*):([^\\]|]*)\\|([^\\]]+)\\]", "$3")
-    t = F.regexp_replace(t, "\\[[a-z]{2}:[^\\]]+\\]", "")
-    t = F.regexp_replace(t, "\\[[a-z][a-z0-9_-]*:([^\\]]+)\\]", "$1")
-    t = F.regexp_replace(t, f"\\[https?://[^{WS}\\]]+{S}+([^\\]]+)\\]", "$1")
-    return F.regexp_replace(t, "\\[https?://[^\\]]+\\]", "")
+def resolve_external(col, links: str = "code") -> Column:
+    """Five ordered single-bracket rules.  ``links='code'`` (default) keeps
+    the original order, where the last two cannot fire because the third
+    already takes any lower-case ``scheme:rest`` (``[https://x lbl]`` becomes
+    ``//x lbl``).  ``links='documented'`` applies the two external-link rules
+    first, giving ``lbl`` and ``''`` as documented."""
+    interwiki_label = ("\\[([a-z][a-z0-9_-]*):([^\\]|]*)\\|([^\\]]+)\\]", "$3")
+    language = ("\\[[a-z]{2}:[^\\]]+\\]", "")
+    interwiki = ("\\[[a-z][a-z0-9_-]*:([^\\]]+)\\]", "$1")
+    ext_label = (f"\\[https?://[^{WS}\\]]+{S}+([^\\]]+)\\]", "$1")
+    ext_bare = ("\\[https?://[^\\]]+\\]", "")
+    rules = [interwiki_label, language, interwiki, ext_label, ext_bare]
+    if links == "documented":
+        rules = [ext_label, ext_bare, interwiki_label, language, interwiki]
+    t = _c(col)
+    for pat, rep in rules:
+        t = F.regexp_replace(t, pat, rep)
+    return t
 
 
 def strip_headers(col) -> Column:
@@ -234,16 +244,17 @@ def collapse_space(col) -> Column:
 
 
 # --------------------------------------------------------------------------- P6
-def clean_wikitext(col) -> Column:
+def clean_wikitext(col, links: str = "code") -> Column:
     """The whole chain in the reference order.  Null -> ''.  Rows that end
-    up empty are kept (empty string)."""
+    up empty are kept (empty string).  Prefer ``clean_wikitext_df`` for large
+    plans (it stages each step as a column)."""
     t = F.coalesce(_c(col), F.lit(""))
     for step in (strip_comments, strip_ref_selfclosed, strip_ref_pairs, strip_open_tags,
                  strip_close_tags, strip_other_tags, strip_tables_templates,
                  strip_orphan_rows, resolve_links, resolve_external, strip_headers,
                  strip_emphasis, strip_switches, decode_entities, strip_lists,
                  cut_terminal, collapse_space):
-        t = step(t)
+        t = resolve_external(t, links) if step is resolve_external else step(t)
     return t
 
 
@@ -253,12 +264,13 @@ STEPS = (strip_comments, strip_ref_selfclosed, strip_ref_pairs, strip_open_tags,
          decode_entities, strip_lists, cut_terminal, collapse_space)
 
 
-def clean_wikitext_df(df, col: str, out: str = "clean"):
+def clean_wikitext_df(df, col: str, out: str = "clean", links: str = "code"):
     """P6 as a DataFrame transform: the same chain, each step written to a
     column so that steps which read their input several times (the UDF guards,
     line splitting) do not copy the whole preceding chain into the plan."""
     tmp = "_wk"
     d = df.withColumn(tmp, F.coalesce(F.col(col), F.lit("")))
     for step in STEPS:
-        d = d.withColumn(tmp, step(F.col(tmp)))
+        c = resolve_external(F.col(tmp), links) if step is resolve_external else step(F.col(tmp))
+        d = d.withColumn(tmp, c)
     return d.withColumnRenamed(tmp, out)

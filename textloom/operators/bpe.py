@@ -220,13 +220,21 @@ def encode(df: DataFrame, merges: DataFrame, key: list[str], text: str = "text")
 
 
 # --------------------------------------------------------------------------- T5 / A3
-def token_counts(df: DataFrame, merges: DataFrame, group: list[str], text: str = "text") -> DataFrame:
-    """T5/A3: Σ tokens of NFC text per group (no EOS, no truncation) as
-    pre-token counts ⋈ encoded lengths of the distinct pre-tokens."""
+def token_counts(df: DataFrame, merges: DataFrame, group: list[str], text: str = "text",
+                 count_eos: bool = False) -> DataFrame:
+    """T5/A3: Σ tokens of NFC text per group (no truncation) as pre-token
+    counts ⋈ encoded lengths of the distinct pre-tokens.  The audit counts no
+    EOS (default); ``count_eos=True`` adds the one EOS per document that
+    training appends."""
     pc = pretoken_counts(df, text, tuple(group))
     lens = encode_words(pc.select("word").distinct(), merges).select("word", F.size("ids").alias("len"))
-    return (pc.join(lens, "word").groupBy(*group)
-            .agg(F.sum(F.col("n") * F.col("len")).cast("long").alias("tokens")))
+    out = (pc.join(lens, "word").groupBy(*group)
+           .agg(F.sum(F.col("n") * F.col("len")).cast("long").alias("tokens")))
+    if count_eos:
+        docs = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_d"))
+        out = (docs.join(out, list(group), "left")
+               .select(*group, (F.coalesce("tokens", F.lit(0)) + F.col("_d")).cast("long").alias("tokens")))
+    return out
 
 
 # --------------------------------------------------------------------------- T6 / T7

@@ -48,3 +48,19 @@ def split_exact(df: DataFrame, ratio: float, seed: int, keys: list[str],
     k = eval_size(n, ratio)
     idx = with_global_index(keyed, ["shuffle_key"], "g", materialize=materialize)
     return idx.withColumn(split_col, F.when(F.col("g") < k, "eval").otherwise("train"))
+
+
+def training_mixture(df: DataFrame, registry: DataFrame, seed: int, ratio: float,
+                     keys: list[str], split_first: bool = False) -> DataFrame:
+    """Weighted, shuffled, exactly split training mixture (G7 + O1 + O2).
+
+    Default (the original order): replicate by source weight, then shuffle and
+    split, so copies of one document can land in both train and eval.
+    ``split_first=True``: split the unique documents first, then replicate
+    inside each split (no document in both)."""
+    w = with_weight(df, registry)
+    if not split_first:
+        return split_exact(replicate(w), ratio, seed, keys + ["copy"])
+    s = split_exact(w, ratio, seed, keys)
+    return replicate(s.drop("g", "shuffle_key")).withColumn(
+        "shuffle_key", shuffle_key(seed, *keys, "copy"))
