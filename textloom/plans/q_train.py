@@ -297,3 +297,54 @@ FROM conversations""")
 def strip_generated_prefix(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", strip_prefix("text", "Ét").alias("stripped"))
+
+
+def _train_blocks_sql():
+    return f"""
+WITH sp AS ({_SPLIT_SQL}),
+k AS (SELECT count(*) AS k FROM sp WHERE split = 'eval'),
+s AS (SELECT sp.doc_id, sp.split, CASE WHEN split = 'eval' THEN g ELSE g - k.k END AS g FROM sp, k),
+d AS (SELECT s.split, s.g, list_append({_cp_sql('documents.text')}, {EOS_ID}) AS ids
+      FROM s JOIN documents USING (doc_id)),
+n AS (SELECT split, count(*) // {SHARDS} AS dv, count(*) % {SHARDS} AS md FROM d GROUP BY split),
+sb AS (
+  SELECT d.*, n.dv, n.md,
+         CASE WHEN g < (dv + 1) * md THEN g // (dv + 1) ELSE md + (g - (dv + 1) * md) // dv END AS shard
+  FROM d JOIN n USING (split)),
+sb2 AS (
+  SELECT *, (g - CASE WHEN shard < md THEN shard * (dv + 1) ELSE (dv + 1) * md + (shard - md) * dv END)
+            // {BATCH_DOCS} AS batch FROM sb),
+t AS (SELECT split, shard, batch, g, u.c, u.k FROM sb2, unnest(ids) WITH ORDINALITY AS u(c, k)),
+p AS (SELECT *, row_number() OVER (PARTITION BY split, shard, batch ORDER BY g, k) - 1 AS p,
+             count(*) OVER (PARTITION BY split, shard, batch) AS tot FROM t),
+kept AS (SELECT split, shard, batch, p // {BLOCK} AS block_idx FROM p
+         WHERE p < CASE WHEN tot >= {BLOCK} THEN tot // {BLOCK} * {BLOCK} ELSE tot END),
+b AS (SELECT split, shard, batch, block_idx, count(*) AS n_tokens FROM kept
+      GROUP BY split, shard, batch, block_idx)
+SELECT split, count(*)::BIGINT AS blocks, (count(*) * {BLOCK})::BIGINT AS tokens,
+       sum(n_tokens)::BIGINT AS real_tokens
+FROM b GROUP BY split"""
+
+
+@register("train_blocks", _train_blocks_sql())
+def train_blocks(spark, sf_dir):
+    """Stage-1 training-set build: weighted mixture -> seeded exact split ->
+    tokenise (code points + EOS) -> pack each split into 1024-token blocks ->
+    blocks per split (A8)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    s = M.training_mixture(d.select("doc_id", "source"), fixture_registry(spark), SEED, EVAL_RATIO,
+                           ["source", "doc_id"])
+    n_eval = s.filter(F.col("split") == "eval").count()
+    n_all = s.count()
+    s = s.withColumn("gs", F.when(F.col("split") == "eval", F.col("g")).otherwise(F.col("g") - n_eval))
+    s = s.join(d.select("doc_id", "text"), "doc_id")
+    s = s.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)).select("split", "gs", "ids")
+    parts = []
+    for name, n in (("eval", n_eval), ("train", n_all - n_eval)):
+        blocks = P.pack(s.filter(F.col("split") == name), "ids", "gs", n, BLOCK, BATCH_DOCS, SHARDS)
+        parts.append(blocks.withColumn("split", F.lit(name)))
+    blocks = parts[0].unionByName(parts[1])
+    stats = P.block_stats(blocks, BLOCK)
+    real = blocks.groupBy("split").agg(F.sum(F.size("input_ids")).cast("long").alias("real_tokens"))
+    return stats.join(real, "split").select("split", F.col("blocks").cast("long"),
+                                            F.col("tokens").cast("long"), "real_tokens")
