@@ -3,7 +3,7 @@ budget, step budget, metric-log perplexity, best/last checkpoint."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import perplexity
@@ -26,17 +26,16 @@ def token_audit(counts: DataFrame, registry: DataFrame, budget: int = TOKEN_BUDG
     per = (counts.join(w, "source", "left")
            .withColumn("weight", F.coalesce("_w", F.lit(1)).cast("long")).drop("_w")
            .withColumn("weighted_tokens", F.col("tokens") * F.col("weight")))
-    tot = per.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("long").alias("unique_tokens"),
-                  F.coalesce(F.sum("weighted_tokens"), F.lit(0)).cast("long")
-                  .alias("effective_tokens_with_weights"))
-    tot = (tot.withColumn("token_budget", F.lit(budget).cast("long"))
-           .withColumn("repeat_factor", F.when(F.col("unique_tokens") > 0,
-                                               F.bround(F.lit(float(budget)) / F.col("unique_tokens"), 2)))
-           .withColumn("enough_for_budget", F.col("effective_tokens_with_weights") >= F.lit(budget))
-           .withColumn("budget_gap_or_surplus", F.col("effective_tokens_with_weights") - F.lit(budget)))
-    # one-row totals attached to every source row (a broadcast of one row)
-    return (per.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-            .drop("_k"))
+    # ``per`` has one row per source (bounded by the registry), so the run-wide
+    # totals are a window over it: the counts are computed once, not per branch.
+    allw = Window.partitionBy()
+    out = (per.withColumn("unique_tokens", F.sum("tokens").over(allw).cast("long"))
+           .withColumn("effective_tokens_with_weights", F.sum("weighted_tokens").over(allw).cast("long")))
+    return (out.withColumn("token_budget", F.lit(budget).cast("long"))
+            .withColumn("repeat_factor", F.when(F.col("unique_tokens") > 0,
+                                                F.bround(F.lit(float(budget)) / F.col("unique_tokens"), 2)))
+            .withColumn("enough_for_budget", F.col("effective_tokens_with_weights") >= F.lit(budget))
+            .withColumn("budget_gap_or_surplus", F.col("effective_tokens_with_weights") - F.lit(budget)))
 
 
 def step_budget(budget_tokens, batch: int = BATCH_PER_DEVICE, accum: int = GRAD_ACCUM,

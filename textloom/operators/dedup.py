@@ -86,8 +86,12 @@ def dedup_frame(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
     the registry).  ``registry``: ``(source, source_rank, para_dedup, ...)``.
     """
     reg = registry.select("source", "source_rank", "para_dedup")
+    # The text is hash-partitioned on KEY once, up front: that is the partitioning
+    # the stage-1 join needs, both branches reuse the exchange, and hashing
+    # runs in parallel whatever the input file layout.
     base = (corpus.drop("source_rank").join(reg, "source")
-            .withColumn("text", F.coalesce("text", F.lit(""))))
+            .withColumn("text", F.coalesce("text", F.lit("")))
+            .repartition(*KEY))
 
     # Stage 1: global exact dedup on the raw text (empty rows never enter).
     raw = base.filter(F.col("text") != "").select(doc_hash("text").alias("h"), *KEY)

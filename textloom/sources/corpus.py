@@ -109,6 +109,7 @@ def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's ``documents`` table as a corpus: order = doc_id."""
     reg = fixture_registry(spark).select("source", "source_rank")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    docs = spread(docs.select("source", F.col("doc_id").cast("long").alias("pos"),
-                              F.coalesce("text", F.lit("")).alias("text")))
+    docs = docs.select("source", F.col("doc_id").cast("long").alias("pos"),
+                       F.coalesce("text", F.lit("")).alias("text"))
+    # no spread here: dedup hash-partitions the text on (source_rank, pos) itself
     return docs.join(reg, "source")
