@@ -44,10 +44,10 @@ def split_exact(df: DataFrame, ratio: float, seed: int, keys: list[str],
     the first ceil(ratio*n) are 'eval', the rest 'train'.  Adds ``shuffle_key``
     and the 0-based shuffle position ``g``."""
     keyed = df.withColumn("shuffle_key", shuffle_key(seed, *keys))
-    n = keyed.count()
-    k = eval_size(n, ratio)
-    idx = with_global_index(keyed, ["shuffle_key"], "g", materialize=materialize)
-    return idx.withColumn(split_col, F.when(F.col("g") < k, "eval").otherwise("train"))
+    idx = with_global_index(keyed, ["shuffle_key"], "g", materialize=materialize, total="_n")
+    # ceil(ratio * n) in double, n taken from the index's own count table
+    k = F.ceil(F.lit(float(ratio)) * F.col("_n").cast("double"))
+    return idx.withColumn(split_col, F.when(F.col("g") < k, "eval").otherwise("train")).drop("_n")
 
 
 def training_mixture(df: DataFrame, registry: DataFrame, seed: int, ratio: float,

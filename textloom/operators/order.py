@@ -27,7 +27,8 @@ def shuffled(df: DataFrame, seed: int, keys: list[str], name: str = "shuffle_key
 
 
 def with_global_index(df: DataFrame, order: list[str], name: str = "g",
-                      num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
+                      num_partitions: int | None = None, materialize: bool = False,
+                      total: str | None = None) -> DataFrame:
     """O3: 0-based rank of each row in the total order ``order`` (must be unique).
 
     Range-partition by the order, sort inside partitions, count rows per
@@ -35,6 +36,8 @@ def with_global_index(df: DataFrame, order: list[str], name: str = "g",
     partition id with a broadcast join.  ``materialize`` checkpoints the sorted
     rows to the cluster's checkpoint dir first (reliable, survives executor loss);
     without it, the unique order makes recomputation deterministic anyway.
+    ``total``: also add the row count under this name (from the same count
+    table, no extra pass over the data).
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -44,11 +47,14 @@ def with_global_index(df: DataFrame, order: list[str], name: str = "g",
         s = cut_lineage(s)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    offs = (counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+            .withColumn("_tot", F.sum("_n").over(Window.partitionBy()).cast("long")))
     # one row per partition: a bounded broadcast
-    out = s.join(F.broadcast(offs.select("_pid", "_off", "_m0")), "_pid")
-    return out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long")) \
-              .drop("_pid", "_mid", "_m0", "_off")
+    out = s.join(F.broadcast(offs.select("_pid", "_off", "_m0", "_tot")), "_pid")
+    out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
+    if total:
+        out = out.withColumnRenamed("_tot", total)
+    return out.drop("_pid", "_mid", "_m0", "_off", "_tot")
 
 
 def head_rows(df: DataFrame, n: int, order: list[str], small: int = 100_000) -> DataFrame:
