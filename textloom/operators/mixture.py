@@ -39,19 +39,27 @@ def eval_size(n: int, ratio: float) -> int:
 
 
 def split_exact(df: DataFrame, ratio: float, seed: int, keys: list[str],
-                split_col: str = "split", materialize: bool = False) -> DataFrame:
+                split_col: str = "split", materialize: bool = False,
+                size_col: str | None = None) -> DataFrame:
     """O2: exact-size seeded split.  Rows are ordered by the O1 key of ``keys``;
     the first ceil(ratio*n) are 'eval', the rest 'train'.  Adds ``shuffle_key``
-    and the 0-based shuffle position ``g``."""
+    and the 0-based shuffle position ``g``; with ``size_col``, also each row's
+    0-based position inside its split (``{size_col}_pos``) and its split's size."""
     keyed = df.withColumn("shuffle_key", shuffle_key(seed, *keys))
     idx = with_global_index(keyed, ["shuffle_key"], "g", materialize=materialize, total="_n")
     # ceil(ratio * n) in double, n taken from the index's own count table
     k = F.ceil(F.lit(float(ratio)) * F.col("_n").cast("double"))
-    return idx.withColumn(split_col, F.when(F.col("g") < k, "eval").otherwise("train")).drop("_n")
+    out = idx.withColumn(split_col, F.when(F.col("g") < k, "eval").otherwise("train"))
+    if size_col:
+        ev = F.col(split_col) == "eval"
+        out = (out.withColumn(f"{size_col}_pos", F.when(ev, F.col("g")).otherwise(F.col("g") - k).cast("long"))
+               .withColumn(size_col, F.when(ev, k).otherwise(F.col("_n") - k).cast("long")))
+    return out.drop("_n")
 
 
 def training_mixture(df: DataFrame, registry: DataFrame, seed: int, ratio: float,
-                     keys: list[str], split_first: bool = False) -> DataFrame:
+                     keys: list[str], split_first: bool = False,
+                     size_col: str | None = None) -> DataFrame:
     """Weighted, shuffled, exactly split training mixture (G7 + O1 + O2).
 
     Default (the original order): replicate by source weight, then shuffle and
@@ -60,7 +68,7 @@ def training_mixture(df: DataFrame, registry: DataFrame, seed: int, ratio: float
     inside each split (no document in both)."""
     w = with_weight(df, registry)
     if not split_first:
-        return split_exact(replicate(w), ratio, seed, keys + ["copy"])
+        return split_exact(replicate(w), ratio, seed, keys + ["copy"], size_col=size_col)
     s = split_exact(w, ratio, seed, keys)
     return replicate(s.drop("g", "shuffle_key")).withColumn(
         "shuffle_key", shuffle_key(seed, *keys, "copy"))

@@ -34,26 +34,32 @@ def append_eos(ids: Column, eos_id: int) -> Column:
     return F.concat(ids, F.array(F.lit(eos_id)))
 
 
-def shard_batch(g: Column, n: int, shards: int, batch_docs: int):
+def shard_batch(g: Column, n, shards: int, batch_docs: int):
     """(shard, batch) of a 0-based row index ``g`` among ``n`` rows split into
-    contiguous shards (first n % shards shards one row larger)."""
-    div, mod = divmod(n, shards)
+    contiguous shards (first n % shards shards one row larger).  ``n`` is an
+    int or a Column (e.g. a per-split row count carried on every row)."""
+    if isinstance(n, int):
+        div, mod = F.lit(n // shards), F.lit(n % shards)
+    else:
+        div, mod = F.floor(n / F.lit(shards)), F.pmod(n, F.lit(shards))
     big = (div + 1) * mod                       # rows covered by the larger shards
-    shard = F.when(g < big, F.floor(g / F.lit(max(div + 1, 1)))) \
-             .otherwise(F.lit(mod) + F.floor((g - big) / F.lit(max(div, 1))))
+    shard = F.when(g < big, F.floor(g / (div + 1))) \
+             .otherwise(mod + F.floor((g - big) / F.greatest(div, F.lit(1))))
     start = F.when(shard < mod, shard * (div + 1)).otherwise(big + (shard - mod) * div)
     batch = F.floor((g - start) / F.lit(batch_docs))
     return shard.cast("long"), batch.cast("long")
 
 
-def pack(df: DataFrame, ids_col: str, g_col: str, n: int, block: int = 1024,
+def pack(df: DataFrame, ids_col: str, g_col: str, n, block: int = 1024,
          batch_docs: int = 1000, shards: int = 30, group_cols: tuple = ()) -> DataFrame:
     """``df`` has token arrays ``ids_col`` and a 0-based order index ``g_col``
-    (0..n-1 within each ``group_cols`` group, e.g. a split).  Returns
-    ``(*group_cols, shard, batch, block_idx, input_ids, labels)``."""
+    (0..n-1 within each ``group_cols`` group, e.g. a split).  ``n``: the group's
+    row count as an int, or a column name / Column carried on every row.
+    Returns ``(*group_cols, shard, batch, block_idx, input_ids, labels)``."""
+    n = F.col(n) if isinstance(n, str) else n
     sb = shard_batch(F.col(g_col), n, shards, batch_docs)
-    d = (df.select(*group_cols, g_col, ids_col)
-         .withColumn("shard", sb[0]).withColumn("batch", sb[1])
+    d = (df.withColumn("shard", sb[0]).withColumn("batch", sb[1])
+         .select(*group_cols, g_col, ids_col, "shard", "batch")
          .withColumn("_len", F.size(ids_col)))
     grp = [*group_cols, "shard", "batch"]
     # running token offset inside the batch: a window over <= batch_docs rows

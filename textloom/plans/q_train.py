@@ -333,17 +333,12 @@ def train_blocks(spark, sf_dir):
     blocks per split (A8)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     s = M.training_mixture(d.select("doc_id", "source"), fixture_registry(spark), SEED, EVAL_RATIO,
-                           ["source", "doc_id"])
-    n_eval = s.filter(F.col("split") == "eval").count()
-    n_all = s.count()
-    s = s.withColumn("gs", F.when(F.col("split") == "eval", F.col("g")).otherwise(F.col("g") - n_eval))
+                           ["source", "doc_id"], size_col="n_split")
     s = s.join(d.select("doc_id", "text"), "doc_id")
-    s = s.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)).select("split", "gs", "ids")
-    parts = []
-    for name, n in (("eval", n_eval), ("train", n_all - n_eval)):
-        blocks = P.pack(s.filter(F.col("split") == name), "ids", "gs", n, BLOCK, BATCH_DOCS, SHARDS)
-        parts.append(blocks.withColumn("split", F.lit(name)))
-    blocks = parts[0].unionByName(parts[1])
+    s = s.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)) \
+         .select("split", "n_split_pos", "n_split", "ids")
+    # one plan, no driver-side counts: each row carries its split's size
+    blocks = P.pack(s, "ids", "n_split_pos", "n_split", BLOCK, BATCH_DOCS, SHARDS, group_cols=("split",))
     stats = P.block_stats(blocks, BLOCK)
     real = blocks.groupBy("split").agg(F.sum(F.size("input_ids")).cast("long").alias("real_tokens"))
     return stats.join(real, "split").select("split", F.col("blocks").cast("long"),
