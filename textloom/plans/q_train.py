@@ -104,9 +104,8 @@ FROM kept GROUP BY shard, batch, block_idx"""
 def pack_blocks(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     d = d.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)).drop("text")
-    n = d.count()
-    d = O.with_global_index(d, ["doc_id"], "g")
-    b = P.pack(d, "ids", "g", n, BLOCK, BATCH_DOCS, SHARDS)
+    d = O.with_global_index(d, ["doc_id"], "g", total="n")
+    b = P.pack(d, "ids", "g", "n", BLOCK, BATCH_DOCS, SHARDS)
     ids = F.col("input_ids")
     return b.select(
         "shard", "batch", "block_idx",
