@@ -116,3 +116,11 @@ def test_summary_lines(spark):
                                 "total_removed_docs long, duplicate_rate double")
     lines = [r.line for r in D.summary(rep, tot).orderBy("_o").collect()]
     assert lines == ["s0 1,234 -> 1,000  (-234, 19.0%)", "TOTAL 1,234 -> 1,000  (-234, 19.0%)"]
+
+
+def test_release(spark):
+    src = inline_sources()
+    run_spark(spark, src, ["s0"])
+    assert D._PERSISTED
+    D.release()
+    assert not D._PERSISTED

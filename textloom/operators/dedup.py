@@ -25,6 +25,14 @@ from pyspark.sql import functions as F
 from ..functions.text import doc_hash, ustrip
 
 KEY = ["source_rank", "pos"]
+_PERSISTED: list = []          # stage-1 relations kept by dedup_frame (see release())
+
+
+def release() -> None:
+    """Unpersist the stage-1 relations kept by ``dedup_frame`` once the actions
+    that use them (output, report, audit) have run."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
 
 
 def _split_regex(sep: str) -> str:
@@ -102,6 +110,7 @@ def dedup_frame(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
     # text is scanned, joined and shuffled once.  Memory-and-disk, and the
     # lineage is deterministic, so a lost block is recomputed identically.
     s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(s1)
 
     # Stage 2: per-source paragraph dedup over stage-1 survivors.
     survivors = s1.filter(F.col("first_raw") & F.col("para_dedup"))
