@@ -72,3 +72,17 @@ def test_stanzas(spark):
     assert [(r.stanza_idx, r.stanza) for r in st] == [(0, good), (3, good)]
     d = PO.distinct_first(PO.extract_stanzas(df), "stanza", ["doc_id", "stanza_idx"]).collect()
     assert [(r.stanza, r.stanza_idx) for r in d] == [(good, 0)]
+
+
+def test_small_predicates(spark):
+    from textloom.operators import dedup as D
+    from textloom.sources import formats as S
+    lines = spark.createDataFrame([(["a b c d e"] * 4,), (["a b c d e"] * 3,), (["a b c d e f"] * 4,)],
+                                  "l array<string>")
+    assert [r[0] for r in lines.select(PF.is_stanza(F.col("l"))).collect()] == [True, False, False]
+    pages = spark.createDataFrame([(0, False), (1, False), (0, True), (0, None)], "ns int, redirect boolean")
+    assert S.content_pages(pages).count() == 2
+    assert col1(spark, S.normalise_author, ["  ", None, " An "]) == ["Unknown", "Unknown", "An"]
+    st = spark.createDataFrame([("a", "kept"), ("a", "raw_dup"), ("b", "kept")], "source string, status string")
+    r = {x.source: (x.original_docs, x.deduped_docs) for x in D.dedup_report_rollup(st).collect()}
+    assert r == {"a": (2, 1), "b": (1, 1), None: (3, 2)}

@@ -32,15 +32,9 @@ def _java_cp(c: int) -> str:
     return f"\\x{{{c:X}}}"
 
 
-# Body of a Java regex character class matching WS (use as f"[{WS}]").
+# Body of a regex character class matching WS (use as f"[{WS}]"); the same
+# spelling works in Java regex and in RE2 (the DuckDB oracle).
 WS = "".join(_java_cp(c) for c in WS_CODEPOINTS)
-# The same class for RE2 (DuckDB oracle).
-WS_RE2 = WS
-
-
-def ws_sql_literal() -> str:
-    """DuckDB expression producing the WS characters as one string."""
-    return "(" + " || ".join(f"chr({c})" for c in WS_CODEPOINTS) + ")"
 
 
 def _c(col) -> Column:

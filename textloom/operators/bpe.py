@@ -60,7 +60,6 @@ def byte_ids() -> list[int]:
 
 
 BYTE_IDS = byte_ids()
-ID_BYTE = {i: b for b, i in enumerate(BYTE_IDS)}
 
 
 # --------------------------------------------------------------------------- T1
