@@ -45,7 +45,7 @@ def same_row(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
-def join_hot_split(rows: DataFrame, table: DataFrame, key: str, weight: str,
+def join_hot_split(rows: DataFrame, table: DataFrame, key: str | list[str], weight: str,
                    total: int, parts: int = 1000) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key, ``weight`` = rows
     of that key) where a key may hold a large share of all rows.
@@ -55,11 +55,11 @@ def join_hot_split(rows: DataFrame, table: DataFrame, key: str, weight: str,
     shuffled; all other keys take an ordinary shuffle join.  Both inputs should
     be staged, because each is read twice.
     """
-    limit = total / parts
+    limit, key = total / parts, [key] if isinstance(key, str) else key
     hot = table.filter(F.col(weight) > limit)
     cold = table.filter(F.col(weight) <= limit)
     return (rows.join(F.broadcast(hot), key)
-            .unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)))
+            .unionByName(rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(cold, key)))
 
 
 def slices(batches: Iterator, rows: int = 256) -> Iterator:
