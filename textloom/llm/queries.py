@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from . import exact_dedup as exact
 from . import line_dedup as lines
-from . import quality
-from . import sharding
+from . import packing, quality, rank_bpe, records, sharding, simhash, suffix_dedup
+from .common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -119,3 +119,48 @@ def op9_line_dedup(spark, sf_dir):
     """Cross-document line dedup: line counts and digest of what stays."""
     d = lines.line_dedup(documents(spark, sf_dir), min_chars=20, min_docs=3)
     return d.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op1_bpe")
+def op1_bpe(spark, sf_dir):
+    """Encode every whole text by the rank array and decode it again."""
+    d = rank_bpe.encode_decode(documents(spark, sf_dir), _tokenizer())
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                    F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op3_simhash")
+def op3_simhash(spark, sf_dir):
+    """SimHash fingerprints and components of fingerprints 4 or fewer bits apart."""
+    return simhash.simhash_dedup(documents(spark, sf_dir), words_per_shingle=4, radius=4)
+
+
+@register("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    """Bytes of 400-byte strings that start twice are removed."""
+    d = suffix_dedup.suffix_dedup(documents(spark, sf_dir), length=400)
+    return d.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                    F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@register("op7_records")
+def op7_records(spark, sf_dir):
+    """Write token records in doc_id order, read the files back."""
+    folder = scratch(spark, "records")
+    records.write_records(documents(spark, sf_dir), folder, _tokenizer(), end_id=0)
+    d = records.read_records(spark, folder)
+    return d.select(F.col("_id").alias("doc_id"), "start", "n_tokens", F.crc32("ids_u32").alias("ids_crc32"))
+
+
+@register("op10_packing")
+def op10_packing(spark, sf_dir):
+    """Vector bin packing of all documents into sequences of 1024 tokens."""
+    d = packing.pack_documents(documents(spark, sf_dir), _tokenizer())
+    return d.select("doc_id", "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens",
+                    "sequence_id", "offset")
