@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from . import exact_dedup as exact
 from . import line_dedup as lines
-from . import packing, quality, rank_bpe, records, sharding, simhash, suffix_dedup
+from . import packing, quality, rank_bpe, records, sharding, simhash, suffix_dedup, toxicity
 from .common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,10 @@ def op10_packing(spark, sf_dir):
     d = packing.pack_documents(documents(spark, sf_dir), _tokenizer())
     return d.select("doc_id", "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens",
                     "sequence_id", "offset")
+
+
+@register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every whole text; labels of held-out ids are not used."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels, threshold=0.3)

@@ -364,6 +364,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["_id", "_rk", "n_bytes", "n_removed", "spans", "kept_bytes"])
 
 
+def _cover(src: DataFrame, length: int, hot_runs: int) -> DataFrame:
+    """Per document the list of its spans (bounded by the document)."""
+    if length < TOKEN + 8:
+        raise ValueError(f"length must be at least {TOKEN + 8}")
+    return (repeated_spans(src, length, hot_runs).groupBy("_id", "_rk")
+            .agg(F.collect_list(F.struct("s", "e")).alias("cover"))
+            .withColumnsRenamed({"_id": "_cid", "_rk": "_crk"}))
+
+
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
                  hot_runs: int = HOT_RUNS) -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``n_removed``, ``spans`` (maximal
@@ -376,13 +385,9 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     another.  A null id is an id like any other.  An empty table gives an empty result;
     other columns are not read.  ``length`` must be at least 40.
     """
-    if length < TOKEN + 8:
-        raise ValueError(f"length must be at least {TOKEN + 8}")
     src = df.select(F.col(id_col).alias("_id"), F.xxhash64(text_or_empty(text_col)).alias("_rk"),
                     text_or_empty(text_col).cast("binary").alias("bytes"))
-    cover = (repeated_spans(src, length, hot_runs).groupBy("_id", "_rk")
-             .agg(F.collect_list(F.struct("s", "e")).alias("cover"))  # bounded by the document
-             .withColumnsRenamed({"_id": "_cid", "_rk": "_crk"}))
+    cover = _cover(src, length, hot_runs)
     full = src.join(cover, src["_id"].eqNullSafe(cover["_cid"]) & (src["_rk"] == cover["_crk"]), "left")
     span = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
     out = full.select("_id", "_rk", "bytes", "cover").mapInArrow(_cut, T.StructType([
@@ -390,3 +395,28 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("spans", span), T.StructField("kept_bytes", T.BinaryType())]))
     return out.select(F.col("_id").alias(id_col), "n_bytes", "n_removed", "spans", "kept_bytes")
+
+
+def suffix_cut(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
+               hot_runs: int = HOT_RUNS) -> DataFrame:
+    """``df`` with the repeated strings cut out of its text, other columns as they
+    are.  A cut may split a character; its left-over bytes are dropped.  Null stays
+    null."""
+    others = [c for c in df.columns if c != text_col]
+    src = df.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"), F.col(id_col).alias("_id"),
+                    F.xxhash64(text_or_empty(text_col)).alias("_rk"), F.col(text_col).isNull().alias("_null"),
+                    text_or_empty(text_col).cast("binary").alias("bytes"))
+    cover = _cover(src.select("_id", "_rk", "bytes"), length, hot_runs)
+    full = src.join(cover, src["_id"].eqNullSafe(cover["_cid"]) & (src["_rk"] == cover["_crk"]), "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            kept = next(_cut(iter([b.select(["_id", "_rk", "bytes", "cover"])]))).column("kept_bytes")
+            text = [x.decode("utf-8", "ignore") for x in kept.to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("_row"), b.column("_null"), pa.array(text, pa.string())],
+                                             ["_row", "_null", "_text"])
+
+    out = full.select("_row", "_null", "_id", "_rk", "bytes", "cover").mapInArrow(run, T.StructType([
+        src.schema["_row"], T.StructField("_null", T.BooleanType()), T.StructField("_text", T.StringType())]))
+    return out.select(*[(F.when(~F.col("_null"), F.col("_text")) if c == text_col else F.col(f"_row.`{c}`")).alias(c)
+                        for c in df.columns])
