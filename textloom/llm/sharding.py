@@ -35,10 +35,9 @@ def running_sizes(groups: DataFrame) -> DataFrame:
             .select("digest", "size", (F.col("_before") + F.col("_in")).cast("long").alias("cum")))
 
 
-def _furthest(cum: DataFrame, starts: list[int], caps: list[int], largest: int) -> list[int]:
-    """For each probe the end of a shard that starts at ``starts[i]``: the
-    largest running size within its capacity."""
-    ends = [s + c for s, c in zip(starts, caps, strict=True)]
+def _furthest(cum: DataFrame, starts: list[int], ends: list[int], largest: int) -> list[int]:
+    """For each probe the end of a shard that starts at ``starts[i]`` and may reach
+    ``ends[i]``: the largest running size up to there."""
     steps = sorted(set(ends))
     # the rows between two neighbouring ends share a step: at most PROBES + 1 rows come back
     step = F.size(F.filter(F.lit(steps), lambda e: e < F.col("cum")))
@@ -59,7 +58,8 @@ def _greedy(cum: DataFrame, caps: list[int], shards: int, total: int, largest: i
         live = [i for i, a in enumerate(at) if a < total]
         if not live:
             break
-        found = _furthest(cum, [at[i] for i in live], [caps[i] for i in live], largest)
+        ends = [min(at[i] + caps[i], total) for i in live]
+        found = _furthest(cum, [at[i] for i in live], ends, largest)
         for i, e in zip(live, found, strict=True):
             at[i] = e
             cuts[i].append(e)
