@@ -7,8 +7,8 @@ window is read in both directions, the states are pooled by attention, and a
 text's score is that of its worst window.  Training knows only the labels of
 texts: in each pass the worst window of every text is found and learned from.
 
-Training runs on a bounded sample (``Config.sample`` rows per class) of the
-labelled rows.  Scoring runs in the tasks, over every window of every text.
+Training runs on a bounded sample (``Config.ones`` and ``Config.zeros`` rows) of
+the labelled rows.  Scoring runs in the tasks, over every window of every text.
 """
 
 from __future__ import annotations
@@ -29,15 +29,16 @@ from .common import slices, text_or_empty
 
 @dataclass(frozen=True)
 class Config:
-    sample: int = 1000      #: rows per class that training may see
+    ones: int = 1000        #: rows of label 1 that training may see
+    zeros: int = 2500       #: and of label 0
     window: int = 32        #: words per window
     stride: int = 24        #: words from one window to the next
     dim: int = 8            #: input vector
     hidden: int = 8         #: state per direction
     vocabulary: int = 20000
     min_texts: int = 5      #: texts that a vocabulary word is found in, at least
-    ngrams: int = 1 << 14   #: hashed character n-grams
-    passes: int = 5
+    ngrams: int = 1 << 16   #: hashed character n-grams
+    passes: int = 4
     batch: int = 64
     rate: float = 0.01
     seed: int = 7
@@ -81,6 +82,16 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
+def scatter_add(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Rows of ``values`` summed by ``index`` into ``size`` rows."""
+    out = np.zeros((size, values.shape[1]), dtype=values.dtype)
+    order = np.argsort(index, kind="stable")
+    index = index[order]
+    head = np.flatnonzero(np.r_[True, index[1:] != index[:-1]])
+    out[index[head]] = np.add.reduceat(values[order], head, axis=0)
+    return out
+
+
 def window_starts(n: int, size: int, stride: int) -> np.ndarray:
     """Overlapping windows that cover all n words; the last one ends with them."""
     if n <= size:
@@ -242,29 +253,27 @@ def _loss_step(m: Model, f, idx: np.ndarray, y: np.ndarray) -> dict[str, np.ndar
     g["att"] = np.einsum("tb,tbk->k", ds, h)
     dgf, g["uf"] = nets["f"].backward(dh[:, :, :k], kf)
     dgb, g["ub"] = nets["b"].backward(dh[::-1, :, k:], kb)
-    dtable = np.zeros_like(table)
-    np.add.at(dtable, local.T.ravel(), np.concatenate([dgf, dgb[::-1]], axis=2).reshape(-1, 6 * k))
-    d = dtable[1:]  # padding learns nothing
+    d = scatter_add(local.T.ravel(), np.concatenate([dgf, dgb[::-1]], axis=2).reshape(-1, 6 * k), len(table))
+    d = d[1:]  # padding learns nothing
     dx = np.zeros_like(x)
     for side, part in (("f", d[:, :3 * k]), ("b", d[:, 3 * k:])):
         g["w" + side], g["g" + side] = x.T @ part, part.sum(axis=0)
         dx += part @ p["w" + side].T
-    g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-    np.add.at(g["word"], sub[0], dx)
+    g["word"] = scatter_add(sub[0], dx, len(p["word"]))
     g["word"][0] = 0  # unknown words are told by their characters
-    np.add.at(g["char"], sub[1], np.repeat(dx / sub[3][:, None], sub[3], axis=0))
+    g["char"] = scatter_add(sub[1], np.repeat(dx / sub[3][:, None], sub[3], axis=0), len(p["char"]))
     return g
 
 
-def _log_odds(texts: list[set], y: list[int], floor: float) -> dict:
-    """Smoothed log-odds of a feature's presence: where the vectors' first
-    dimension starts."""
-    seen = (Counter(), Counter())
-    for s, t in zip(texts, y, strict=True):
-        seen[t].update(s)
-    n = (max(1, len(y) - sum(y)), max(1, sum(y)))
-    return {x: np.log((seen[1][x] + floor) / (n[1] + 2 * floor)) - np.log((seen[0][x] + floor) / (n[0] + 2 * floor))
-            for x in seen[0].keys() | seen[1].keys()}
+def _log_odds(features: list[np.ndarray], y: list[int], size: int, floor: float = 2.0) -> np.ndarray:
+    """Smoothed log-odds of each feature's presence in a text: where the vectors'
+    first dimension starts."""
+    seen = np.zeros((2, size))
+    for f, t in zip(features, y, strict=True):
+        seen[t, np.unique(f)] += 1
+    n = np.bincount(y, minlength=2)[:, None]
+    zero, one = np.log((seen + floor) / (n + 2 * floor))
+    return one - zero
 
 
 def train(texts: list[str], y: list[int], cfg: Config = Config()) -> Model:
@@ -281,17 +290,15 @@ def train(texts: list[str], y: list[int], cfg: Config = Config()) -> Model:
     vocabulary = [w for w, n in sorted(found.items(), key=lambda x: (-x[1], x[0])) if n >= cfg.min_texts][:cfg.vocabulary]
     m = Model(cfg, vocabulary, prior)
     m.key = f"{zlib.crc32(repr((cfg, vocabulary, labels)).encode())}-{len(texts)}"
-    known = list(found)
-    grams, size = char_ngrams(known, cfg.ngrams)
-    grams_of = dict(zip(known, np.split(grams, np.cumsum(size)[:-1]), strict=True))
-    odds = _log_odds(sets, labels, 2.0)
-    m.p["word"][1:, 0] += [odds[w] / 4 for w in vocabulary]
-    for c, o in _log_odds([set(np.concatenate([grams_of[w] for w in s]).tolist()) for s in sets], labels, 2.0).items():
-        m.p["char"][c, 0] += o / 4
     index: dict[str, int] = {}
-    rows = np.array([index.setdefault(w, len(index)) for d in docs for w in d], dtype=np.int64)
+    rows = [np.array([index.setdefault(w, len(index)) for w in d], dtype=np.int64) for d in docs]
     f = m.features(list(index))
-    idx, first = m.windows([len(d) for d in docs], rows + 1)
+    wid, grams, begin, size = f
+    each = [np.unique(r) for r in rows]
+    m.p["word"][1:, 0] += _log_odds([wid[e] for e in each], labels, len(vocabulary) + 1)[1:] / 4
+    m.p["char"][:, 0] += _log_odds([np.concatenate([grams[begin[w]:begin[w] + size[w]] for w in e]) for e in each],
+                                   labels, cfg.ngrams) / 4
+    idx, first = m.windows([len(d) for d in docs], np.concatenate(rows) + 1)
     ends = np.r_[first[1:], len(idx)]
     target = np.array(labels, dtype=np.float32)
     rng = np.random.default_rng(cfg.seed)
@@ -361,14 +368,14 @@ def score_texts(model: Model, texts: list[str]) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str,
-                    label_col: str, per_class: int) -> list[tuple[str, int]]:
-    """At most ``per_class`` labelled rows of each class, by a hash of the id.
+                    label_col: str, ones: int, zeros: int) -> list[tuple[str, int]]:
+    """At most so many labelled rows of each class, by a hash of the id.
     Only these ids (bounded) are broadcast, only their texts reach the driver."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).filter(
         F.col("_id").isNotNull() & F.col("_y").isin(0, 1)).filter(allowed).groupBy("_id").agg(F.max("_y").alias("_y"))
     picked = None
-    for y in (0, 1):
-        part = known.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
+    for y, most in ((0, zeros), (1, ones)):
+        part = known.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     rows = (docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_t"))
             .join(F.broadcast(picked), "_id").collect())
@@ -391,7 +398,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     are ignored; of contradicting labels 1 counts.  Equal texts score equally.  An
     empty table gives an empty result; other columns are not read.
     """
-    data = training_sample(docs, labels, ~held_out("_id"), id_col, text_col, label_col, cfg.sample)
+    data = training_sample(docs, labels, ~held_out("_id"), id_col, text_col, label_col, cfg.ones, cfg.zeros)
     model = train([t for t, _ in data], [y for _, y in data], cfg)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
