@@ -60,11 +60,42 @@ def test_split_sizes(spark, n, ratio):
     assert g == list(range(n))
 
 
-def test_head_rows_paths_agree(spark):
-    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
-    a = [r.k for r in O.head_rows(df, 37, ["k"]).collect()]
-    b = sorted(r.k for r in O.head_rows(df, 37, ["k"], small=0).collect())
-    assert a == b == list(range(37))
+def _big(spark, n=300_000):
+    d = spark.range(n, numPartitions=5)
+    return d.select(F.sha2(F.col("id").cast("string"), 256).alias("k"), F.pmod("id", F.lit(7)).alias("few"), "id",
+                    F.concat_ws("-", F.lit("payload"), F.sha2(F.col("id").cast("string"), 224)).alias("payload"))
+
+
+@pytest.mark.parametrize("parts", [2, 8, 200])
+def test_global_index_of_wide_rows(spark, parts):
+    d = _big(spark)
+    want = [r.k for r in d.select("k").orderBy("k").collect()]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        for _ in range(2):
+            got = O.with_global_index(d, ["k"], "g", total="n").select("k", "g", "n", "payload").collect()
+            got.sort(key=lambda r: r.g)
+            assert [r.g for r in got] == list(range(len(want))) and [r.k for r in got] == want
+            assert {r.n for r in got} == {len(want)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_global_index_by_several_columns_with_nulls(spark):
+    rows = [(None if i % 5 == 0 else i % 3, f"r{i * 37 % 500:03d}") for i in range(500)]
+    d = spark.createDataFrame(rows, "a int, b string").repartition(7)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = O.with_global_index(d, ["a", "b"], "g").collect()
+    assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.g)] == want
+    assert O.with_global_index(d.limit(0), ["a", "b"], "g").collect() == []
+
+
+@pytest.mark.parametrize("n", [0, 37, 150_000, 400_000])
+def test_head_rows_at_every_size(spark, n):
+    d = _big(spark)
+    want = [r.k for r in d.select("k").orderBy("k").limit(n).collect()]
+    assert sorted(r.k for r in O.head_rows(d, n, ["k"]).select("k", "payload").collect()) == want
 
 
 def test_replicate(spark):

@@ -39,15 +39,14 @@ def eval_size(n: int, ratio: float) -> int:
 
 
 def split_exact(df: DataFrame, ratio: float, seed: int, keys: list[str],
-                split_col: str = "split", materialize: bool = False,
-                size_col: str | None = None) -> DataFrame:
+                split_col: str = "split", size_col: str | None = None) -> DataFrame:
     """O2: exact-size seeded split.  Rows are ordered by the O1 key of ``keys``;
     the first ceil(ratio*n) are 'eval', the rest 'train'.  Adds ``shuffle_key``
     and the 0-based shuffle position ``g``; with ``size_col``, also each row's
     0-based position inside its split (``{size_col}_pos``) and its split's size."""
     keyed = df.withColumn("shuffle_key", shuffle_key(seed, *keys))
-    idx = with_global_index(keyed, ["shuffle_key"], "g", materialize=materialize, total="_n")
-    # ceil(ratio * n) in double, n taken from the index's own count table
+    idx = with_global_index(keyed, ["shuffle_key"], "g", total="_n")
+    # ceil(ratio * n) in double, n taken from the index's own counts
     k = F.ceil(F.lit(float(ratio)) * F.col("_n").cast("double"))
     out = idx.withColumn(split_col, F.when(F.col("g") < k, "eval").otherwise("train"))
     if size_col:

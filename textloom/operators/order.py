@@ -1,8 +1,9 @@
 """Ordering primitives: seeded shuffle key, distributed global row index,
 first-N rows in a given order.
 
-No un-partitioned window over the data: the global index is a range
-partitioning + per-partition counts (one row per partition) + offsets.
+No un-partitioned window over the data: a row's bucket is a function of its order
+key alone, buckets are counted, and a row's index is its bucket's offset plus its
+rank inside the bucket.
 """
 
 from __future__ import annotations
@@ -10,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
 
 def shuffle_key(seed: int, *cols) -> Column:
     """O1: reproducible uniform order key, independent of partitioning (never
@@ -21,45 +20,66 @@ def shuffle_key(seed: int, *cols) -> Column:
     return F.sha2(F.concat_ws(":", *parts), 256)
 
 
-def shuffled(df: DataFrame, seed: int, keys: list[str], name: str = "shuffle_key") -> DataFrame:
-    """Adds the O1 order key column (the permutation is ``orderBy(name)``)."""
-    return df.withColumn(name, shuffle_key(seed, *keys))
+#: Order keys sampled per bucket to choose the bounds.
+SAMPLE = 32
+
+
+def _order_key(order: list[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+
+
+def _bounds(df: DataFrame, order: list[str], buckets: int) -> list[Column]:
+    """At most ``buckets - 1`` order keys that cut the data into about equal
+    buckets, as literals.  The sample is the keys of least hash: a bounded top-k,
+    the same whatever the partitioning.  Any bounds give right positions; these
+    only make the buckets even."""
+    keys = df.select(*order)
+    rows = (keys.orderBy(F.xxhash64(*order)).limit(SAMPLE * buckets).distinct().orderBy(*order).collect())
+    step = max(1, len(rows) // buckets)
+    types = [keys.schema[c].dataType for c in order]
+    return [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types, strict=True))])
+            for r in rows[step::step]]
+
+
+def _bucket(key: Column, bounds: list[Column], lo: int = 0, hi: int | None = None) -> Column:
+    """Number of bounds at or below the key, by binary search."""
+    hi = len(bounds) if hi is None else hi
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(key < bounds[mid], _bucket(key, bounds, lo, mid)).otherwise(_bucket(key, bounds, mid + 1, hi))
 
 
-def with_global_index(df: DataFrame, order: list[str], name: str = "g",
-                      num_partitions: int | None = None, materialize: bool = False,
-                      total: str | None = None) -> DataFrame:
+def with_global_index(df: DataFrame, order: list[str], name: str = "g", buckets: int | None = None,
+                      total: str | None = None, first: int | None = None) -> DataFrame:
     """O3: 0-based rank of each row in the total order ``order`` (must be unique).
 
-    Range-partition by the order, sort inside partitions, count rows per
-    partition (a tiny table), prefix-sum the counts and add them back by
-    partition id with a broadcast join.  ``materialize`` checkpoints the sorted
-    rows to the cluster's checkpoint dir first (reliable, survives executor loss);
-    without it, the unique order makes recomputation deterministic anyway.
-    ``total``: also add the row count under this name (from the same count
-    table, no extra pass over the data).
+    Two small jobs run when this is called, on the order columns alone: one
+    samples the bounds of the buckets, one counts the buckets (at most ``buckets``
+    rows come back, by default the shuffle partitions, up to 256).  Both counts
+    and positions follow from the key by the same literal bounds, so they agree
+    however the rows are partitioned, sampled or recomputed.
+    ``total``: also add the row count under this name.  ``first``: keep only rows
+    with a smaller index; buckets beyond are dropped before the shuffle.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    if materialize:
-        s = cut_lineage(s)
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-            .withColumn("_tot", F.sum("_n").over(Window.partitionBy()).cast("long")))
-    # one row per partition: a bounded broadcast
-    out = s.join(F.broadcast(offs.select("_pid", "_off", "_m0", "_tot")), "_pid")
-    out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
+    if buckets is None:
+        buckets = min(256, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    bucket = _bucket(_order_key(order), _bounds(df, order, buckets))
+    counts = dict(df.select(bucket.alias("_b")).groupBy("_b").agg(F.count(F.lit(1))).collect())
+    offsets = [0]
+    for b in range(max(counts, default=0) + 1):
+        offsets.append(offsets[-1] + counts.get(b, 0))
+    out = df.withColumn("_b", bucket)
+    if first is not None:
+        out = out.filter(F.col("_b") < sum(o < first for o in offsets[:-1]))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1
+    before = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_b") + 1)
+    out = out.withColumn(name, (before + rank).cast("long")).drop("_b")
     if total:
-        out = out.withColumnRenamed("_tot", total)
-    return out.drop("_pid", "_mid", "_m0", "_off", "_tot")
+        out = out.withColumn(total, F.lit(offsets[-1]).cast("long"))
+    return out if first is None else out.filter(F.col(name) < first)
 
 
-def head_rows(df: DataFrame, n: int, order: list[str], small: int = 100_000) -> DataFrame:
-    """First ``n`` rows in ``order``.  Small n: ``orderBy().limit()``
-    (a bounded top-k per partition); large n: global index + filter."""
-    if n <= small:
-        return df.orderBy(*order).limit(n)
-    return with_global_index(df, order, "_g").filter(F.col("_g") < n).drop("_g")
+def head_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """First ``n`` rows in ``order``, by the global index at every size."""
+    return with_global_index(df, order, "_g", first=n).drop("_g")

@@ -65,16 +65,17 @@ def seeded_shuffle_split(spark, sf_dir):
 @register("head_rows", """
 SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 500""")
 def head_rows(spark, sf_dir):
-    # the first-N feature (S6); small=0 forces the distributed index path
+    # the first-N feature
     d = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return O.head_rows(d, 500, ["doc_id"], small=0)
+    return O.head_rows(d, 500, ["doc_id"])
 
 
 @register("global_index", """
 SELECT doc_id, (row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1)::BIGINT AS g FROM documents""")
 def global_index(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    return O.with_global_index(d, [F.col("n_chars").desc(), "doc_id"], "g").select("doc_id", "g")
+    d = d.withColumn("_long_first", -F.col("n_chars"))
+    return O.with_global_index(d, ["_long_first", "doc_id"], "g").select("doc_id", "g")
 
 
 def _pack_sql():
