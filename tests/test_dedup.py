@@ -118,9 +118,9 @@ def test_summary_lines(spark):
     assert lines == ["s0 1,234 -> 1,000  (-234, 19.0%)", "TOTAL 1,234 -> 1,000  (-234, 19.0%)"]
 
 
-def test_release(spark):
+def test_nothing_is_persisted(spark):
     src = inline_sources()
-    run_spark(spark, src, ["s0"])
-    assert D._PERSISTED
-    D.release()
-    assert not D._PERSISTED
+    rows = [(name, i, t) for name, texts in src for i, t in enumerate(texts)]
+    corpus = spark.createDataFrame(rows, "source string, pos long, text string")
+    status = D.dedup_status(corpus, registry(spark, [n for n, _ in src], para_sources=["s0"]))
+    assert "InMemory" not in status._jdf.queryExecution().toString()

@@ -11,18 +11,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, ascii_lower, text_or_empty
+from .common import text_or_empty
 
-SYMBOLS = "#*$%&|<>"
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: White space, symbols and punctuation as character classes.
+SPACE = "[\\x20\\x09-\\x0D]"
+SYMBOLS = "[#*$%&|<>]"
+PUNCTUATION = "[!-/:-@\\[-`{-~]"
 #: Phrases of page furniture, matched in the lower-cased line.
 BOILERPLATE = ("all rights reserved", "cookie policy", "privacy policy", "terms of use",
                "terms of service", "enable javascript", "click here", "sign up for",
                "lorem ipsum", "skip to content")
 #: A line of fewer words is not judged by punctuation.
 MIN_LINE_WORDS = 5
-#: Highest share of ASCII punctuation among a line's non-space characters, in per cent.
-MAX_PUNCTUATION = 15
+#: Highest share of ASCII punctuation among a line's characters, in per cent.
+MAX_PUNCTUATION = 12
 #: Separators (``|`` or ``>``) that make a line navigation.
 MIN_SEPARATORS = 3
 #: Highest share of non-space characters in removed lines, in per cent.
@@ -30,29 +32,24 @@ MAX_REMOVED = 50
 WINDOW = 5
 
 
-def _dense(c: Column) -> Column:
-    return F.translate(c, WS, "")
+def without(c: Column, chars: str) -> Column:
+    return F.regexp_replace(c, chars + "+", "")
 
 
-def _words(c: Column) -> Column:
-    return F.array_remove(F.split(F.translate(c, "\t\n\x0b\x0c\r", "     "), " "), "")
-
-
-def _count_chars(c: Column, chars: str) -> Column:
-    return F.length(c) - F.length(F.translate(c, chars, ""))
+def has_phrase(c: Column) -> Column:
+    low, found = F.lower(c), F.lit(False)
+    for phrase in BOILERPLATE:
+        found = found | low.contains(phrase)
+    return found
 
 
-def line_fails(line: Column) -> Column:
-    """The three line rules; a line without words never fails."""
-    dense = _dense(line)
-    punctuation = ((F.size(_words(line)) >= MIN_LINE_WORDS)
-                   & (100 * _count_chars(dense, PUNCTUATION) > MAX_PUNCTUATION * F.length(dense)))
-    navigation = _count_chars(line, "|>") >= MIN_SEPARATORS
-    low = ascii_lower(line)
-    boilerplate = F.lit(False)
-    for phrase in BOILERPLATE:
-        boilerplate = boilerplate | low.contains(phrase)
-    return (F.length(dense) > 0) & (punctuation | navigation | boilerplate)
+def line_fails(line: Column, bare: Column, separators: Column, phrases: Column) -> Column:
+    """The three line rules.  ``bare``: the line without punctuation;
+    ``separators``, ``phrases``: whether its document has any at all."""
+    punctuation = ((100 * (F.length(line) - F.length(bare)) > MAX_PUNCTUATION * F.length(line))
+                   & line.rlike(f"([^\\x20\\x09-\\x0D]+{SPACE}+){{{MIN_LINE_WORDS - 1}}}[^\\x20\\x09-\\x0D]"))
+    navigation = separators & line.rlike("[|>]([^|>]*[|>]){%d}" % (MIN_SEPARATORS - 1))
+    return punctuation | navigation | (phrases & has_phrase(line))
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,8 +64,9 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     empty table gives an empty result.  Columns of other names are not read.
     Windows are compared by 64-bit hash within their own text.
     """
+    t = F.col("_t")
     d = df.select(F.col(id_col), text_or_empty(text_col).alias("_t"))
-    d = d.withColumn("_w", _words(F.col("_t"))).withColumn("_lines", F.split("_t", "\n", -1))
+    d = d.withColumn("_w", F.array_remove(F.split("_t", SPACE + "+"), "")).withColumn("_lines", F.split("_t", "\n", -1))
     d = d.withColumn("_wh", F.transform("_w", lambda x: F.xxhash64(x)))
     d = d.withColumn("_n", F.size("_w"))
     wh = F.col("_wh")
@@ -90,19 +88,23 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         lambda acc, p: F.struct(p.alias("last"),
                                 (acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).alias("n")),
         lambda acc: acc["n"])
-    has_word = F.filter("_lines", lambda x: F.length(_dense(x)) > 0)
-    d = d.withColumn("_full", has_word).withColumn(
-        "_ok", F.filter("_lines", lambda x: ~line_fails(x)))
-    d = d.withColumn("clean_text", F.array_join("_ok", "\n")).withColumn("n_repeat_words", covered)
+    full = F.filter("_lines", lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    # rules that need a certain character or phrase look at lines only where the text has it
+    d = (d.withColumn("_full", full).withColumn("_bare", F.split(without(t, PUNCTUATION), "\n", -1))
+         .withColumn("_sep", t.contains("|") | t.contains(">")).withColumn("_phrase", has_phrase(t)))
+    failing = F.transform("_lines", lambda x, i: F.when(
+        line_fails(x, F.get("_bare", i), F.col("_sep"), F.col("_phrase")), x))
+    d = d.withColumn("_fails", failing).withColumn("n_repeat_words", covered)
+    return_lines = F.filter("_lines", lambda x, i: F.get("_fails", i).isNull())
     d = d.select(
         id_col, F.col("_n").cast("long").alias("n_words"),
-        F.length(_dense(F.col("_t"))).cast("long").alias("word_chars"),
-        _count_chars(F.col("_t"), SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+        (F.length(t) - F.length(without(t, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         ((F.col("_n") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("_n"))).alias("base_failed"),
-        "clean_text")
-    d = d.withColumn("removed_chars", F.col("word_chars") - F.length(_dense(F.col("clean_text"))))
+        F.length(without(F.array_join("_fails", ""), SPACE)).cast("long").alias("removed_chars"),
+        F.array_join(return_lines, "\n").alias("clean_text"))
     return d.withColumn("kept", ~F.col("base_failed") & (
         100 * F.col("removed_chars") <= MAX_REMOVED * F.col("word_chars")))
 

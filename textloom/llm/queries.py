@@ -46,15 +46,12 @@ def op2_sharding(spark, sf_dir):
 
 
 def _line_fails_sql(x: str) -> str:
-    dense = f"regexp_replace({x}, '{_WS_SQL}', '', 'g')"
-    punct = "[!-/:-@\\[-`{-~]"
-    low = f"translate({x}, '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
-    phrases = " OR ".join(f"contains({low}, '{p}')" for p in quality.BOILERPLATE)
+    phrases = " OR ".join(f"contains(lower({x}), '{p}')" for p in quality.BOILERPLATE)
     words = f"len(list_filter(regexp_split_to_array({x}, '{_WS_SQL}+'), lambda w: w <> ''))"
-    return (f"(length({dense}) > 0 AND ("
-            f"({words} >= {quality.MIN_LINE_WORDS} AND 100 * (length({dense}) - length(regexp_replace({dense}, '{punct}', '', 'g'))) > {quality.MAX_PUNCTUATION} * length({dense}))"
+    return (f"(({words} >= {quality.MIN_LINE_WORDS} AND 100 * (length({x}) - length(regexp_replace({x}, "
+            f"'{quality.PUNCTUATION}', '', 'g'))) > {quality.MAX_PUNCTUATION} * length({x}))"
             f" OR length({x}) - length(regexp_replace({x}, '[|>]', '', 'g')) >= {quality.MIN_SEPARATORS}"
-            f" OR {phrases}))")
+            f" OR {phrases})")
 
 
 _OP5_SQL = f"""
@@ -74,7 +71,7 @@ c AS (
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(full_lines) - len(list_distinct(full_lines)))::BIGINT AS n_dup_lines,
          coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
-         coalesce(list_sum(list_transform(list_filter(full_lines, lambda x: {_line_fails_sql('x')}),
+         coalesce(list_sum(list_transform(list_filter(string_split(t, chr(10)), lambda x: {_line_fails_sql('x')}),
                   lambda x: length(regexp_replace(x, '{_WS_SQL}', '', 'g')))), 0) AS removed
   FROM w LEFT JOIN cov USING (doc_id)),
 b AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM c)

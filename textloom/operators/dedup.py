@@ -7,8 +7,8 @@ stage is a keyed ``min(struct(order))`` aggregation:
 * only ``(key, source_rank, pos[, i])`` is shuffled for a decision, with
   partial (map-side) aggregation, so a hash that holds a third of all rows is
   pre-combined on every mapper instead of landing whole in one task;
-* the document text is shuffled once, by ``(source_rank, pos)``; every later
-  decision table is keyed the same way and joins without re-shuffling it.
+* decisions are taken on narrow rows (hashes and positions); the document text is
+  shuffled once, by ``(source_rank, pos)``, to meet them.  Nothing is persisted.
 
 Stage semantics (status per document, in order):
 ``empty -> raw_dup -> (para_changed flag) -> too_short -> final_dup -> kept``.
@@ -18,21 +18,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import doc_hash, ustrip
 
 KEY = ["source_rank", "pos"]
-_PERSISTED: list = []          # stage-1 relations kept by dedup_frame (see release())
-
-
-def release() -> None:
-    """Unpersist the stage-1 relations kept by ``dedup_frame`` once the actions
-    that use them (output, report, audit) have run."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
 
 
 def _split_regex(sep: str) -> str:
@@ -56,33 +47,35 @@ def dedup_exact(df: DataFrame, key: Column | str, order: list[str]) -> DataFrame
     return (df.join(winners, order, "left_semi"))
 
 
-def paragraph_keep_index(survivors: DataFrame, sep: str, min_para_chars: int) -> DataFrame:
-    """For each surviving document of a paragraph-dedup source, the indices of
-    its eligible paragraphs (stripped length >= min) that are first occurrences
-    within their source.  Returns ``(source_rank, pos, keep_idx array<int>)``.
+def paragraph_occurrences(base: DataFrame, sep: str, min_para_chars: int) -> DataFrame:
+    """Eligible paragraphs (stripped length >= min) as ``(source_rank, pos, i, ph)``."""
+    return (base.select("source_rank", "pos",
+                        F.posexplode(F.split("text", _split_regex(sep), -1)).alias("i", "p"))
+            .withColumn("p", ustrip("p"))
+            .filter(F.length("p") >= min_para_chars)
+            .select("source_rank", "pos", "i", doc_hash("p").alias("ph")))
 
-    Seen-set per source, first occurrence by ``(pos, paragraph index)``: every
-    survivor contributes, even if it is dropped later (the reference's order)."""
-    occ = (survivors
-           .select("source_rank", "pos",
-                   F.posexplode(F.split("text", _split_regex(sep), -1)).alias("i", "p"))
-           .withColumn("p", ustrip("p"))
-           .filter(F.length("p") >= min_para_chars)
-           .select("source_rank", "pos", "i", doc_hash("p").alias("ph")))
-    win = (occ.groupBy("source_rank", "ph").agg(F.min(F.struct("pos", "i")).alias("_w"))
-           .select("source_rank", F.col("_w.pos").alias("pos"), F.col("_w.i").alias("i")))
-    return win.groupBy(*KEY).agg(F.collect_list("i").alias("keep_idx"))
 
+def paragraph_drop_index(occ: DataFrame) -> DataFrame:
+    """For each document the indices of its paragraphs that are not the first
+    occurrence in their source, by ``(pos, paragraph index)``: ``(source_rank, pos,
+    drop_idx array<int>)``.  Documents dropped later count too (the reference's
+    order).  Only paragraphs that repeat are joined back."""
+    first = (occ.groupBy("source_rank", "ph")
+             .agg(F.min(F.struct("pos", "i")).alias("_w"), F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > 1).drop("_n"))
+    later = occ.join(first, ["source_rank", "ph"]).filter(F.struct("pos", "i") != F.col("_w"))
+    return later.groupBy(*KEY).agg(F.collect_list("i").alias("drop_idx"))
 
-def rebuild_paragraphs(text: Column, keep_idx: Column, sep: str, min_para_chars: int) -> Column:
-    """Reassemble: split on ``sep``, strip each piece, drop empties, keep short
-    pieces and the first occurrences, join with ``sep``, strip."""
+
+def rebuild_paragraphs(text: Column, drop_idx: Column, sep: str) -> Column:
+    """Reassemble: split on ``sep``, strip each piece, leave out empty pieces and
+    the listed ones, join with ``sep``, strip."""
     pieces = F.split(text, _split_regex(sep), -1)
-    keep = F.coalesce(keep_idx, F.array().cast("array<int>"))
-    tagged = F.transform(pieces, lambda p, i: F.struct(ustrip(p).alias("p"), i.alias("i")))
-    kept = F.filter(tagged, lambda x: (x["p"] != F.lit(""))
-                    & ((F.length(x["p"]) < min_para_chars) | F.array_contains(keep, x["i"])))
-    return ustrip(F.array_join(F.transform(kept, lambda x: x["p"]), sep))
+    drop = F.coalesce(drop_idx, F.array().cast("array<int>"))
+    left = F.filter(F.transform(pieces, lambda p, i: F.when(~F.array_contains(drop, i), ustrip(p))),
+                    lambda p: p.isNotNull() & (p != F.lit("")))
+    return ustrip(F.array_join(left, sep))
 
 
 def dedup_frame(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
@@ -94,45 +87,35 @@ def dedup_frame(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
     the registry).  ``registry``: ``(source, source_rank, para_dedup, ...)``.
     """
     reg = registry.select("source", "source_rank", "para_dedup")
-    # The text is hash-partitioned on KEY once, up front: that is the partitioning
-    # the stage-1 join needs, both branches reuse the exchange, and hashing
-    # runs in parallel whatever the input file layout.
     base = (corpus.drop("source_rank").join(reg, "source")
-            .withColumn("text", F.coalesce("text", F.lit("")))
-            .repartition(*KEY))
+            .select(*KEY, "para_dedup", F.coalesce("text", F.lit("")).alias("text")))
 
     # Stage 1: global exact dedup on the raw text (empty rows never enter).
     raw = base.filter(F.col("text") != "").select(doc_hash("text").alias("h"), *KEY)
     w1 = first_by_order(raw, "h", KEY, "first_raw")
-    s1 = base.join(w1, KEY, "left").withColumn("first_raw", F.coalesce("first_raw", F.lit(False)))
-    # Stage 1 feeds three branches with different columns, which Spark cannot
-    # serve from one exchange; keep it (text hash-partitioned by KEY) so the
-    # text is scanned, joined and shuffled once.  Memory-and-disk, and the
-    # lineage is deterministic, so a lost block is recomputed identically.
-    s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(s1)
-
-    # Stage 2: per-source paragraph dedup over stage-1 survivors.
-    survivors = s1.filter(F.col("first_raw") & F.col("para_dedup"))
-    keep = paragraph_keep_index(survivors, para_sep, min_para_chars)
-    s2 = (s1.join(keep, KEY, "left")
+
+    # Stage 2: per-source paragraph dedup over stage-1 survivors, on hashes only.
+    occ = paragraph_occurrences(base.filter("para_dedup"), para_sep, min_para_chars)
+    drop = paragraph_drop_index(occ.join(w1.select(*KEY), KEY, "left_semi"))
+    decided = w1.join(drop, KEY, "left")  # drop lists are of survivors
+
+    # The one shuffle of the text: it meets the decisions of stages 1 and 2.  Stage 3
+    # and the result read the same columns of it, so they share that exchange.
+    s2 = (base.join(decided, KEY, "left")
+          .withColumn("first_raw", F.coalesce("first_raw", F.lit(False)))
           .withColumn("stripped", ustrip("text"))
-          .withColumn("new_text", F.when(F.col("para_dedup"),
-                                         rebuild_paragraphs(F.col("text"), F.col("keep_idx"),
-                                                            para_sep, min_para_chars))
-                      .otherwise(F.col("stripped")))
+          .withColumn("new_text", F.when(F.col("para_dedup"), rebuild_paragraphs(
+              F.col("text"), F.col("drop_idx"), para_sep)).otherwise(F.col("stripped")))
           .withColumn("para_changed", F.col("first_raw") & F.col("para_dedup")
                       & (F.col("new_text") != F.col("stripped")))
           .withColumn("too_short", F.length("new_text") < min_doc_chars)
-          .drop("keep_idx", "stripped"))
+          .drop("drop_idx", "stripped"))
 
     # Stage 3: global exact dedup on the cleaned text of what is left.
     cand = s2.filter(F.col("first_raw") & ~F.col("too_short")).select(
         doc_hash("new_text").alias("h"), *KEY)
     w3 = first_by_order(cand, "h", KEY, "first_final")
-    s3 = s2.join(w3, KEY, "left")
-
-    return s3
+    return s2.join(w3, KEY, "left").join(reg.select("source", "source_rank"), "source_rank")
 
 
 def dedup_status(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
@@ -193,12 +176,6 @@ def dedup_report_rollup(status: DataFrame) -> DataFrame:
     return r.withColumn("removed_docs", F.col("original_docs") - F.col("deduped_docs"))
 
 
-def distinct_first(df: DataFrame, col: str, order: list[str]) -> DataFrame:
-    """Order-preserving distinct of strings (byte equality), keep first."""
-    w = df.groupBy(col).agg(F.min(F.struct(*order)).alias("_w"))
-    return w.select(col, *[F.col(f"_w.{c}").alias(c) for c in order])
-
-
 def min_chars(df: DataFrame, col: str = "text", n: int = 20) -> DataFrame:
     """keep rows whose stripped text has at least ``n`` code points."""
     return df.filter(F.length(ustrip(col)) >= n)
