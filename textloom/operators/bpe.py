@@ -7,10 +7,11 @@
   counts with partial aggregation, a distributed top-1, and a native
   ``aggregate`` rewrite of the words holding the pair.  Lineage is cut with a
   reliable checkpoint every few rounds.
-* T4 encode: each *distinct* pre-token is encoded once (Arrow UDF applying the
-  merge ranks), then joined back to the counts; token totals (T5/A3) are
-  sum(count * length) -- no per-document token arrays are built for audits.
-* T6 decode: ids -> byte hex via the vocabulary -> ``decode(unhex(), 'UTF-8')``.
+* T4 encode: one Arrow pass per document over its natively split pre-tokens, with
+  a bounded cache of encoded pre-tokens per task; no shuffle.  Token totals
+  (T5/A3) are sum(count * length) over the counted pre-tokens -- no per-document
+  token arrays are built for audits.
+* T6 decode: one Arrow pass over the id arrays; no shuffle.
 
 Ids: special token 0, the 256 byte symbols 1..256 in the order of their
 printable character, merges from 257 in learned order.  Ties between pairs
@@ -19,6 +20,8 @@ with equal counts go to the smallest (left id, right id).
 
 from __future__ import annotations
 
+import heapq
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,15 +103,6 @@ def pair_counts(words: DataFrame, symbols: str = "symbols", weight: str = "n") -
             .agg(F.sum(weight).cast("long").alias("cnt")))
 
 
-def merge_pair(symbols: Column, a: int, b: int, new: int) -> Column:
-    """Replace every non-overlapping (a, b), left to right, with ``new``."""
-    def step(acc, x):
-        hit = (F.size(acc) > 0) & (F.element_at(acc, -1) == F.lit(a)) & (x == F.lit(b))
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.lit(new)))) \
-                .otherwise(F.concat(acc, F.array(x)))
-    return F.aggregate(symbols, F.array().cast("array<int>"), step)
-
-
 # --------------------------------------------------------------------------- T3
 def learn_merges(counts: DataFrame, num_merges: int, min_frequency: int = 2,
                  checkpoint_every: int = 10) -> DataFrame:
@@ -162,73 +156,98 @@ def vocab(spark: SparkSession, merges: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- T4
-def _make_encoder(merge_rows: list[tuple]):
-    ranks = {(a, b): (rank, new) for rank, a, b, new in merge_rows}
-
-    def enc(word: str) -> list[int]:
-        if word == SPECIAL:
-            return [0]
-        sym = [BYTE_IDS[b] for b in word.encode("utf-8")]
-        while len(sym) > 1:
-            best = None
-            for k in range(len(sym) - 1):
-                r = ranks.get((sym[k], sym[k + 1]))
-                if r is not None and (best is None or r[0] < best[0]):
-                    best = (r[0], r[1], sym[k], sym[k + 1])
-            if best is None:
-                break
-            _, new, a, b = best
-            out, k = [], 0
-            while k < len(sym):
-                if k + 1 < len(sym) and sym[k] == a and sym[k + 1] == b:
-                    out.append(new)
-                    k += 2
-                else:
-                    out.append(sym[k])
-                    k += 1
-            sym = out
-        return sym
-    return enc
+#: Encoded pre-tokens kept per task before the cache starts anew.
+CACHE = 200_000
+
+
+class WordEncoder:
+    """Applies the merges of least rank first, leftmost first, with a heap of
+    adjacent pairs over a linked list: n log n in the word's length."""
+
+    def __init__(self, merge_rows: list[tuple]):
+        self.ranks = {(a, b): (rank, new) for rank, a, b, new in merge_rows}
+        self.cache: dict[str, list[int]] = {}
+
+    def __call__(self, word: str) -> list[int]:
+        ids = self.cache.get(word)
+        if ids is None:
+            ids = [0] if word == SPECIAL else self.merge([BYTE_IDS[b] for b in word.encode("utf-8")])
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = ids
+        return ids
+
+    def merge(self, ids: list[int]) -> list[int]:
+        n = len(ids)
+        after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < n:
+                found = self.ranks.get((ids[i], ids[after[i]]))
+                if found:
+                    heapq.heappush(heap, (found[0], i, ids[i], ids[after[i]], found[1]))
+
+        for i in range(n - 1):
+            offer(i)
+        while heap:
+            _, i, a, b, new = heapq.heappop(heap)
+            j = after[i]
+            if j >= n or ids[i] != a or ids[j] != b:
+                continue  # stale: a part of the pair was merged since
+            ids[i], ids[j], after[i] = new, -1, after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            offer(before[i])
+            offer(i)
+        return [x for x in ids if x >= 0]
 
 
 def encode_words(words: DataFrame, merges: DataFrame, word: str = "word") -> DataFrame:
     """T4 on distinct pre-tokens: adds ``ids array<int>``.  The merge list is
     bounded by the vocabulary size and shipped once per task."""
-    rows = [tuple(r) for r in merges.select("rank", "left", "right", "id").collect()]
+    rows = _merge_rows(merges)
     bc = words.sparkSession.sparkContext.broadcast(rows)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def _enc(s: pa.Array) -> pa.Array:
-        enc = _make_encoder(bc.value)
+        enc = WordEncoder(bc.value)
         return pa.array([None if w is None else enc(w) for w in s.to_pylist()],
                         type=pa.list_(pa.int32()))
 
     return words.withColumn("ids", _enc(F.col(word)))
 
 
+def _merge_rows(merges: DataFrame) -> list[tuple]:
+    """The merge list, bounded by the vocabulary size."""
+    return [tuple(r) for r in merges.select("rank", "left", "right", "id").collect()]
+
+
 def encode(df: DataFrame, merges: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """T4 per document: ``(*key, ids)``.  Each distinct pre-token is encoded
-    once and joined back to its (document, position) occurrences; the ordered
-    re-assembly is per document (bounded by the document)."""
-    occ = (df.select(*key, nfc(text).alias("_t"))
-           .select(*key, F.posexplode(pretokens(F.col("_t"))).alias("k", "word")))
-    distinct = encode_words(occ.select("word").distinct(), merges)
-    j = occ.join(distinct, "word")
-    return (j.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("_p"))
-            .select(*key, F.flatten(F.transform("_p", lambda x: x["ids"])).alias("ids")))
+    """T4 per document: ``(*key, ids)``, in one pass without a shuffle."""
+    rows = _merge_rows(merges)
+    src = df.select(*key, pretokens(nfc(text)).alias("_words"))
+
+    def run(batches):
+        enc = WordEncoder(rows)
+        for b in batches:
+            ids = [[i for w in words or () for i in enc(w)] for words in b.column("_words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32()))],
+                                             [*b.schema.names[:-1], "ids"])
+
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1],
+                                             T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 # --------------------------------------------------------------------------- T5 / A3
 def token_counts(df: DataFrame, merges: DataFrame, group: list[str], text: str = "text",
                  count_eos: bool = False) -> DataFrame:
-    """T5/A3: Σ tokens of NFC text per group (no truncation) as pre-token
-    counts ⋈ encoded lengths of the distinct pre-tokens.  The audit counts no
+    """T5/A3: Σ tokens of NFC text per group (no truncation): the counted
+    pre-tokens of each group, encoded once each; one scan of the corpus.  The audit counts no
     EOS (default); ``count_eos=True`` adds the one EOS per document that
     training appends."""
-    pc = pretoken_counts(df, text, tuple(group))
-    lens = encode_words(pc.select("word").distinct(), merges).select("word", F.size("ids").alias("len"))
-    out = (pc.join(lens, "word").groupBy(*group)
-           .agg(F.sum(F.col("n") * F.col("len")).cast("long").alias("tokens")))
+    words = encode_words(pretoken_counts(df, text, tuple(group)), merges)
+    out = (words.groupBy(*group)
+           .agg(F.sum(F.col("n") * F.size("ids")).cast("long").alias("tokens")))
     if count_eos:
         docs = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_d"))
         out = (docs.join(out, list(group), "left")
@@ -237,33 +256,31 @@ def token_counts(df: DataFrame, merges: DataFrame, group: list[str], text: str =
 
 
 # --------------------------------------------------------------------------- T6 / T7
-@F.arrow_udf(T.StringType())
-def _utf8_replace(b: pa.Array) -> pa.Array:
-    """Bytes -> text, invalid UTF-8 replaced by U+FFFD (Python's rules)."""
-    return pa.array([None if x is None else x.decode("utf-8", "replace") for x in b.to_pylist()],
-                    type=pa.string())
-
 def decode(df: DataFrame, voc: DataFrame, ids: str = "ids", key: list[str] = (),
            skip_special: bool = False) -> DataFrame:
-    """Ids -> text (invalid UTF-8 -> U+FFFD).  The vocabulary join is a
-    broadcast of a table bounded by the vocabulary size."""
-    ex = df.select(*key, F.posexplode(ids).alias("_i", "_id"))
+    """``(*key, decoded)``: ids -> text (invalid UTF-8 -> U+FFFD, null or no
+    ids -> ''), in one pass without a shuffle.  ``voc`` is bounded by the
+    vocabulary size; an id that it lacks decodes to nothing."""
+    piece = {r["id"]: bytes.fromhex(r["hex"]) for r in voc.collect()}
     if skip_special:
-        ex = ex.filter(F.col("_id") != 0)
-    j = ex.join(F.broadcast(voc.withColumnRenamed("id", "_id")), "_id")
-    g = j.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_i", "hex"))).alias("_p"))
-    hx = F.array_join(F.transform("_p", lambda x: x["hex"]), "")
-    out = g.select(*key, _utf8_replace(F.unhex(hx)).alias("decoded"))
-    # documents with no ids decode to ''
-    return df.select(*key).join(out, list(key), "left").fillna("", ["decoded"])
+        piece[0] = b""
+    src = df.select(*key, F.col(ids).alias("_ids"))
+
+    def run(batches):
+        for b in batches:
+            text = [b"".join([piece.get(i, b"") for i in x or ()]).decode("utf-8", "replace")
+                    for x in b.column("_ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(text, pa.string())],
+                                             [*b.schema.names[:-1], "decoded"])
+
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField("decoded", T.StringType())]))
 
 
 def roundtrip_errors(df: DataFrame, merges: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """One row ``(docs, errors)``: documents whose decode(encode(text)) is
-    not NFC(text)."""
-    spark = df.sparkSession
-    enc = encode(df, merges, key, text)
-    dec = decode(enc, vocab(spark, merges), "ids", key)
-    cmp = df.select(*key, nfc(text).alias("_n")).join(dec, list(key), "left")
-    return cmp.agg(F.count(F.lit(1)).alias("docs"),
-                   F.count_if(F.coalesce(F.col("decoded"), F.lit("")) != F.col("_n")).alias("errors"))
+    not NFC(text).  The normalised text travels beside the ids: no join."""
+    docs = df.select(*key, F.coalesce(nfc(text), F.lit("")).alias("_n"))
+    enc = encode(docs, merges, [*key, "_n"], "_n")
+    dec = decode(enc, vocab(df.sparkSession, merges), "ids", [*key, "_n"])
+    return dec.agg(F.count(F.lit(1)).alias("docs"),
+                   F.count_if(F.col("decoded") != F.col("_n")).alias("errors"))

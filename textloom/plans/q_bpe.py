@@ -13,8 +13,21 @@ from .catalog import MIN_DOC, MIN_PARA, PARA_SEP, dedup_ctes, register, table
 N_MERGES = 20          # bounded merge learning for checks (full vocab is 50,000)
 
 
-def _no_merges(spark):
-    return spark.createDataFrame([], "rank int, left int, right int, id int")
+def _few_merges(spark):
+    """" t", "he", " the", "en": merges whose effect SQL can count."""
+    sym = {c: B.BYTE_IDS[ord(c)] for c in " then"}
+    rows = [(0, sym[" "], sym["t"], 257), (1, sym["h"], sym["e"], 258), (2, 257, 258, 259),
+            (3, sym["e"], sym["n"], 260)]
+    return spark.createDataFrame(rows, "rank int, left int, right int, id int")
+
+
+def _count_sql(x: str, part: str) -> str:
+    return f"(length({x}) - length(replace({x}, '{part}', ''))) // {len(part)}"
+
+
+#: One token per UTF-8 byte, less one per merge that applies ("he" goes before "en").
+_DOC_TOKENS_SQL = ("(strlen(t) - " + _count_sql("t", " t") + " - " + _count_sql("t", "he") + " - "
+                   + _count_sql("t", " the") + " - " + _count_sql("replace(t, 'he', '#')", "en") + ")")
 
 
 @register("pretoken_counts")
@@ -44,15 +57,14 @@ def _kept(spark, sf_dir):
 
 _TOKENS_SQL = f"""
 WITH {dedup_ctes()},
-tc AS (SELECT source, sum(strlen(nfc_normalize(out_text)))::BIGINT AS tokens
-       FROM status WHERE status = 'kept' GROUP BY source)"""
+tc AS (SELECT source, sum({_DOC_TOKENS_SQL})::BIGINT AS tokens
+       FROM (SELECT source, nfc_normalize(out_text) AS t FROM status WHERE status = 'kept') GROUP BY source)"""
 
 
 @register("token_counts", _TOKENS_SQL + "\nSELECT source, tokens FROM tc")
 def token_counts(spark, sf_dir):
-    """Byte-level tokens (no merges: one token per UTF-8 byte) of the
-    deduplicated documents per source."""
-    return B.token_counts(_kept(spark, sf_dir), _no_merges(spark), ["source"])
+    """BPE tokens of the deduplicated documents per source."""
+    return B.token_counts(_kept(spark, sf_dir), _few_merges(spark), ["source"])
 
 
 @register("token_audit", _TOKENS_SQL + f"""
@@ -67,5 +79,5 @@ SELECT source, tokens, weight, weighted_tokens, unique_tokens, eff AS effective_
        eff >= {A.TOKEN_BUDGET} AS enough_for_budget, (eff - {A.TOKEN_BUDGET})::BIGINT AS budget_gap_or_surplus
 FROM per, tot""")
 def token_audit(spark, sf_dir):
-    counts = B.token_counts(_kept(spark, sf_dir), _no_merges(spark), ["source"])
+    counts = B.token_counts(_kept(spark, sf_dir), _few_merges(spark), ["source"])
     return A.token_audit(counts, fixture_registry(spark))
