@@ -22,7 +22,8 @@ HEADLINE = ["dedup_status", "dedup_report", "paragraph_dedup", "clean_wikitext_i
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+                      spark__textloom__scanPartitions=cpus)  # each table is one row group
     n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     # warm-up: JVM, Python workers, file listing
     QUERIES["nfc_doc_hash"](spark, sf_dir).write.format("noop").mode("overwrite").save()

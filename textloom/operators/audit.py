@@ -58,29 +58,22 @@ def checkpoints(log: DataFrame, run: str | None = None, step: str = "step",
     """A10: per run, the best checkpoint (lowest eval loss; earliest step on a
     tie), the last step, and the steps of the newest ``keep`` evaluations.
 
-    No window over a run: the newest steps come from ``keep`` passes of a
-    partially aggregated ``max`` (each pass below the previous maximum), so a
-    run holding most of the log never sits in a single task."""
-    keys = [run] if run else []
-    if not keys:
+    The newest steps are ``row_number() <= keep`` per run, which Spark limits
+    before the shuffle, so a run holding most of the log sends a few rows per task."""
+    keys = [run] if run else ["_run"]
+    if not run:
         log = log.withColumn("_run", F.lit(0))
-        keys = ["_run"]
     ev = log.filter(F.col(eval_loss).isNotNull())
     best = ev.groupBy(*keys).agg(F.min(F.struct(eval_loss, step)).alias("_b"))
     last = log.groupBy(*keys).agg(F.max(step).alias("last_step"))
-    steps = ev.select(*keys, step)
-    newest, prev = None, None
-    for j in range(keep):
-        src = steps if prev is None else (steps.join(prev, keys)
-                                          .filter(F.col(step) < F.col("_p")).drop("_p"))
-        prev = src.groupBy(*keys).agg(F.max(step).alias("_p"))
-        part = prev.withColumnRenamed("_p", f"_k{j}")
-        newest = part if newest is None else newest.join(part, keys, "left")
-    kept = F.array_sort(F.array_compact(F.array(*[F.col(f"_k{j}") for j in range(keep)])))
+    w = Window.partitionBy(*keys).orderBy(F.col(step).desc())
+    newest = (ev.groupBy(*keys, step).agg(F.lit(1)).select(*keys, step)
+              .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= keep)
+              .groupBy(*keys).agg(F.array_sort(F.collect_list(step)).alias("kept_steps")))
     out = (best.select(*keys, F.col(f"_b.{step}").alias("best_step"),
                        F.col(f"_b.{eval_loss}").alias("best_eval_loss"))
-           .join(last, keys).join(newest.select(*keys, kept.alias("kept_steps")), keys))
-    return out.drop("_run") if "_run" in keys else out
+           .join(last, keys).join(newest, keys))
+    return out if run else out.drop("_run")
 
 
 def sample_token_stats(df: DataFrame, len_col: str, split_col: str = "split",

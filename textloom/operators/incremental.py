@@ -41,43 +41,44 @@ def known_authors(df: DataFrame, col: str = "author") -> DataFrame:
     return df.select(col).filter(F.col(col).isNotNull() & (F.col(col) != "Unknown")).distinct()
 
 
-def frontier(seeds: DataFrame, author_col: str = "author", total_col: str = "total",
-             max_pages: int = PF.MAX_PAGES) -> DataFrame:
-    """(a) every sort configuration x pages 1..min(total, max) with the
-    overall page count; (b) every distinct author x pages 1..min(total, max).
-    Returns (kind, seed, page, url).  The configuration list is a fixed small
-    table; authors are a distributed distinct."""
-    spark = seeds.sparkSession
-    authors = (seeds.filter(F.col(author_col) != "").groupBy(author_col)
-               .agg(F.max(total_col).alias("_t")))
+def _pages(total, max_pages: int):
+    last = F.least(F.coalesce(total, F.lit(1)), F.lit(max_pages)).cast("long")
+    return F.explode(F.when(last >= 1, F.sequence(F.lit(1).cast("long"), last))).alias("page")
+
+
+def frontier(config_totals: DataFrame, author_totals: DataFrame, max_pages: int = PF.MAX_PAGES) -> DataFrame:
+    """(kind, seed, page, url) of the list pages to crawl.
+
+    (a) every sort configuration x pages 1..min(its own total, max), where
+    ``config_totals`` holds (cfg, total) of first pages seen (without one: a
+    single page); (b) every distinct author but 'Unknown' x pages 1..min(its
+    total, max), from ``author_totals`` (author, total).  Order by (kind, seed,
+    page) when writing."""
+    spark = config_totals.sparkSession
+    cfg = spark.createDataFrame([(i, s, o) for i, (s, o) in enumerate(PF.SORT_CONFIGS)],
+                                "cfg int, sort string, sort_order string")
+    seen = config_totals.groupBy(F.col("cfg").cast("int").alias("cfg")).agg(F.max("total").alias("total"))
+    by_cfg = cfg.join(seen, "cfg", "left").select(
+        F.lit("sort").alias("kind"), F.col("cfg").cast("string").alias("seed"), _pages(F.col("total"), max_pages),
+        F.concat(F.lit(PF.SEARCH_URL),
+                 F.when(F.col("sort") != "", F.concat(F.lit("&Sort="), "sort")).otherwise(""),
+                 F.when(F.col("sort_order") != "", F.concat(F.lit("&SortOrder="), "sort_order")).otherwise("")
+                 ).alias("url"))
     # python quote(safe='/') from form encoding: space, '*', '~', '/'
-    enc = F.url_encode(F.col(author_col))
-    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
-        enc = F.replace(enc, F.lit(a), F.lit(b))
-    by_author = authors.select(
-        F.lit("author").alias("kind"), F.col(author_col).alias("seed"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_t"), F.lit(max_pages)).cast("long")))
-        .alias("page"), enc.alias("_enc"))
-    by_author = by_author.select("kind", "seed", "page", F.concat(
-        F.lit(PF.AUTHOR_URL), F.col("_enc"), F.lit("&Page="), F.col("page").cast("string")).alias("url"))
-    cfg = spark.createDataFrame([(str(i), s, o) for i, (s, o) in enumerate(PF.SORT_CONFIGS)],
-                                "seed string, sort string, sort_order string")
-    total = seeds.agg(F.max(total_col).alias("_t")).withColumn("_k", F.lit(1))
-    # one-row total attached to the 9 configurations (equi-join on a constant)
-    by_cfg = cfg.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").select(
-        F.lit("sort").alias("kind"), "seed",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_t"), F.lit(max_pages)).cast("long")))
-        .alias("page"), "sort", "sort_order")
-    url = F.concat(F.lit(PF.SEARCH_URL),
-                   F.when(F.col("sort") != "", F.concat(F.lit("&Sort="), F.col("sort"))).otherwise(F.lit("")),
-                   F.when(F.col("sort_order") != "", F.concat(F.lit("&SortOrder="), F.col("sort_order")))
-                   .otherwise(F.lit("")),
-                   F.lit("&Page="), F.col("page").cast("string"))
-    return by_cfg.select("kind", "seed", "page", url.alias("url")).unionByName(by_author)
-
-
-def ingest_new(batch: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    enc = F.url_encode("author")
+    for x, y in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        enc = F.replace(enc, F.lit(x), F.lit(y))
+    authors = (author_totals.filter((F.col("author") != "") & (F.col("author") != "Unknown"))
+               .groupBy("author").agg(F.max("total").alias("total")))
+    by_author = authors.select(F.lit("author").alias("kind"), F.col("author").alias("seed"),
+                               _pages(F.col("total"), max_pages), F.concat(F.lit(PF.AUTHOR_URL), enc).alias("url"))
+    return by_cfg.unionByName(by_author).withColumn(
+        "url", F.concat("url", F.lit("&Page="), F.col("page").cast("string")))
+
+
+def ingest_new(batch: DataFrame, table: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """R1 (batch form): rows of the new batch whose key is not yet in the
-    table, one row per key (first by key order inside the batch)."""
-    fresh = pending(batch, table, key)
-    return fresh.dropDuplicates([key])
+    table, one row per key: the least by ``order``, by default all other columns
+    in turn."""
+    others = [c for c in batch.columns if c != key]
+    return first_seen(pending(batch, table, key), key, order or others).select(*batch.columns)

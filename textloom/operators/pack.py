@@ -99,10 +99,15 @@ def pad_and_mask(ids: Column, max_len: int, prefix_len: int, pad_id: int):
     return input_ids, attention, labels
 
 
-def block_stats(blocks: DataFrame, block: int, split_col: str = "split") -> DataFrame:
-    """Blocks per split and the (over-counting) blocks*block token total."""
-    return blocks.groupBy(split_col).agg(F.count(F.lit(1)).alias("blocks")) \
-                 .withColumn("tokens", F.col("blocks") * F.lit(block))
+def block_stats(blocks: DataFrame, block: int, split_col: str = "split", real: str | None = None) -> DataFrame:
+    """Blocks per split and the (over-counting) blocks*block token total;
+    ``real``: also the tokens the blocks hold, under this name."""
+    aggs = [F.count(F.lit(1)).alias("blocks")]
+    if real:
+        aggs.append(F.sum(F.size("input_ids")).cast("long").alias(real))
+    out = blocks.groupBy(split_col).agg(*aggs)
+    return out.select(split_col, "blocks", (F.col("blocks") * block).cast("long").alias("tokens"),
+                      *([real] if real else []))
 
 
 def tokenize(df: DataFrame, merges: DataFrame, key: list[str], eos_id: int = 0,

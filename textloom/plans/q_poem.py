@@ -165,40 +165,67 @@ _TOTAL_SQL = f"""coalesce(
   1)::BIGINT"""
 
 
-@register("total_pages", f"SELECT page_id, {_TOTAL_SQL} AS total_pages FROM pages")
-def total_pages(spark, sf_dir):
+def _marked_pages(spark, sf_dir):
+    """The pages with a counter (all three kinds, by id), and every fifth with a
+    block phrase: the page table itself has neither."""
     p = table(spark, sf_dir, "pages")
-    return p.select("page_id", PF.total_pages("html").alias("total_pages"))
+    n = (F.col("page_id") % 13 + 1).cast("string")
+    counter = (F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("<p>tổng số "), n, F.lit(" trang</p>")))
+               .when(F.col("page_id") % 4 == 1, F.concat(F.lit("<p>Trang 1 / "), n, F.lit("</p>")))
+               .when(F.col("page_id") % 4 == 2, F.concat(F.lit('<a href="?x=1&Page='), n, F.lit('">n</a>')))
+               .otherwise(F.lit("")))
+    phrase = F.when(F.col("page_id") % 5 == 0, F.lit("<b>Too many requests</b>")).otherwise(F.lit(""))
+    return p.withColumn("html", F.concat("html", counter, phrase))
+
 
+_MARKED_SQL = """SELECT page_id, url, html || CASE page_id % 4
+    WHEN 0 THEN '<p>tổng số ' || (page_id % 13 + 1)::VARCHAR || ' trang</p>'
+    WHEN 1 THEN '<p>Trang 1 / ' || (page_id % 13 + 1)::VARCHAR || '</p>'
+    WHEN 2 THEN '<a href="?x=1&Page=' || (page_id % 13 + 1)::VARCHAR || '">n</a>' ELSE '' END
+  || CASE WHEN page_id % 5 = 0 THEN '<b>Too many requests</b>' ELSE '' END AS html FROM pages"""
 
-@register("blocked_filter", """
-SELECT page_id, url FROM pages WHERE NOT (
+
+@register("total_pages", f"SELECT page_id, {_TOTAL_SQL} AS total_pages FROM ({_MARKED_SQL})")
+def total_pages(spark, sf_dir):
+    return _marked_pages(spark, sf_dir).select("page_id", PF.total_pages("html").alias("total_pages"))
+
+
+@register("blocked_filter", f"""
+SELECT page_id, url FROM ({_MARKED_SQL}) WHERE NOT (
   contains(html, 'Danh sách quá dài') OR contains(html, 'Access denied') OR
   contains(html, 'Too many requests') OR contains(html, '403 Forbidden') OR
   contains(html, 'Xác nhận không phải máy'))""")
 def blocked_filter(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    return p.filter(~PF.is_blocked("html")).select("page_id", "url")
+    return _marked_pages(spark, sf_dir).filter(~PF.is_blocked("html")).select("page_id", "url")
 
 
 @register("frontier", f"""
-WITH t AS (SELECT regexp_extract(url, '://([^/]+)', 1) AS author, {_TOTAL_SQL} AS total FROM pages),
-a AS (SELECT author, max(total) AS total FROM t WHERE author <> '' GROUP BY author),
+WITH t AS (SELECT page_id, (page_id % 11)::INTEGER AS cfg, {_TOTAL_SQL} AS total,
+                  CASE WHEN page_id % 7 = 0 THEN 'Unknown' ELSE regexp_extract(url, '://([^/]+)', 1) END AS author
+           FROM ({_MARKED_SQL})),
+a AS (SELECT author, arg_min(total, page_id) AS total FROM t WHERE author NOT IN ('', 'Unknown') GROUP BY author),
+c AS (SELECT cfg, arg_min(total, page_id) AS total FROM t WHERE cfg <> 4 GROUP BY cfg),
 cfg AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{s}', '{o}')" for i, (s, o) in enumerate(PF.SORT_CONFIGS))})
-        v(cfg_id, sort, sort_order)),
-g AS (SELECT max(total) AS total FROM t)
-SELECT 'sort' AS kind, cfg_id::VARCHAR AS seed, p::BIGINT AS page,
+        v(cfg, sort, sort_order))
+SELECT 'sort' AS kind, cfg::VARCHAR AS seed, p::BIGINT AS page,
        '{PF.SEARCH_URL}' || CASE WHEN sort <> '' THEN '&Sort=' || sort ELSE '' END ||
        CASE WHEN sort_order <> '' THEN '&SortOrder=' || sort_order ELSE '' END || '&Page=' || p::VARCHAR AS url
-FROM cfg, g, LATERAL (SELECT unnest(generate_series(1, least(g.total, {PF.MAX_PAGES}))) AS p)
+FROM cfg LEFT JOIN c USING (cfg),
+     LATERAL (SELECT unnest(generate_series(1, least(coalesce(c.total, 1), {PF.MAX_PAGES}))) AS p)
 UNION ALL
 SELECT 'author' AS kind, author AS seed, p::BIGINT AS page,
        '{PF.AUTHOR_URL}' || replace(url_encode(author), '%2F', '/') || '&Page=' || p::VARCHAR AS url
 FROM a, LATERAL (SELECT unnest(generate_series(1, least(a.total, {PF.MAX_PAGES}))) AS p)""")
 def frontier(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select(
-        F.regexp_extract("url", "://([^/]+)", 1).alias("author"), PF.total_pages("html").alias("total"))
-    return I.frontier(p, "author", "total")
+    """Pages stand for first list pages: of configuration page_id % 11 (beyond the
+    last, and configuration 4, never seen) and of an author (its host)."""
+    p = _marked_pages(spark, sf_dir).select(
+        "page_id", (F.col("page_id") % 11).cast("int").alias("cfg"), PF.total_pages("html").alias("total"),
+        F.when(F.col("page_id") % 7 == 0, F.lit("Unknown")).otherwise(
+            F.regexp_extract("url", "://([^/]+)", 1)).alias("author"))
+    first = I.first_seen(p.select("cfg", "page_id", "total").filter("cfg <> 4"), "cfg", ["page_id"])
+    authors = I.first_seen(p.select("author", "page_id", "total"), "author", ["page_id"])
+    return I.frontier(first, authors)
 
 
 _LI = '<li><a href="([^"]*)">([^<]*)</a></li>'
@@ -294,7 +321,7 @@ def incremental_ingest(spark, sf_dir):
     batch overlapping it by a tenth of the ids is ingested exactly once."""
     d = table(spark, sf_dir, "documents")
     mx = d.agg(F.max("doc_id").alias("mx"))
-    d = d.withColumn("_k", F.lit(1)).join(F.broadcast(mx.withColumn("_k", F.lit(1))), "_k")
+    d = d.crossJoin(mx)  # one row
     existing = d.filter(F.col("doc_id") < F.col("mx") / 2).select("doc_id")
     batch = d.filter(F.col("doc_id") >= F.col("mx") * 2 / 5).select("doc_id", "source", "text")
     return I.ingest_new(batch, existing, "doc_id").select("doc_id", "source", F.sha2("text", 256).alias("h"))

@@ -339,7 +339,5 @@ def train_blocks(spark, sf_dir):
          .select("split", "n_split_pos", "n_split", "ids")
     # one plan, no driver-side counts: each row carries its split's size
     blocks = P.pack(s, "ids", "n_split_pos", "n_split", BLOCK, BATCH_DOCS, SHARDS, group_cols=("split",))
-    stats = P.block_stats(blocks, BLOCK)
-    real = blocks.groupBy("split").agg(F.sum(F.size("input_ids")).cast("long").alias("real_tokens"))
-    return stats.join(real, "split").select("split", F.col("blocks").cast("long"),
-                                            F.col("tokens").cast("long"), "real_tokens")
+    # both totals from one pass over the blocks
+    return P.block_stats(blocks, BLOCK, real="real_tokens")

@@ -37,8 +37,9 @@ def get_spark(master: str | None = None, app: str = "textloom",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) is a private folder under the
-    system temp dir created and registered.
+    Only where nothing is configured and the master is local (tests) is a private
+    folder under the system temp dir created; on a cluster executors could not see
+    it, so the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="textloom-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

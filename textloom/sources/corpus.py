@@ -18,20 +18,13 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("para_dedup", T.BooleanType(), False),
 ])
 
-# A registry is a list of corpus sources; it is built on the driver from a
-# Python list, so its size is known.  Above this many sources it is no longer
-# broadcast but joined like any other table.
-MAX_BROADCAST_SOURCES = 100_000
-
-
 def registry(spark: SparkSession, sources: Sequence[str], weights: dict | None = None,
              para_sources: Sequence[str] = ()) -> DataFrame:
     """Ordered source registry: rank = position in ``sources``; weight default 1."""
     weights = weights or {}
     para = set(para_sources)
     rows = [(s, i, int(weights.get(s, 1)), s in para) for i, s in enumerate(sources)]
-    df = spark.createDataFrame(rows, REGISTRY_SCHEMA)
-    return F.broadcast(df) if len(rows) <= MAX_BROADCAST_SOURCES else df
+    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
 def fixture_registry(spark: SparkSession, n: int = 20, para: int = 10, heavy: int = 5,
@@ -43,7 +36,7 @@ def fixture_registry(spark: SparkSession, n: int = 20, para: int = 10, heavy: in
                     [f"src{i}" for i in range(para)])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -55,14 +48,15 @@ def read_corpus(spark: SparkSession, paths: Sequence[str], text_col: str = "text
     """Union of Parquet sources in registry order, reading only the text column.
 
     ``source`` is the file/dir stem, ``source_rank`` its position in ``paths``,
-    ``pos`` the row order inside the source: ``order_col`` when the data has one,
-    else (file path, row index within file) packed into a long from Spark's
-    hidden file metadata, which is stable across re-execution.
+    ``pos`` the row order inside the source: ``order_col`` when the data has one
+    (a long), else the struct (file path, row index in the file) from Spark's
+    hidden file metadata, which is stable across re-execution and ordered like the
+    files.  One registry has either kind throughout.
     Missing paths are skipped (no report row), as the reference does.
     """
     parts = []
     for rank, p in enumerate(paths):
-        if not _exists(spark, p):
+        if not path_exists(spark, p):
             if missing == "error":
                 raise FileNotFoundError(p)
             continue
@@ -71,45 +65,35 @@ def read_corpus(spark: SparkSession, paths: Sequence[str], text_col: str = "text
         if order_col:
             pos = F.col(order_col).cast("long")
         else:
-            # (file rank in path order) << 40 | row index inside the file.  The
-            # file list is metadata (one entry per file), not data.
-            files = sorted(df.inputFiles())
-            jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-            keys = {}
-            for i, f in enumerate(files):      # as listed and as the scan reports it
-                keys[f] = i
-                keys[jpath(f).toString()] = i
-            fmap = F.create_map(*[x for k, i in keys.items() for x in (F.lit(k), F.lit(i))])
-            pos = (F.element_at(fmap, F.col("_metadata.file_path")).cast("long") * F.lit(1 << 40)
-                   + F.col("_metadata.row_index"))
+            pos = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
         parts.append(df.select(F.lit(stem).alias("source"), F.lit(rank).alias("source_rank"),
                                pos.alias("pos"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     if not parts:
-        return spark.createDataFrame([], "source string, source_rank int, pos long, text string")
+        pos = "long" if order_col else "struct<file: string, row: bigint>"
+        return spark.createDataFrame([], f"source string, source_rank int, pos {pos}, text string")
     out = parts[0]
     for d in parts[1:]:
         out = out.unionByName(d)
-    # pos is fixed from file metadata above, so redistributing is order-safe
-    return spread(out)
+    return out
+
+
+#: Session setting: number of partitions that ``spread`` deals a table into.
+SPREAD = "spark.textloom.scanPartitions"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Text work is CPU-heavy per row.  When the input has fewer files than the
-    cluster has task slots (a small single-file table), the scan yields too few
-    useful tasks, so rows are redistributed round-robin once.  Large inputs
-    (many files) are left alone: their scan is already parallel and a
-    repartition would only add a full shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < slots:
-        return df.repartition(slots)
-    return df
+    """Round-robin over ``spark.textloom.scanPartitions`` partitions if the session
+    sets it, else the frame as it is.  Meant for tables stored as fewer files than
+    there are task slots (a whole small table in one row group); elsewhere the
+    scan splits files by ``spark.sql.files.maxPartitionBytes``."""
+    n = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df
 
 
 def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's ``documents`` table as a corpus: order = doc_id."""
     reg = fixture_registry(spark).select("source", "source_rank")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    docs = docs.select("source", F.col("doc_id").cast("long").alias("pos"),
+    docs = spread(docs).select("source", F.col("doc_id").cast("long").alias("pos"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    # no spread here: dedup hash-partitions the text on (source_rank, pos) itself
     return docs.join(reg, "source")

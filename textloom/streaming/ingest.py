@@ -4,7 +4,8 @@ Parquet table exactly once per key.
 Keys never expire in the reference, so keeping them in streaming state would
 grow without bound.  Instead every micro-batch is anti-joined against the
 output table itself (``foreachBatch``); the stream's checkpoint makes the
-batch boundaries durable, and the anti-join makes a replayed batch a no-op.
+batch boundaries durable, and the anti-join makes a replayed batch a no-op.  The scan of
+the table is limited to the batch's key range, which Parquet statistics prune.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.incremental import ingest_new
+from ..sources.corpus import path_exists
 
 
 def _table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
+    """Empty only if the table does not exist yet; a table that exists but cannot
+    be read is an error, or everything would be appended again."""
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001  (first batch: table does not exist yet)
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def start_ingest(spark: SparkSession, src_dir: str, table_path: str, checkpoint: str,
@@ -30,7 +33,8 @@ def start_ingest(spark: SparkSession, src_dir: str, table_path: str, checkpoint:
     stream = spark.readStream.schema(schema).format(fmt).load(src_dir)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        existing = _table_or_empty(batch.sparkSession, table_path, schema)
+        lo, hi = batch.agg(F.min(key), F.max(key)).first()
+        existing = _table_or_empty(batch.sparkSession, table_path, schema).filter(F.col(key).between(lo, hi))
         new = ingest_new(batch, existing.select(key), key)
         new.withColumn("_epoch", F.lit(epoch).cast("long")).write.mode("append").parquet(table_path)
 
