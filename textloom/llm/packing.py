@@ -146,8 +146,7 @@ def token_pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
         narrow = enc.dtype == "<u2"
         for b in slices(batches):
             index, rows = [], []
-            for i, text in enumerate(b.column("t").to_pylist()):
-                ids = enc.ids(text)
+            for i, ids in enumerate(enc.batch(b.column("t").to_pylist())):
                 if end_id is not None:
                     ids = np.r_[ids, np.array([end_id], dtype=enc.dtype)]
                 for at in range(0, len(ids), tokens):

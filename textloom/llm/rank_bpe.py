@@ -58,7 +58,7 @@ class RankBpe:
             self.pieces[i] = bytes(byte_of[c] for c in token)
         for token, i in self.added.items():
             self.pieces[i] = token.encode()
-        self.encoder = ChunkEncoder(self._encode, self.dtype, list(self.added))
+        self.encoder = ChunkEncoder(lambda strings: [self._encode(x) for x in strings], self.dtype, list(self.added))
 
     def word(self, data: bytes) -> list[int]:
         """Ids of one word."""
@@ -153,7 +153,7 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for b in slices(batches):
-            ids = [bpe.encode(t) for t in b.column("t").to_pylist()]
+            ids = bpe.encoder.batch(b.column("t").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), _ints(ids), pa.array([bpe.decode(i) for i in ids], pa.string())],
                 ["_id", "ids", "decoded"])

@@ -86,8 +86,9 @@ def _write(folder: str, tokenizer: str, end_id: int | None):
         offset = records = tokens = 0
         with fs.open_output_stream(f"{path}/{name}.rec") as out, fs.open_output_stream(f"{path}/{name}.idx") as index:
             for b in slices(batches):
-                for i, text in zip(b.column("_id").to_pylist(), b.column("t").to_pylist(), strict=True):
-                    ids = enc.ids(text).tobytes() + end
+                texts = enc.batch(b.column("t").to_pylist())
+                for i, ids in zip(b.column("_id").to_pylist(), texts, strict=True):
+                    ids = ids.tobytes() + end
                     n = len(ids) // np.dtype(enc.dtype).itemsize
                     record = frame(payload(i, ids))
                     out.write(record)

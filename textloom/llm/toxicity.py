@@ -333,7 +333,7 @@ class WordTable:
         self.table = self.model.gates(np.zeros((0, self.model.cfg.dim), dtype=np.float32))
 
     def lookup(self, docs: list[list[str]]) -> np.ndarray:
-        new = list(set().union(*docs) - self.rows.keys())
+        new = list(set().union(*docs).difference(self.rows))
         if len(self.rows) + len(new) > WORDS:
             self.clear()
             new = list(set().union(*docs))
