@@ -200,3 +200,28 @@ def summary(report: DataFrame, totals: DataFrame) -> DataFrame:
                         line(F.lit("TOTAL"), F.col("total_original_docs"), F.col("total_deduped_docs"),
                              F.col("total_removed_docs"), F.col("duplicate_rate")).alias("line"))
     return per.unionByName(tot)
+
+
+def audit_summary(audit: DataFrame, order: Column, first: int = (1 << 30) + 1) -> DataFrame:
+    """A5, second part: the lines of a token audit (``operators.audit.token_audit``,
+    one row per source): run-wide counts, one line per source in ``order``, then
+    the surplus or gap.  ``_o`` continues that of ``summary`` from ``first``."""
+    def n(c):
+        return F.format_number(c, 0)
+
+    gap = F.col("budget_gap_or_surplus")
+    factor = F.coalesce(F.col("repeat_factor"), F.lit(0.0))
+    run = [F.concat(F.lit("Unique tokens after dedup: "), n("unique_tokens")),
+           F.concat(F.lit("Training token budget: "), n("token_budget")),
+           F.concat(F.lit("Repeat factor (unweighted): "), F.format_string("%.2fx", factor))]
+    end = [F.concat(F.lit("Effective tokens: "), n("effective_tokens_with_weights")),
+           F.when(F.col("enough_for_budget"), F.concat(F.lit("Surplus: "), n(gap), F.lit(" tokens above budget")))
+           .otherwise(F.concat(F.lit("Gap: "), n(-gap), F.lit(" tokens below budget")))]
+
+    def lines(columns, begin):
+        at = F.array(*[F.struct((F.lit(begin + i)).cast("int").alias("_o"), c.alias("line")) for i, c in enumerate(columns)])
+        return audit.limit(1).select(F.explode(at).alias("x")).select("x._o", "x.line")  # run-wide columns
+
+    per = audit.select((F.lit(first + len(run)) + order).cast("int").alias("_o"), F.format_string(
+        "%s %s  x%d  = %s", "source", n("tokens"), "weight", n("weighted_tokens")).alias("line"))
+    return lines(run, first).unionByName(per).unionByName(lines(end, first + (1 << 20)))

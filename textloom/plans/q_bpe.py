@@ -3,6 +3,7 @@ counts and the weighted token audit of the deduplicated corpus."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..operators import audit as A
 from ..operators import bpe as B
@@ -30,7 +31,14 @@ _DOC_TOKENS_SQL = ("(strlen(t) - " + _count_sql("t", " t") + " - " + _count_sql(
                    + _count_sql("t", " the") + " - " + _count_sql("replace(t, 'he', '#')", "en") + ")")
 
 
-@register("pretoken_counts")
+# RE2 has no look-ahead: a mark before the last character of each white-space run
+# that a word follows makes the split pattern expressible without one
+@register("pretoken_counts", """
+SELECT word, count(*) AS n FROM (
+  SELECT unnest(regexp_extract_all(
+    regexp_replace(nfc_normalize(coalesce(text, '')), '(\\s)(\\S)', chr(1) || '\\1\\2', 'g'),
+    '''s|''t|''re|''ve|''m|''ll|''d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}\\x01]+|\\s+')) AS word
+  FROM documents) GROUP BY word""")
 def pretoken_counts(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return B.pretoken_counts(d, "text")
@@ -67,17 +75,44 @@ def token_counts(spark, sf_dir):
     return B.token_counts(_kept(spark, sf_dir), _few_merges(spark), ["source"])
 
 
-@register("token_audit", _TOKENS_SQL + f"""
+_AUDIT_SQL = _TOKENS_SQL + f"""
 , per AS (SELECT tc.source, tc.tokens, coalesce(r.weight, 1)::BIGINT AS weight,
                  (tc.tokens * coalesce(r.weight, 1))::BIGINT AS weighted_tokens
           FROM tc LEFT JOIN reg r USING (source)),
 tot AS (SELECT sum(tokens)::BIGINT AS unique_tokens, sum(weighted_tokens)::BIGINT AS eff FROM per)
+, audit AS (
 SELECT source, tokens, weight, weighted_tokens, unique_tokens, eff AS effective_tokens_with_weights,
        {A.TOKEN_BUDGET}::BIGINT AS token_budget,
        CASE WHEN unique_tokens > 0 THEN round_even({A.TOKEN_BUDGET}::DOUBLE / unique_tokens, 2) END
          AS repeat_factor,
        eff >= {A.TOKEN_BUDGET} AS enough_for_budget, (eff - {A.TOKEN_BUDGET})::BIGINT AS budget_gap_or_surplus
-FROM per, tot""")
+FROM per, tot)"""
+
+
+@register("token_audit", _AUDIT_SQL + " SELECT * FROM audit")
 def token_audit(spark, sf_dir):
     counts = B.token_counts(_kept(spark, sf_dir), _few_merges(spark), ["source"])
     return A.token_audit(counts, fixture_registry(spark))
+
+
+_N = "format('{{:,}}', {})".format
+
+
+@register("audit_summary", _AUDIT_SQL + f"""
+SELECT ({(1 << 30) + 4} + source_rank)::INTEGER AS _o,
+       source || ' ' || {_N('tokens')} || '  x' || weight::VARCHAR || '  = ' || {_N('weighted_tokens')} AS line
+FROM audit JOIN (SELECT source, source_rank FROM reg) r USING (source)
+UNION ALL (SELECT u._o, u.line FROM (SELECT unnest([
+    {{'_o': {(1 << 30) + 1}::INTEGER, 'line': 'Unique tokens after dedup: ' || {_N('unique_tokens')}}},
+    {{'_o': {(1 << 30) + 2}::INTEGER, 'line': 'Training token budget: ' || {_N('token_budget')}}},
+    {{'_o': {(1 << 30) + 3}::INTEGER, 'line': 'Repeat factor (unweighted): ' || printf('%.2fx', coalesce(repeat_factor, 0))}},
+    {{'_o': {(1 << 30) + 1 + (1 << 20)}::INTEGER, 'line': 'Effective tokens: ' || {_N('effective_tokens_with_weights')}}},
+    {{'_o': {(1 << 30) + 2 + (1 << 20)}::INTEGER, 'line': CASE WHEN enough_for_budget
+      THEN 'Surplus: ' || {_N('budget_gap_or_surplus')} || ' tokens above budget'
+      ELSE 'Gap: ' || {_N('-budget_gap_or_surplus')} || ' tokens below budget' END}}]) AS u
+  FROM (SELECT * FROM audit LIMIT 1)))""")
+def audit_summary(spark, sf_dir):
+    """A5, token-audit lines."""
+    reg = fixture_registry(spark)
+    audit = token_audit(spark, sf_dir).join(reg.select("source", "source_rank"), "source")
+    return D.audit_summary(audit, F.col("source_rank"))

@@ -104,7 +104,21 @@ def dedup_totals_q(spark, sf_dir):
     return D.dedup_totals(_status(spark, sf_dir))
 
 
-@register("dedup_summary")
+def _line_sql(name: str, o: str, k: str, r: str, rate: str) -> str:
+    return (f"{name} || ' ' || format('{{:,}}', {o}) || ' -> ' || format('{{:,}}', {k}) || '  (-' || "
+            f"format('{{:,}}', {r}) || ', ' || printf('%.1f', round_even({rate} * 100, 1)) || '%)'")
+
+
+@register("dedup_summary", f"""
+WITH {dedup_ctes()},
+per AS (SELECT r.source, r.source_rank, count(s.source)::BIGINT AS o, count(*) FILTER (WHERE s.status = 'kept')::BIGINT AS k
+        FROM reg r LEFT JOIN status s USING (source) GROUP BY r.source, r.source_rank),
+tot AS (SELECT sum(o)::BIGINT AS o, sum(k)::BIGINT AS k FROM per)
+SELECT source_rank::INTEGER AS _o, {_line_sql('source', 'o', 'k', '(o - k)',
+    'CASE WHEN o > 0 THEN round_even((o - k) / o, 4) ELSE 0.0 END')} AS line FROM per
+UNION ALL
+SELECT {1 << 30}::INTEGER, {_line_sql("'TOTAL'", 'o', 'k', '(o - k)',
+    'CASE WHEN o > 0 THEN round_even((o - k) / o, 4) ELSE 0.0 END')} FROM tot""")
 def dedup_summary(spark, sf_dir):
     """A5 text lines over the report and totals."""
     st = _status(spark, sf_dir)
