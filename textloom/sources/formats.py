@@ -99,7 +99,7 @@ def write_corpus(df: DataFrame, path: str, partition_col: str = "source") -> Non
 def jsonl_to_parquet(spark: SparkSession, src: str, dst: str, schema: T.StructType = ARTICLE_SCHEMA) -> int:
     """K2: malformed lines skipped; no valid record -> error, nothing written."""
     df = valid_rows(read_jsonl(spark, src, schema, lenient=True))
-    if df.limit(1).count() == 0:
+    if not df.head(1):
         raise ValueError(f"no valid records in {src}")
     df.write.mode("overwrite").parquet(dst)
     return spark.read.parquet(dst).count()
