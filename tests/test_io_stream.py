@@ -2,6 +2,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from textloom.operators import incremental as I
@@ -59,3 +60,21 @@ def test_streaming_ingest_exactly_once(spark):
     q.awaitTermination()
     ids = sorted(r.id for r in spark.read.parquet(out).collect())
     assert ids == [1, 2, 3, 4]
+
+
+def test_ingest_keeps_the_first_by_order(spark):
+    batch = spark.createDataFrame([("a", 3, "z"), ("a", 1, "y"), ("b", 2, "x")], "url string, seq int, text string")
+    table = spark.createDataFrame([("b",)], "url string")
+    got = [tuple(r) for r in I.ingest_new(batch.repartition(3), table, "url", ["seq"]).collect()]
+    assert got == [("a", 1, "y")]
+
+
+def test_unreadable_table_is_an_error(spark):
+    from textloom.streaming.ingest import _table_or_empty
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    out = tmpdir()
+    assert _table_or_empty(spark, out + "/none", schema).collect() == []
+    with open(os.path.join(out, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        _table_or_empty(spark, out, schema).collect()
