@@ -43,13 +43,24 @@ def has_phrase(c: Column) -> Column:
     return found
 
 
-def line_fails(line: Column, bare: Column, separators: Column, phrases: Column) -> Column:
-    """The three line rules.  ``bare``: the line without punctuation;
-    ``separators``, ``phrases``: whether its document has any at all."""
-    punctuation = ((100 * (F.length(line) - F.length(bare)) > MAX_PUNCTUATION * F.length(line))
-                   & line.rlike(f"([^\\x20\\x09-\\x0D]+{SPACE}+){{{MIN_LINE_WORDS - 1}}}[^\\x20\\x09-\\x0D]"))
-    navigation = separators & line.rlike("[|>]([^|>]*[|>]){%d}" % (MIN_SEPARATORS - 1))
-    return punctuation | navigation | (phrases & has_phrase(line))
+def bad_punctuation(line: Column, bare: Column) -> Column:
+    """``bare``: the line without punctuation."""
+    return ((100 * (F.length(line) - F.length(bare)) > MAX_PUNCTUATION * F.length(line))
+            & line.rlike(f"([^\\x20\\x09-\\x0D]+{SPACE}+){{{MIN_LINE_WORDS - 1}}}[^\\x20\\x09-\\x0D]"))
+
+
+def navigation(line: Column) -> Column:
+    return line.rlike("[|>]([^|>]*[|>]){%d}" % (MIN_SEPARATORS - 1))
+
+
+def failing_lines(text: Column, lines: str) -> Column:
+    """The lines, null where none of the three line rules fails.  Navigation and
+    boilerplate are looked for only in texts that hold a separator or phrase."""
+    bare = F.split(without(text, PUNCTUATION), "\n", -1)
+    return F.when(
+        text.contains("|") | text.contains(">") | has_phrase(text),
+        F.zip_with(lines, bare, lambda x, b: F.when(bad_punctuation(x, b) | navigation(x) | has_phrase(x), x))
+    ).otherwise(F.zip_with(lines, bare, lambda x, b: F.when(bad_punctuation(x, b), x)))
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -89,13 +100,9 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                 (acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).alias("n")),
         lambda acc: acc["n"])
     full = F.filter("_lines", lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    # rules that need a certain character or phrase look at lines only where the text has it
-    d = (d.withColumn("_full", full).withColumn("_bare", F.split(without(t, PUNCTUATION), "\n", -1))
-         .withColumn("_sep", t.contains("|") | t.contains(">")).withColumn("_phrase", has_phrase(t)))
-    failing = F.transform("_lines", lambda x, i: F.when(
-        line_fails(x, F.get("_bare", i), F.col("_sep"), F.col("_phrase")), x))
-    d = d.withColumn("_fails", failing).withColumn("n_repeat_words", covered)
-    return_lines = F.filter("_lines", lambda x, i: F.get("_fails", i).isNull())
+    d = (d.withColumn("_full", full).withColumn("_fails", failing_lines(t, "_lines"))
+         .withColumn("n_repeat_words", covered))
+    passing = F.zip_with("_lines", "_fails", lambda x, bad: F.when(bad.isNull(), x))
     d = d.select(
         id_col, F.col("_n").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
@@ -104,9 +111,11 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "n_repeat_words",
         ((F.col("_n") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("_n"))).alias("base_failed"),
         F.length(without(F.array_join("_fails", ""), SPACE)).cast("long").alias("removed_chars"),
-        F.array_join(return_lines, "\n").alias("clean_text"))
-    return d.withColumn("kept", ~F.col("base_failed") & (
-        100 * F.col("removed_chars") <= MAX_REMOVED * F.col("word_chars")))
+        F.array_join(passing, "\n").alias("clean_text"))
+    kept = ~F.col("base_failed") & (100 * F.col("removed_chars") <= MAX_REMOVED * F.col("word_chars"))
+    # not deterministic in name only: else a filter on the verdict is pushed down to the
+    # scan, where it carries a copy of every expression above, once per reference
+    return d.withColumn("kept", F.when(F.monotonically_increasing_id() >= 0, kept))
 
 
 def quality_keep(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
