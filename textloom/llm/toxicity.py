@@ -14,7 +14,6 @@ the labelled rows.  Scoring runs in the tasks, over every window of every text.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -75,7 +74,7 @@ def char_ngrams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]
             owner.append(word[at])
     owner_all = np.concatenate(owner)
     order = np.argsort(owner_all, kind="stable")
-    return np.concatenate(found)[order].astype(np.int64), np.bincount(owner_all, minlength=len(marked))
+    return np.concatenate(found)[order].astype(np.int32), np.bincount(owner_all, minlength=len(marked))
 
 
 def sigmoid(x):
@@ -156,12 +155,19 @@ class Model:
         wid = np.array([self.vocabulary.get(bare(w), 0) for w in words], dtype=np.int64)
         if not words:
             return wid, wid, wid, wid
-        grams, size = char_ngrams(words, self.cfg.ngrams)
+        parts = [char_ngrams(words[i:i + (1 << 14)], self.cfg.ngrams) for i in range(0, len(words), 1 << 14)]
+        grams, size = (np.concatenate(x) for x in zip(*parts, strict=True))
         return wid, grams, np.cumsum(size) - size, size
 
     def vectors(self, f) -> np.ndarray:
         wid, grams, begin, size = f
-        return self.p["word"][wid] + np.add.reduceat(self.p["char"][grams], begin, axis=0) / size[:, None]
+        out = np.empty((len(wid), self.cfg.dim), dtype=self.p["word"].dtype)
+        ends = np.r_[begin, len(grams)]
+        for a in range(0, len(wid), 1 << 14):  # the n-grams' vectors are many times the words'
+            b = min(a + (1 << 14), len(wid))
+            chars = self.p["char"][grams[ends[a]:ends[b]]]
+            out[a:b] = self.p["word"][wid[a:b]] + np.add.reduceat(chars, begin[a:b] - ends[a], axis=0) / size[a:b, None]
+        return out
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """Both directions' x-gates of word vectors; the row of the padding comes
@@ -265,7 +271,7 @@ def _loss_step(m: Model, f, idx: np.ndarray, y: np.ndarray) -> dict[str, np.ndar
     return g
 
 
-def _log_odds(features: list[np.ndarray], y: list[int], size: int, floor: float = 2.0) -> np.ndarray:
+def _log_odds(features: Iterator[np.ndarray], y: list[int], size: int, floor: float = 2.0) -> np.ndarray:
     """Smoothed log-odds of each feature's presence in a text: where the vectors'
     first dimension starts."""
     seen = np.zeros((2, size))
@@ -280,25 +286,29 @@ def train(texts: list[str], y: list[int], cfg: Config = Config()) -> Model:
     """Fit on texts and 0/1 labels.  With one class only, or none, the model
     scores every text by the share of ones (0 without rows)."""
     prior = float(np.mean(y)) if y else 0.0
-    docs = [words_of(t) for t in texts]
-    have = [i for i, d in enumerate(docs) if d]
-    docs, labels = [docs[i] for i in have], [int(y[i]) for i in have]
+    index: dict[str, int] = {}  # the only copy of the words' strings
+    rows = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], dtype=np.int32) for t in texts]
+    labels = [int(v) for r, v in zip(rows, y, strict=True) if len(r)]
+    rows = [r for r in rows if len(r)]
     if len(set(labels)) < 2:
         return Model(cfg, [], prior)
-    sets = [{bare(w) for w in d} for d in docs]
-    found = Counter(w for s in sets for w in s)
-    vocabulary = [w for w, n in sorted(found.items(), key=lambda x: (-x[1], x[0])) if n >= cfg.min_texts][:cfg.vocabulary]
+    stems: dict[str, int] = {}
+    stem = np.array([stems.setdefault(bare(w), len(stems)) for w in index], dtype=np.int64)
+    found = np.zeros(len(stems), dtype=np.int64)
+    for r in rows:
+        found[np.unique(stem[r])] += 1
+    often = sorted((-int(n), w) for w, n in zip(stems, found, strict=True) if n >= cfg.min_texts)
+    vocabulary = [w for _, w in often[:cfg.vocabulary]]
     m = Model(cfg, vocabulary, prior)
     m.key = f"{zlib.crc32(repr((cfg, vocabulary, labels)).encode())}-{len(texts)}"
-    index: dict[str, int] = {}
-    rows = [np.array([index.setdefault(w, len(index)) for w in d], dtype=np.int64) for d in docs]
     f = m.features(list(index))
     wid, grams, begin, size = f
     each = [np.unique(r) for r in rows]
-    m.p["word"][1:, 0] += _log_odds([wid[e] for e in each], labels, len(vocabulary) + 1)[1:] / 4
-    m.p["char"][:, 0] += _log_odds([np.concatenate([grams[begin[w]:begin[w] + size[w]] for w in e]) for e in each],
+    m.p["word"][1:, 0] += _log_odds((wid[e] for e in each), labels, len(vocabulary) + 1)[1:] / 4
+    m.p["char"][:, 0] += _log_odds((np.concatenate([grams[begin[w]:begin[w] + size[w]] for w in e]) for e in each),
                                    labels, cfg.ngrams) / 4
-    idx, first = m.windows([len(d) for d in docs], np.concatenate(rows) + 1)
+    idx, first = m.windows([len(r) for r in rows], np.concatenate(rows) + 1)
+    idx = idx.astype(np.int32)
     ends = np.r_[first[1:], len(idx)]
     target = np.array(labels, dtype=np.float32)
     rng = np.random.default_rng(cfg.seed)
