@@ -7,7 +7,7 @@ from textloom.llm import rank_bpe
 from textloom.llm.tokens import library_encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-CASES = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\n\nb c", "Hello, world! It's fine.",
+CASES = ["a.\nB, c.\n\nd. e\n f.", "x.\ny.\nz,", "½. ²., a.. b., 3,4, .", "a\n.b \n, c.\n", "one.\n", "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\n\nb c", "Hello, world! It's fine.",
          "tab\tsep \t x", "naïve café — ünïcode 漢字 🙂 é", "a<|endoftext|>b <|endoftext|>", "1234 56 %%% &&& ...",
          "x" * 700, "ab" * 400, " nb sp   em", "\x1cfile\x1d sep", "end \n", "\n start", " 'll don't",
          "İ ẞ é", "a \u0085 b", "words " * 300, "漢" * 300]

@@ -25,7 +25,7 @@ from .common import slices, text_or_empty
 from .tokens import library_encoder
 
 #: Examples per group, on average.
-GROUP = 2048
+GROUP = 512
 
 
 @dataclass(frozen=True)
@@ -144,7 +144,7 @@ def token_pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = library_encoder(tokenizer)
         narrow = enc.dtype == "<u2"
-        for b in slices(batches):
+        for b in slices(batches, 1024):
             index, rows = [], []
             for i, ids in enumerate(enc.batch(b.column("t").to_pylist())):
                 if end_id is not None:

@@ -85,7 +85,7 @@ def _write(folder: str, tokenizer: str, end_id: int | None):
         fs.create_dir(path, recursive=True)
         offset = records = tokens = 0
         with fs.open_output_stream(f"{path}/{name}.rec") as out, fs.open_output_stream(f"{path}/{name}.idx") as index:
-            for b in slices(batches):
+            for b in slices(batches, 1024):
                 texts = enc.batch(b.column("t").to_pylist())
                 for i, ids in zip(b.column("_id").to_pylist(), texts, strict=True):
                     ids = ids.tobytes() + end

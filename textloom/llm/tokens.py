@@ -1,10 +1,11 @@
 """Token ids of whole texts by a fixed public tokenizer, with a bounded cache.
 
 A byte-level BPE pre-tokenizer binds a single space between two other characters
-to what follows it, so what stands between such spaces is encoded on its own and
-can be cached.  The cache maps such a chunk to the bytes of its ids; a text's ids
-are one join of them.  The chunks that a batch of texts lacks are encoded
-together.  Tokenizers of another kind encode whole texts.
+to what follows it, and parts a single line break from both, so what stands between
+them is encoded on its own and can be cached.  The cache maps such a chunk to the
+bytes of its ids; a text's ids are one join of them.  The chunks that a batch of
+texts lacks are encoded together; a full stop or comma behind a word is a token of
+its own.  Tokenizers of another kind encode whole texts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 from itertools import islice
@@ -20,15 +22,26 @@ import numpy as np
 
 #: Chunks kept per worker, and the longest kept.  When the cache is full the
 #: older half stays: frequent chunks are met first.
-CACHE, LONGEST = 400_000, 64
+CACHE, LONGEST = 600_000, 64
 #: Strings encoded in one call.
 TOGETHER = 1000
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _unsafe(chunk: str) -> bool:
-    """White space at an end: the chunk is not encoded on its own."""
-    return not chunk or chunk[0].isspace() or chunk[-1].isspace()
+    """More white space at an end than one line break in front: the chunk is not
+    encoded on its own."""
+    word = chunk[1:] if chunk[:1] == "\n" else chunk
+    return not word or word[0].isspace() or word[-1].isspace()
+
+
+def _string(chunk: str) -> str:
+    return chunk if chunk[0] == "\n" else " " + chunk
+
+
+def _stem(chunk: str) -> str | None:
+    """The chunk without a last full stop or comma, if a letter or digit is before."""
+    return chunk[:-1] if chunk[-1] in ".," and chunk[-2:-1].isalnum() else None
 
 
 class ChunkEncoder:
@@ -53,7 +66,7 @@ class ChunkEncoder:
             if self.whole or any(a in text for a in self.added):
                 parts.append((text, (), ""))
                 continue
-            first, *rest = text.split(" ")
+            first, *rest = text.replace("\n", " \n").split(" ")
             lacking = set(rest).difference(self.chunks)
             last = ""
             if rest and (not first or first[-1].isspace()) or any(map(_unsafe, lacking)):
@@ -63,14 +76,17 @@ class ChunkEncoder:
                 lacking = set(rest).difference(self.chunks)
             new |= lacking
             parts.append((first, rest, last))
-        fresh = list(new)
+        stems = {c: stem for c in new if (stem := _stem(c))}
+        fresh = list(new.difference(stems).union(set(stems.values()).difference(self.chunks)))
         ends = [x for first, _, last in parts for x in (first, last)]
-        found = self.encode_many([*(" " + c for c in fresh), *ends])
+        found = self.encode_many([*map(_string, fresh), *ends, ".", ","])
         self.chunks.update(zip(fresh, found, strict=False))
+        mark = {".": found[-2], ",": found[-1]}
         get, ends = self.chunks.__getitem__, found[len(fresh):]
+        self.chunks.update({c: get(stem) + mark[c[-1]] for c, stem in stems.items()})
         out = [np.frombuffer(b"".join([ends[2 * i], *map(get, rest), ends[2 * i + 1]]), dtype=self.dtype)
                for i, (_, rest, _) in enumerate(parts)]
-        for c in fresh:
+        for c in (*fresh, *stems):
             if len(c) > LONGEST:
                 del self.chunks[c]
         if len(self.chunks) > CACHE:
@@ -100,10 +116,11 @@ def library_encoder(path: str) -> ChunkEncoder:
     chunked = (spec["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex")
                and not pre.get("add_prefix_space") and not spec.get("normalizer"))
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel unit
+    code = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
     batch = getattr(tok, "encode_batch_fast", tok.encode_batch)
 
     def encode_many(strings: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=dtype).tobytes() for at in range(0, len(strings), TOGETHER)
+        return [array(code, e.ids).tobytes() for at in range(0, len(strings), TOGETHER)
                 for e in batch(strings[at:at + TOGETHER], add_special_tokens=False)]
 
     return ChunkEncoder(encode_many, dtype, [t["content"] for t in spec["added_tokens"]], whole=not chunked)
