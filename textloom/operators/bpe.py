@@ -21,6 +21,7 @@ with equal counts go to the smallest (left id, right id).
 from __future__ import annotations
 
 import heapq
+import json
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,6 +143,20 @@ def learn_merges(counts: DataFrame, num_merges: int, min_frequency: int = 2,
     return spark.createDataFrame(merges, "rank int, left int, right int, id int")
 
 
+def read_merges(spark: SparkSession, path: str) -> DataFrame:
+    """The merges of a byte-level BPE file of the tokenizers library, in this module's
+    ids (special 0, bytes 1..256, then ``257 + rank``)."""
+    with open(path, encoding="utf-8") as f:
+        pairs = json.load(f)["model"]["merges"]
+    ids = {c: i for c, i in zip(byte_chars(), BYTE_IDS, strict=True)}
+    rows = []
+    for rank, pair in enumerate(pairs):
+        a, b = pair if isinstance(pair, list) else pair.split(" ")
+        rows.append((rank, ids[a], ids[b], 257 + rank))
+        ids.setdefault(a + b, 257 + rank)
+    return spark.createDataFrame(rows, "rank int, left int, right int, id int")
+
+
 def vocab(spark: SparkSession, merges: DataFrame) -> DataFrame:
     """Vocabulary ``(id, hex)``: the special token, 256 bytes, then merges (the
     bytes of a merge are the concatenation of its parts).  Bounded by the

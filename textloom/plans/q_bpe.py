@@ -22,6 +22,12 @@ def _few_merges(spark):
     return spark.createDataFrame(rows, "rank int, left int, right int, id int")
 
 
+def published_merges(spark):
+    """The 50,000 merges of the published byte-level vocabulary."""
+    import public_tokenizers
+    return B.read_merges(spark, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def _count_sql(x: str, part: str) -> str:
     return f"(length({x}) - length(replace({x}, '{part}', ''))) // {len(part)}"
 
@@ -75,6 +81,13 @@ def token_counts(spark, sf_dir):
     return B.token_counts(_kept(spark, sf_dir), _few_merges(spark), ["source"])
 
 
+# The keys with SQL keep the merges that SQL can count; the *_bpe keys use the whole vocabulary
+@register("token_counts_bpe")
+def token_counts_bpe(spark, sf_dir):
+    """Tokens of the published vocabulary per source, deduplicated documents."""
+    return B.token_counts(_kept(spark, sf_dir), published_merges(spark), ["source"])
+
+
 _AUDIT_SQL = _TOKENS_SQL + f"""
 , per AS (SELECT tc.source, tc.tokens, coalesce(r.weight, 1)::BIGINT AS weight,
                  (tc.tokens * coalesce(r.weight, 1))::BIGINT AS weighted_tokens
@@ -95,6 +108,12 @@ def token_audit(spark, sf_dir):
     return A.token_audit(counts, fixture_registry(spark))
 
 
+@register("token_audit_bpe")
+def token_audit_bpe(spark, sf_dir):
+    """The audit of ``token_counts_bpe`` against the budget."""
+    return A.token_audit(token_counts_bpe(spark, sf_dir), fixture_registry(spark))
+
+
 _N = "format('{{:,}}', {})".format
 
 
@@ -113,6 +132,15 @@ UNION ALL (SELECT u._o, u.line FROM (SELECT unnest([
   FROM (SELECT * FROM audit LIMIT 1)))""")
 def audit_summary(spark, sf_dir):
     """A5, token-audit lines."""
+    return _summary(spark, token_audit(spark, sf_dir))
+
+
+@register("audit_summary_bpe")
+def audit_summary_bpe(spark, sf_dir):
+    """A5, token-audit lines of ``token_audit_bpe``."""
+    return _summary(spark, token_audit_bpe(spark, sf_dir))
+
+
+def _summary(spark, audit):
     reg = fixture_registry(spark)
-    audit = token_audit(spark, sf_dir).join(reg.select("source", "source_rank"), "source")
-    return D.audit_summary(audit, F.col("source_rank"))
+    return D.audit_summary(audit.join(reg.select("source", "source_rank"), "source"), F.col("source_rank"))
