@@ -55,3 +55,41 @@ def test_token_audit_counts_the_vocabulary(spark, folder, encode):
         assert r.repeat_factor == round(TOKEN_BUDGET / total, 2) and r.budget_gap_or_surplus == total - TOKEN_BUDGET
     lines = [r.line for r in QUERIES["audit_summary_bpe"](spark, folder).collect()]
     assert f"Unique tokens after dedup: {total:,}" in lines
+
+
+def test_packing_and_budget_use_the_vocabulary(spark, folder, encode):
+    from model import pack_model
+    from textloom.plans.q_train import BATCH_DOCS, BLOCK, SHARDS
+    blocks = pack_model([[*encode(t), 0] for _, t in sorted(TEXTS.items())], BLOCK, BATCH_DOCS, SHARDS)
+    got = QUERIES["pack_blocks_bpe"](spark, folder).orderBy("shard", "batch", "block_idx").collect()
+    assert [(r.n_tokens, r.tok_sum, r.tok_wsum, r.first_tok, r.last_tok) for r in got] == [
+        (len(b), sum(b), sum(x * (i + 1) for i, x in enumerate(b)), b[0], b[-1]) for b in blocks]
+    want = {}
+    for i, t in TEXTS.items():
+        want[f"src{10 + i % 2}"] = want.get(f"src{10 + i % 2}", 0) + len(encode(t)) + 1
+    budget = QUERIES["step_budget_bpe"](spark, folder).collect()
+    assert {r.source: r.tokens for r in budget} == want
+    assert all(r.max_steps == r.tokens // r.tokens_per_step for r in budget)
+    # weight 1, all blocks short: the splits hold every token
+    split = QUERIES["train_blocks_bpe"](spark, folder).collect()
+    assert {r.split for r in split} == {"eval", "train"} and sum(r.real_tokens for r in split) == sum(want.values())
+
+
+def test_wrapped_samples_use_the_vocabulary(spark, encode, tmp_path):
+    texts = [*TEXTS.values(), None, "", "  lead", "long " * 90]
+    rows = [(1, i, "user", t) for i, t in enumerate(texts)]
+    (spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+     .write.parquet(f"{tmp_path}/conversations.parquet"))
+    got = {r.turn: r for r in QUERIES["mask_labels_bpe"](spark, str(tmp_path)).collect()}
+    samples = [encode("thơ:\n" + (t or "") + B.SPECIAL) for t in texts]
+    prefix = len(encode("thơ:\n"))
+    for i, ids in enumerate(samples):
+        kept = ids[:64]
+        pad = 64 - len(kept)
+        assert got[i].input_ids == ",".join(map(str, kept + [0] * pad))
+        assert got[i].attention_mask == ",".join(["1"] * len(kept) + ["0"] * pad)
+        labels = [x if k >= prefix else -100 for k, x in enumerate(kept)] + [-100] * pad
+        assert got[i].labels == ",".join(map(str, labels))
+    stats = QUERIES["stage2_token_stats_bpe"](spark, str(tmp_path)).collect()
+    assert sum(r.tokens for r in stats) == sum(min(len(s), 64) for s in samples)
+    assert sum(r.samples for r in stats) == len(texts)

@@ -173,6 +173,8 @@ def vocab(spark: SparkSession, merges: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- T4
 #: Encoded pre-tokens kept per task before the cache starts anew.
 CACHE = 200_000
+#: Documents encoded at a time.
+ROWS = 256
 
 
 class WordEncoder:
@@ -244,7 +246,7 @@ def encode(df: DataFrame, merges: DataFrame, key: list[str], text: str = "text")
 
     def run(batches):
         enc = WordEncoder(rows)
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             ids = [[i for w in words or () for i in enc(w)] for words in b.column("_words").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32()))],
                                              [*b.schema.names[:-1], "ids"])

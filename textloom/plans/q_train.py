@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import format_size, nfc, strip_prefix
+from ..functions.text import format_size, nfc, strip_prefix, wrap_sample
 from ..operators import audit as A
+from ..operators import bpe as B
 from ..operators import chat as C
 from ..operators import mixture as M
 from ..operators import order as O
 from ..operators import pack as P
 from ..sources.corpus import fixture_registry
 from .catalog import REG_SQL, register, sql_strip, table
+from .q_bpe import published_merges
 
 SEED = 42
 EVAL_RATIO = 0.01
@@ -105,7 +107,20 @@ FROM kept GROUP BY shard, batch, block_idx"""
 def pack_blocks(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     d = d.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)).drop("text")
+    return _packed(O.with_global_index(d, ["doc_id"], "g", total="n"))
+
+
+# The keys with SQL keep code points as ids; the *_bpe keys use the published vocabulary
+@register("pack_blocks_bpe")
+def pack_blocks_bpe(spark, sf_dir):
+    """``pack_blocks`` over the tokenizer's ids."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # the index first: its own jobs would encode the corpus again
     d = O.with_global_index(d, ["doc_id"], "g", total="n")
+    return _packed(P.tokenize(d, published_merges(spark), ["g", "n"], EOS_ID))
+
+
+def _packed(d):
     b = P.pack(d, "ids", "g", "n", BLOCK, BATCH_DOCS, SHARDS)
     ids = F.col("input_ids")
     return b.select(
@@ -138,8 +153,26 @@ def mask_labels(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     prefix_ids = F.array(*[F.lit(ord(ch)) for ch in POEM_PREFIX])
     ids = F.concat(prefix_ids, P.append_eos(P.code_point_ids("text"), EOS_ID))
-    c = c.withColumn("_ids", ids)
-    inp, att, lab = P.pad_and_mask(F.col("_ids"), MAX_LEN, len(POEM_PREFIX), EOS_ID)
+    return _masked(c.withColumn("_ids", ids), len(POEM_PREFIX))
+
+
+def _wrapped(c, merges, key):
+    """(samples with ``ids`` of prefix, text and EOS as one string; ids of the prefix)."""
+    ids = B.encode(c.withColumn("_s", wrap_sample("text", POEM_PREFIX, B.SPECIAL)), merges, key, "_s")
+    prefix = c.sparkSession.createDataFrame([(POEM_PREFIX,)], "text string")
+    return ids, len(B.encode(prefix, merges, []).first()["ids"])
+
+
+@register("mask_labels_bpe")
+def mask_labels_bpe(spark, sf_dir):
+    """``mask_labels`` over the tokenizer's ids."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    ids, prefix_len = _wrapped(c, published_merges(spark), ["conv_id", "turn"])
+    return _masked(ids.withColumnRenamed("ids", "_ids"), prefix_len)
+
+
+def _masked(c, prefix_len):
+    inp, att, lab = P.pad_and_mask(F.col("_ids"), MAX_LEN, prefix_len, EOS_ID)
     return c.select("conv_id", "turn", F.array_join(inp, ",").alias("input_ids"),
                     F.array_join(att, ",").alias("attention_mask"),
                     F.array_join(lab, ",").alias("labels"))
@@ -162,6 +195,15 @@ def stage2_token_stats(spark, sf_dir):
     return A.sample_token_stats(s, "n_tok")
 
 
+@register("stage2_token_stats_bpe")
+def stage2_token_stats_bpe(spark, sf_dir):
+    """``stage2_token_stats`` over the tokenizer's ids."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    s = M.split_exact(c, 0.1, SEED, ["conv_id", "turn"]).select("split", "text")
+    ids, _ = _wrapped(s, published_merges(spark), ["split"])
+    return A.sample_token_stats(ids.withColumn("n_tok", F.size("ids")), "n_tok")
+
+
 def _log(spark, sf_dir):
     """events as a training log: event_id = step, value = loss for 'view',
     eval loss for 'click', user_id = run."""
@@ -216,7 +258,18 @@ SELECT source, sum(length(nfc_normalize(coalesce(text, ''))) + 1)::BIGINT AS tok
 FROM documents GROUP BY source""")
 def step_budget(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    t = d.groupBy("source").agg(F.sum(F.length(nfc("text")) + 1).cast("long").alias("tokens"))
+    return _steps(d.groupBy("source").agg(F.sum(F.length(nfc("text")) + 1).cast("long").alias("tokens")))
+
+
+@register("step_budget_bpe")
+def step_budget_bpe(spark, sf_dir):
+    """``step_budget`` over the tokenizer's ids and one EOS per document."""
+    d = table(spark, sf_dir, "documents").select("source", "text")
+    d = P.tokenize(d, published_merges(spark), ["source"], EOS_ID)
+    return _steps(d.groupBy("source").agg(F.sum(F.size("ids")).cast("long").alias("tokens")))
+
+
+def _steps(t):
     steps, per = A.step_budget("tokens")
     return t.select("source", "tokens", steps.alias("max_steps"), per.alias("tokens_per_step"))
 
@@ -332,11 +385,24 @@ def train_blocks(spark, sf_dir):
     tokenise (code points + EOS) -> pack each split into 1024-token blocks ->
     blocks per split (A8)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    s = M.training_mixture(d.select("doc_id", "source"), fixture_registry(spark), SEED, EVAL_RATIO,
-                           ["source", "doc_id"], size_col="n_split")
-    s = s.join(d.select("doc_id", "text"), "doc_id")
-    s = s.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)) \
-         .select("split", "n_split_pos", "n_split", "ids")
+    s = _mixture(spark, d).join(d.select("doc_id", "text"), "doc_id")
+    return _split_blocks(s.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)))
+
+
+@register("train_blocks_bpe")
+def train_blocks_bpe(spark, sf_dir):
+    """``train_blocks`` over the tokenizer's ids; a document is encoded once for all its copies."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return _split_blocks(_mixture(spark, d).join(P.tokenize(d, published_merges(spark), ["doc_id"], EOS_ID), "doc_id"))
+
+
+def _mixture(spark, d):
+    return M.training_mixture(d.select("doc_id", "source"), fixture_registry(spark), SEED, EVAL_RATIO,
+                              ["source", "doc_id"], size_col="n_split")
+
+
+def _split_blocks(s):
+    s = s.select("split", "n_split_pos", "n_split", "ids")
     # one plan, no driver-side counts: each row carries its split's size
     blocks = P.pack(s, "ids", "n_split_pos", "n_split", BLOCK, BATCH_DOCS, SHARDS, group_cols=("split",))
     # both totals from one pass over the blocks
