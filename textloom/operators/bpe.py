@@ -2,11 +2,11 @@
 
 * T1 pre-token counts: one native regex scan of the corpus (``regexp_extract_all``
   with the published GPT-2 split pattern) + ``groupBy().count()``.
-* T2/T3 merge learning: an iterative loop over the *distinct word* table
-  (symbols as ``array<int>``, weighted by count).  Each round: adjacent-pair
-  counts with partial aggregation, a distributed top-1, and a native
-  ``aggregate`` rewrite of the words holding the pair.  Lineage is cut with a
-  reliable checkpoint every few rounds.
+* T2/T3 merge learning: rounds over the *distinct word* table (symbols as
+  ``array<int>``, weighted by count).  Each round: adjacent-pair counts with
+  partial aggregation, all merges down to a count floor on the distinct segments
+  that can change, and a rewrite of the words.  Lineage is cut with a reliable
+  checkpoint every round.
 * T4 encode: one Arrow pass per document over its natively split pre-tokens, with
   a bounded cache of encoded pre-tokens per task; no shuffle.  Token totals
   (T5/A3) are sum(count * length) over the counted pre-tokens -- no per-document
@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import json
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,44 +106,153 @@ def pair_counts(words: DataFrame, symbols: str = "symbols", weight: str = "n") -
 
 
 # --------------------------------------------------------------------------- T3
+#: Distinct segments that the driver merges in one round, and pairs it asks for at most.
+SEGMENTS, HOT_PAIRS = 100_000, 1 << 16
+
+
 def learn_merges(counts: DataFrame, num_merges: int, min_frequency: int = 2,
-                 checkpoint_every: int = 10) -> DataFrame:
+                 segments: int = SEGMENTS) -> DataFrame:
     """Learn up to ``num_merges`` merges from ``(word, n)`` counts.
     Returns ``merges(rank, left, right, id)`` (id = 257 + rank).  The special
-    token is not split into bytes (it has its own id)."""
+    token is not split into bytes (it has its own id).
+
+    A round takes every merge whose count is at least a floor.  Counts of pairs only
+    fall, and a pair of merged symbols is no more frequent than the pair at its inner
+    border, so a border whose pair is below the floor stays for the whole round: words
+    fall apart there into segments.  Their distinct kinds (about ``segments``; the floor
+    is raised until they fit) are merged one pair at a time on the driver, with exact
+    counts, and the words take over the result."""
     spark = counts.sparkSession
-    # symbols as " id id id " strings: a merge is one native regexp_replace
-    # (left to right, non-overlapping: the look-ahead leaves the separator for
-    # the next match), and adjacent pairs come from one split.
-    words = (counts.filter(F.col("word") != SPECIAL)
-             .groupBy("word").agg(F.sum("n").cast("long").alias("n"))
-             .select(word_symbols(F.col("word")).alias("s"), "n")
-             .select(F.concat(F.lit(" "), F.array_join(F.col("s").cast("array<string>"), " "), F.lit(" "))
-                     .alias("sym"), "n"))
-    words = cut_lineage(words.groupBy("sym").agg(F.sum("n").alias("n")))
-    merges, cached = [], None
-    for rank in range(num_merges):
-        syms = F.split(F.btrim(F.col("sym"), F.lit(" ")), " ").cast("array<int>").alias("symbols")
-        top = (pair_counts(words.select(syms, "n")).filter(F.col("cnt") >= min_frequency)
-               .orderBy(F.col("cnt").desc(), "left", "right").limit(1).collect())
+    words = cut_lineage(counts.filter((F.col("word") != SPECIAL) & (F.octet_length("word") > 1))
+                        .groupBy("word").agg(F.sum("n").cast("long").alias("n"))
+                        .select(word_symbols(F.col("word")).alias("symbols"), "n"))
+    merges: list[tuple] = []
+    wanted = HOT_PAIRS if words.count() <= segments else 64
+    while len(merges) < num_merges:
+        pairs = cut_lineage(pair_counts(words).filter(F.col("cnt") >= min_frequency))
+        top = pairs.orderBy(F.col("cnt").desc()).limit(HOT_PAIRS + 1).select("cnt").collect()
         if not top:
             break
-        a, b = top[0]["left"], top[0]["right"]
-        new = 257 + rank
-        merges.append((rank, a, b, new))
-        words = words.withColumn("sym", F.regexp_replace("sym", f" {a} {b}(?= )", f" {new}"))
-        if (rank + 1) % checkpoint_every == 0:
-            words = cut_lineage(words)          # reliable: bounds recomputation
-        else:
-            words = words.persist()             # each round computes one step
-        if cached is not None:
-            cached.unpersist()
-        cached = words
-    if cached is not None:
-        cached.unpersist()
+        while True:
+            floor = top[wanted]["cnt"] + 1 if len(top) > wanted else min_frequency
+            floor = min(floor, top[0]["cnt"])
+            hot = sorted(r["left"] << 32 | r["right"]
+                         for r in pairs.filter(F.col("cnt") >= floor).select("left", "right").collect())
+            cut = words.mapInArrow(_segments(hot), "seg binary, n long").groupBy("seg").agg(F.sum("n").alias("n"))
+            found = cut.limit(segments + 1).collect()
+            if len(found) <= segments:
+                break
+            if floor == top[0]["cnt"]:  # one count only: its pairs can't be parted
+                found = cut.collect()
+                break
+            wanted = max(1, min(wanted, len(top)) // 2)
+        room = len(found) * 4 <= segments
+        seqs = [np.frombuffer(r["seg"], "<i4").tolist() for r in found]
+        merges += _merge_segments(seqs, [r["n"] for r in found], floor, 257, len(merges), num_merges)
+        new = {bytes(r["seg"]): np.array(q, "<i4").tobytes() for r, q in zip(found, seqs, strict=True)}
+        if floor <= min_frequency:
+            break  # every pair of that count was hot
+        words = cut_lineage(words.mapInArrow(_replace(hot, new), words.schema).filter(F.size("symbols") > 1))
+        wanted = min(HOT_PAIRS, wanted * 2) if room else wanted
     return spark.createDataFrame(merges, "rank int, left int, right int, id int")
 
 
+def _runs(batch: pa.RecordBatch, hot: np.ndarray):
+    """(flat symbols, row starts, row of each segment, its first and its end position):
+    runs of two or more symbols whose pairs are all in ``hot``."""
+    col = batch.column("symbols")
+    flat = np.asarray(col.flatten(), dtype="<i4")
+    starts = np.concatenate([[0], np.cumsum(np.asarray(col.value_lengths()))])
+    row = np.repeat(np.arange(len(col)), np.diff(starts))
+    keys = flat[:-1].astype(np.int64) << 32 | flat[1:]
+    at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
+    on = np.concatenate([[False], (hot[at] == keys) & (row[:-1] == row[1:]), [False]])
+    first = np.flatnonzero(~on[:-1] & on[1:])
+    end = np.flatnonzero(on[:-1] & ~on[1:]) + 1
+    return flat, starts, row[first], first, end
+
+
+def _segments(hot: list[int]):
+    def run(batches):
+        known = np.array(hot, np.int64)
+        for b in batches:
+            flat, _, row, first, end = _runs(b, known)
+            data, n, total = flat.tobytes(), np.asarray(b.column("n")), {}
+            for r, s, e in zip(n[row].tolist(), (first * 4).tolist(), (end * 4).tolist(), strict=True):
+                total[data[s:e]] = total.get(data[s:e], 0) + r
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()),
+                                              pa.array(list(total.values()), pa.int64())], ["seg", "n"])
+    return run
+
+
+def _replace(hot: list[int], new: dict[bytes, bytes]):
+    def run(batches):
+        known = np.array(hot, np.int64)
+        for b in batches:
+            flat, starts, row, first, end = _runs(b, known)
+            data, out, at = flat.tobytes(), [], 0
+            less = np.zeros(b.num_rows, np.int64)
+            for r, s, e in zip(row.tolist(), (first * 4).tolist(), (end * 4).tolist(), strict=True):
+                seg = new[data[s:e]]
+                out += (data[at:s], seg)
+                at = e
+                less[r] += (e - s - len(seg)) // 4
+            out.append(data[at:])
+            ends = np.concatenate([[0], np.cumsum(np.diff(starts) - less)]).astype(np.int32)
+            ids = pa.array(np.frombuffer(b"".join(out), "<i4"))
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), ids), b.column("n")],
+                                             ["symbols", "n"])
+    return run
+
+
+def _merge_segments(seqs: list[list[int]], n: list[int], floor: int, base: int, done: int, upto: int) -> list[tuple]:
+    """Merges of count ``floor`` or more, most frequent first, then the smallest
+    (left, right); ``seqs`` are changed in place."""
+    cnt: dict[tuple, int] = {}
+    where: dict[tuple, set] = {}
+    for k, q in enumerate(seqs):
+        for p in zip(q, q[1:], strict=False):
+            cnt[p] = cnt.get(p, 0) + n[k]
+            where.setdefault(p, set()).add(k)
+    heap = [(-c, p) for p, c in cnt.items() if c >= floor]
+    heapq.heapify(heap)
+    out = []
+    while heap and done + len(out) < upto:
+        c, p = heapq.heappop(heap)
+        if cnt.get(p, 0) != -c:  # stale: the count has fallen since
+            if cnt.get(p, 0) >= floor:
+                heapq.heappush(heap, (-cnt[p], p))
+            continue
+        a, b = p
+        new = base + done + len(out)
+        out.append((done + len(out), a, b, new))
+        born = set()
+        for k in where.pop(p):
+            q, i, merged = seqs[k], 0, []
+            while i < len(q):
+                if q[i] == a and i + 1 < len(q) and q[i + 1] == b:
+                    merged.append(new)
+                    i += 2
+                else:
+                    merged.append(q[i])
+                    i += 1
+            if len(merged) == len(q):
+                continue
+            for x in zip(q, q[1:], strict=False):
+                cnt[x] -= n[k]
+            for x in zip(merged, merged[1:], strict=False):
+                cnt[x] = cnt.get(x, 0) + n[k]
+                if new in x:
+                    where.setdefault(x, set()).add(k)
+                    born.add(x)
+            seqs[k][:] = merged
+        cnt.pop(p, None)
+        for x in born:
+            if cnt[x] >= floor:
+                heapq.heappush(heap, (-cnt[x], x))
+    return out
+
+
 def read_merges(spark: SparkSession, path: str) -> DataFrame:
     """The merges of a byte-level BPE file of the tokenizers library, in this module's
     ids (special 0, bytes 1..256, then ``257 + rank``)."""

@@ -11,7 +11,7 @@ from ..operators import dedup as D
 from ..sources.corpus import documents_corpus, fixture_registry
 from .catalog import MIN_DOC, MIN_PARA, PARA_SEP, dedup_ctes, register, table
 
-N_MERGES = 20          # bounded merge learning for checks (full vocab is 50,000)
+N_MERGES = 50_000      # vocabulary 50,257: the special token, 256 bytes, merges
 
 
 def _few_merges(spark):
