@@ -29,6 +29,35 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Staged tables of one run.  ``drop`` deletes those that nothing reads any
+    more; what a run returns must not be dropped."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths = spark, name, []
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        path = scratch(self.spark, self.name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        gone = [p for t, p in self.paths if any(t is x for x in tables)]
+        self._delete(gone)
+        self.paths = [(t, p) for t, p in self.paths if p not in gone]
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        self.drop(*[t for t, _ in self.paths if not any(t is x for x in tables)])
+
+    def _delete(self, paths: list[str]) -> None:
+        sc = self.spark.sparkContext
+        for p in paths:
+            at = sc._jvm.org.apache.hadoop.fs.Path(p)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col), F.lit(""))
 

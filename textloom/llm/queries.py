@@ -3,36 +3,28 @@ where SQL can express it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from . import exact_dedup as exact
 from . import line_dedup as lines
-from . import packing, quality, rank_bpe, records, sharding, simhash, suffix_dedup, toxicity
+from . import (  # noqa: F401  (queries_more registers its queries)
+    packing,
+    quality,
+    queries_more,
+    rank_bpe,
+    records,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+)
 from .common import scratch
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from .registry import ORACLE, QUERIES, register  # noqa: F401
 
 _WS_SQL = "[\\x20\\x09-\\x0D]"
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
-            return fn(spark, sf_dir)
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
