@@ -123,4 +123,50 @@ def test_nothing_is_persisted(spark):
     rows = [(name, i, t) for name, texts in src for i, t in enumerate(texts)]
     corpus = spark.createDataFrame(rows, "source string, pos long, text string")
     status = D.dedup_status(corpus, registry(spark, [n for n, _ in src], para_sources=["s0"]))
-    assert "InMemory" not in status._jdf.queryExecution().toString()
+    plan = status._jdf.queryExecution().toString()
+    assert "InMemoryRelation" not in plan and "InMemoryTableScan" not in plan
+
+
+def test_one_scan_decides_and_one_exchange_moves_the_text(spark, tmp_path):
+    """The decisions' table holds no text; the status plan has one NFC-free text exchange."""
+    src = inline_sources()
+    rows = [(name, i, t) for name, texts in src for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "source string, pos long, text string").write.parquet(f"{tmp_path}/c")
+    corpus = spark.read.parquet(f"{tmp_path}/c")
+    reg = registry(spark, [n for n, _ in src], para_sources=["s0", "s3"])
+    narrow = D.fingerprint_table(D._base(corpus, reg), "\n\n")
+    assert "text" not in narrow.columns
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("Exchange hashpartitioning") == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = D.dedup_status(corpus, reg)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ArrowEvalPython" not in plan and plan.count("text#") > 0 and plan.count("/c]") <= 1
+
+
+def test_common_paragraph_and_unknown_source(spark):
+    """A paragraph that most documents hold is split off; unregistered sources are an error."""
+    common = "This paragraph stands in nearly every document of the source, word by word."
+    texts = [f"{common}\n\nown text number {i} of this document" for i in range(200)] + ["a text of its own, long enough"]
+    src = [("s0", texts), ("s1", texts[:3])]
+    assert run_spark(spark, src, ["s0"]) == dedup_model(src, {"s0"})
+    corpus = spark.createDataFrame([("other", 0, "text")], "source string, pos long, text string")
+    with pytest.raises(Exception, match="not in the registry"):
+        D.dedup_status(corpus, registry(spark, ["s0"])).collect()
+    with pytest.raises(ValueError, match="white space"):
+        D.dedup_status(corpus, registry(spark, ["other"]), para_sep="--")
+
+
+def test_pieces_decide_like_whole_texts(spark):
+    """A cleaned text equals a text of another source only as a whole: empty and padded
+    pieces, separators of three line breaks, decomposed letters next to separators."""
+    long = "Café paragraph which has certainly more than fifty characters in it"
+    src = [("s0", [long + "\n\nfirst tail of the text", "  " + long + " \n\n\n second tail of the text",
+                   long + "\n\n\n\nthird tail of the text ", "́mark first, twenty chars\n\nx"]),
+           ("s1", ["first tail of the text", "second tail of the text", "\n third tail of the text",
+                   "third tail of\n\n\nthe text", "́mark first, twenty chars\n\nx", "mark \n\nfirst, twenty chars"]),
+           ("s2", ["third tail of\n\n\nthe text ", "mark \n\nfirst, twenty chars", "Café " + long[6:]])]
+    assert run_spark(spark, src, ["s0"]) == dedup_model(src, {"s0"})
+    assert run_spark(spark, src, ["s0", "s2"]) == dedup_model(src, {"s0", "s2"})

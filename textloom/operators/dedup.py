@@ -2,13 +2,15 @@
 
 Order matters in the reference (a sequential scan with grow-only "seen" sets),
 but every decision is "is this the first occurrence of its key?", so each
-stage is a keyed ``min(struct(order))`` aggregation:
+stage is a keyed ``min(struct(order))`` aggregation with partial (map-side)
+aggregation: a hash that holds a third of all rows is pre-combined on every mapper.
 
-* only ``(key, source_rank, pos[, i])`` is shuffled for a decision, with
-  partial (map-side) aggregation, so a hash that holds a third of all rows is
-  pre-combined on every mapper instead of landing whole in one task;
-* decisions are taken on narrow rows (hashes and positions); the document text is
-  shuffled once, by ``(source_rank, pos)``, to meet them.  Nothing is persisted.
+The three stages are decided on one narrow table, written once to the shared folder:
+positions, the hash of the raw text, and per paragraph its hash and length.  It is made
+in one scan with one NFC pass; no decision needs the text.  The key of a cleaned text is
+a hash over the hashes of its pieces between separators, so a text that loses paragraphs
+gets its key from the pieces that stay.  Decisions meet the text once, by
+``(source_rank, pos)``; reports never do.
 
 Stage semantics (status per document, in order):
 ``empty -> raw_dup -> (para_changed flag) -> too_short -> final_dup -> kept``.
@@ -21,7 +23,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import doc_hash, ustrip
+from ..functions.text import WS_CHARS, doc_hash, nfc, ustrip
+from .staging import Staging, join_split
 
 KEY = ["source_rank", "pos"]
 
@@ -47,24 +50,59 @@ def dedup_exact(df: DataFrame, key: Column | str, order: list[str]) -> DataFrame
     return (df.join(winners, order, "left_semi"))
 
 
-def paragraph_occurrences(base: DataFrame, sep: str, min_para_chars: int) -> DataFrame:
-    """Eligible paragraphs (stripped length >= min) as ``(source_rank, pos, i, ph)``."""
-    return (base.select("source_rank", "pos",
-                        F.posexplode(F.split("text", _split_regex(sep), -1)).alias("i", "p"))
-            .withColumn("p", ustrip("p"))
-            .filter(F.length("p") >= min_para_chars)
-            .select("source_rank", "pos", "i", doc_hash("p").alias("ph")))
-
-
-def paragraph_drop_index(occ: DataFrame) -> DataFrame:
-    """For each document the indices of its paragraphs that are not the first
-    occurrence in their source, by ``(pos, paragraph index)``: ``(source_rank, pos,
-    drop_idx array<int>)``.  Documents dropped later count too (the reference's
-    order).  Only paragraphs that repeat are joined back."""
-    first = (occ.groupBy("source_rank", "ph")
-             .agg(F.min(F.struct("pos", "i")).alias("_w"), F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > 1).drop("_n"))
-    later = occ.join(first, ["source_rank", "ph"]).filter(F.struct("pos", "i") != F.col("_w"))
+def _digest(text: Column) -> Column:
+    """The first 128 bits of SHA-256 as hex: enough to tell all paragraphs of a corpus apart."""
+    return F.left(F.sha2(text, 256), F.lit(32))
+
+
+def _text_key(digests: Column) -> Column:
+    """Key of a text from the hex digests of its pieces."""
+    return F.unhex(_digest(F.array_join(digests, "")))
+
+
+def fingerprint_table(base: DataFrame, sep: str) -> DataFrame:
+    """One narrow row per row (source_rank, pos, para_dedup, text): ``empty``, ``raw``
+    (hash of the text), and for the text with no paragraph dropped ``key``, ``len`` and
+    ``changed`` (differs from the stripped text); ``pieces`` array<struct<i, len, h>>:
+    the stripped, non-empty paragraphs of sources with paragraph dedup.
+
+    ``sep`` is ASCII white space, which NFC neither makes nor joins to a neighbour: the
+    pieces of the normalised text are the normalised pieces of the text."""
+    if not sep or any(c not in WS_CHARS or ord(c) > 127 for c in sep):
+        raise ValueError("the paragraph separator must be ASCII white space")
+    cut = _split_regex(sep)
+    rows = base.select(*KEY, "para_dedup", "text", nfc("text").alias("_n"))
+    zipped = F.zip_with(F.split("text", cut, -1), F.split("_n", cut, -1), lambda t, n: F.struct(
+        F.length(ustrip(t)).alias("len"), _digest(ustrip(n)).alias("x")))
+    pieces = F.filter(F.transform(zipped, lambda p, i: F.struct(i.cast("int").alias("i"), p["len"].alias("len"), p["x"].alias("x"))),
+                      lambda p: p["len"] > 0)
+    rows = rows.withColumn("_p", F.when(F.col("para_dedup"), pieces))
+    whole = F.transform(F.split(ustrip("_n"), cut, -1), _digest)
+    joined = F.array_join(F.filter(F.transform(F.split("text", cut, -1), ustrip), lambda t: t != ""), sep)
+    stripped = ustrip("text")
+    return rows.select(
+        *KEY, "para_dedup", (F.col("text") == "").alias("empty"), F.unhex(F.sha2("_n", 256)).alias("raw"),
+        _text_key(F.when(F.col("para_dedup"), F.transform("_p", lambda p: p["x"])).otherwise(whole)).alias("key"),
+        F.when(F.col("para_dedup"), _joined_length(F.col("_p"), sep)).otherwise(F.length(stripped)).alias("len"),
+        (F.col("para_dedup") & (joined != stripped)).alias("changed"),
+        F.transform("_p", lambda p: F.struct(p["i"].alias("i"), p["len"].alias("len"), F.unhex(p["x"]).alias("h"))).alias("pieces"))
+
+
+def _joined_length(pieces: Column, sep: str) -> Column:
+    total = F.aggregate(pieces, F.lit(0), lambda n, p: n + p["len"])
+    return total + F.greatest(F.size(pieces) - 1, F.lit(0)) * len(sep)
+
+
+def paragraph_drop_index(occ: DataFrame, run: Staging) -> DataFrame:
+    """``occ``: (source_rank, pos, i, ph).  For each document the indices of its
+    paragraphs that are not the first occurrence in their source, by ``(pos, paragraph
+    index)``: ``(source_rank, pos, drop_idx array<int>)``.  Documents dropped later count
+    too (the reference's order).  Only paragraphs that repeat are joined back, and those
+    that very many documents hold are split off."""
+    first = run.write(occ.groupBy("source_rank", "ph")
+                      .agg(F.min(F.struct("pos", "i")).alias("_w"), F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") > 1))
+    later = join_split(occ, first, ["source_rank", "ph"], "_n").filter(F.struct("pos", "i") != F.col("_w"))
     return later.groupBy(*KEY).agg(F.collect_list("i").alias("drop_idx"))
 
 
@@ -78,59 +116,75 @@ def rebuild_paragraphs(text: Column, drop_idx: Column, sep: str) -> Column:
     return ustrip(F.array_join(left, sep))
 
 
-def dedup_frame(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
-                min_para_chars: int = 50, min_doc_chars: int = 20) -> DataFrame:
-    """X4 working relation: every document with ``first_raw``, ``new_text``,
-    ``para_changed``, ``too_short`` and ``first_final`` (see ``dedup_status``).
+def _base(corpus: DataFrame, registry: DataFrame) -> DataFrame:
+    """The corpus with its sources' ranks and flags; a source that the registry lacks is
+    an error, not a row less."""
+    reg = registry.select("source", "source_rank", "para_dedup")
+    rows = corpus.drop("source_rank", "para_dedup").join(F.broadcast(reg), "source", "left")
+    missing = F.raise_error(F.concat(F.lit("source not in the registry: "), F.coalesce("source", F.lit("null"))))
+    return rows.select("source", F.coalesce("source_rank", missing.cast("int")).alias("source_rank"), "pos", "para_dedup",
+                       F.coalesce("text", F.lit("")).alias("text"))
+
 
-    ``corpus``: ``(source, pos, text)`` (``source_rank`` optional; taken from
-    the registry).  ``registry``: ``(source, source_rank, para_dedup, ...)``.
+def dedup_decisions(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
+                    min_para_chars: int = 50, min_doc_chars: int = 20) -> DataFrame:
+    """X4 decisions, one narrow row per document: ``(source, source_rank, pos, status,
+    para_changed, drop_idx)``; ``drop_idx``: indices of the paragraphs to leave out, null
+    if none.  Written to the shared folder, so that outputs and reports share it.
+
+    ``corpus``: ``(source, pos, text)``, pos unique in its source.  ``registry``:
+    ``(source, source_rank, para_dedup, ...)``; every source of the corpus must be in it.
     """
-    reg = registry.select("source", "source_rank", "para_dedup")
-    base = (corpus.drop("source_rank").join(reg, "source")
-            .select(*KEY, "para_dedup", F.coalesce("text", F.lit("")).alias("text")))
+    run = Staging(corpus.sparkSession, "dedup")
+    d = run.write(fingerprint_table(_base(corpus, registry), para_sep))
 
     # Stage 1: global exact dedup on the raw text (empty rows never enter).
-    raw = base.filter(F.col("text") != "").select(doc_hash("text").alias("h"), *KEY)
-    w1 = first_by_order(raw, "h", KEY, "first_raw")
-
-    # Stage 2: per-source paragraph dedup over stage-1 survivors, on hashes only.
-    occ = paragraph_occurrences(base.filter("para_dedup"), para_sep, min_para_chars)
-    drop = paragraph_drop_index(occ.join(w1.select(*KEY), KEY, "left_semi"))
-    decided = w1.join(drop, KEY, "left")  # drop lists are of survivors
-
-    # The one shuffle of the text: it meets the decisions of stages 1 and 2.  Stage 3
-    # and the result read the same columns of it, so they share that exchange.
-    s2 = (base.join(decided, KEY, "left")
-          .withColumn("first_raw", F.coalesce("first_raw", F.lit(False)))
-          .withColumn("stripped", ustrip("text"))
-          .withColumn("new_text", F.when(F.col("para_dedup"), rebuild_paragraphs(
-              F.col("text"), F.col("drop_idx"), para_sep)).otherwise(F.col("stripped")))
-          .withColumn("para_changed", F.col("first_raw") & F.col("para_dedup")
-                      & (F.col("new_text") != F.col("stripped")))
-          .withColumn("too_short", F.length("new_text") < min_doc_chars)
-          .drop("drop_idx", "stripped"))
+    w1 = first_by_order(d.filter(~F.col("empty")).select("raw", *KEY), "raw", KEY, "first_raw")
+
+    # Stage 2: per-source paragraph dedup over stage-1 survivors.
+    para = (d.filter(F.col("para_dedup") & (F.size("pieces") > 0)).select(*KEY, "pieces")
+            .join(w1.select(*KEY), KEY, "left_semi"))
+    occ = (para.select(*KEY, F.explode("pieces").alias("p")).filter(F.col("p.len") >= min_para_chars)
+           .select(*KEY, F.col("p.i").alias("i"), F.col("p.h").alias("ph")))
+    left = F.filter("pieces", lambda p: ~F.array_contains("drop_idx", p["i"]))
+    cut = (para.join(paragraph_drop_index(occ, run), KEY).withColumn("_left", left)
+           .select(*KEY, "drop_idx", _text_key(F.transform("_left", lambda p: F.lower(F.hex(p["h"])))).alias("_key"),
+                   _joined_length(F.col("_left"), para_sep).alias("_len")))
 
     # Stage 3: global exact dedup on the cleaned text of what is left.
-    cand = s2.filter(F.col("first_raw") & ~F.col("too_short")).select(
-        doc_hash("new_text").alias("h"), *KEY)
-    w3 = first_by_order(cand, "h", KEY, "first_final")
-    return s2.join(w3, KEY, "left").join(reg.select("source", "source_rank"), "source_rank")
+    s2 = run.write(d.select(*KEY, "para_dedup", "empty", "key", "len", "changed").join(w1, KEY, "left").join(cut, KEY, "left")
+                   .select(*KEY, "empty", F.coalesce("first_raw", F.lit(False)).alias("first_raw"), "drop_idx",
+                           F.coalesce("_key", "key").alias("key"), (F.coalesce("_len", "len") < min_doc_chars).alias("too_short"),
+                           (F.col("first_raw").isNotNull() & (F.col("drop_idx").isNotNull() | F.col("changed"))).alias("para_changed")))
+    w3 = first_by_order(s2.filter(F.col("first_raw") & ~F.col("too_short")).select("key", *KEY), "key", KEY, "first_final")
+    status = (F.when(F.col("empty"), "empty")
+              .when(~F.col("first_raw"), "raw_dup")
+              .when(F.col("too_short"), "too_short")
+              .when(F.col("first_final").isNull(), "final_dup")
+              .otherwise("kept"))
+    names = registry.select("source", "source_rank")
+    out = run.write(s2.join(w3, KEY, "left").select(*KEY, status.alias("status"), "para_changed", "drop_idx")
+                    .join(F.broadcast(names), "source_rank"))
+    run.drop(*[t for t, _ in run.paths if t is not out])
+    return out
+
+
+def cleaned_texts(corpus: DataFrame, registry: DataFrame, decisions: DataFrame, para_sep: str = "\n\n") -> DataFrame:
+    """The decisions with ``para_dedup`` and ``new_text``: the cleaned text of every
+    document that ``decisions`` holds.  The one join, and the one shuffle, of the text."""
+    new = F.when(F.col("para_dedup"), rebuild_paragraphs(F.col("text"), F.col("drop_idx"), para_sep)).otherwise(ustrip("text"))
+    return (_base(corpus, registry).drop("source").join(decisions, KEY)
+            .select("source", *KEY, "para_dedup", "status", "para_changed", new.alias("new_text")))
 
 
 def dedup_status(corpus: DataFrame, registry: DataFrame, para_sep: str = "\n\n",
                  min_para_chars: int = 50, min_doc_chars: int = 20) -> DataFrame:
     """X4 status relation ``(source, source_rank, pos, status, para_changed, text)``;
     ``text`` is the final text (stripped, not NFC-normalised), null unless kept."""
-    s3 = dedup_frame(corpus, registry, para_sep, min_para_chars, min_doc_chars)
-    status = (F.when(F.col("text") == "", "empty")
-              .when(~F.col("first_raw"), "raw_dup")
-              .when(F.col("too_short"), "too_short")
-              .when(F.col("first_final").isNull(), "final_dup")
-              .otherwise("kept"))
-    return s3.select("source", "source_rank", "pos", status.alias("status"),
-                     F.coalesce("para_changed", F.lit(False)).alias("para_changed"),
-                     F.when(status == "kept", F.col("new_text")).alias("text"))
+    decided = dedup_decisions(corpus, registry, para_sep, min_para_chars, min_doc_chars)
+    new = F.when(F.col("para_dedup"), rebuild_paragraphs(F.col("text"), F.col("drop_idx"), para_sep)).otherwise(ustrip("text"))
+    return (_base(corpus, registry).drop("source").join(decided, KEY)
+            .select("source", *KEY, "status", "para_changed", F.when(F.col("status") == "kept", new).alias("text")))
 
 
 def deduped_output(status: DataFrame) -> DataFrame:

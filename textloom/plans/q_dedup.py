@@ -16,6 +16,12 @@ def _status(spark, sf_dir):
                           para_sep=PARA_SEP, min_para_chars=MIN_PARA, min_doc_chars=MIN_DOC)
 
 
+def _decisions(spark, sf_dir):
+    """Statuses without texts: all that reports need."""
+    return D.dedup_decisions(documents_corpus(spark, sf_dir), fixture_registry(spark),
+                             para_sep=PARA_SEP, min_para_chars=MIN_PARA, min_doc_chars=MIN_DOC)
+
+
 @register("nfc_doc_hash", f"""
 SELECT doc_id, source, {sql_hash("coalesce(text, '')")} AS h FROM documents""")
 def nfc_doc_hash(spark, sf_dir):
@@ -60,9 +66,8 @@ SELECT source, pos AS doc_id, para_changed, length(new_text)::BIGINT AS new_len,
        sha256(new_text) AS new_hash
 FROM s4 WHERE first_raw AND para_dedup""")
 def paragraph_dedup(spark, sf_dir):
-    f = D.dedup_frame(documents_corpus(spark, sf_dir), fixture_registry(spark),
-                      para_sep=PARA_SEP, min_para_chars=MIN_PARA, min_doc_chars=MIN_DOC)
-    f = f.filter(F.col("first_raw") & F.col("para_dedup"))
+    first = _decisions(spark, sf_dir).filter(~F.col("status").isin("empty", "raw_dup"))
+    f = D.cleaned_texts(documents_corpus(spark, sf_dir), fixture_registry(spark), first, PARA_SEP).filter("para_dedup")
     return f.select("source", F.col("pos").alias("doc_id"), "para_changed",
                     F.length("new_text").cast("long").alias("new_len"),
                     F.sha2("new_text", 256).alias("new_hash"))
@@ -88,7 +93,7 @@ SELECT r.source, coalesce(original_docs, 0)::BIGINT AS original_docs,
          AS duplicate_rate
 FROM reg r LEFT JOIN agg USING (source)""")
 def dedup_report_q(spark, sf_dir):
-    rep = D.dedup_report(_status(spark, sf_dir), fixture_registry(spark))
+    rep = D.dedup_report(_decisions(spark, sf_dir), fixture_registry(spark))
     return rep.drop("source_rank")
 
 
@@ -101,7 +106,7 @@ SELECT count(*)::BIGINT AS total_original_docs,
             / count(*), 4) ELSE 0.0 END::DOUBLE AS duplicate_rate
 FROM status""")
 def dedup_totals_q(spark, sf_dir):
-    return D.dedup_totals(_status(spark, sf_dir))
+    return D.dedup_totals(_decisions(spark, sf_dir))
 
 
 def _line_sql(name: str, o: str, k: str, r: str, rate: str) -> str:
@@ -121,5 +126,5 @@ SELECT {1 << 30}::INTEGER, {_line_sql("'TOTAL'", 'o', 'k', '(o - k)',
     'CASE WHEN o > 0 THEN round_even((o - k) / o, 4) ELSE 0.0 END')} FROM tot""")
 def dedup_summary(spark, sf_dir):
     """A5 text lines over the report and totals."""
-    st = _status(spark, sf_dir)
+    st = _decisions(spark, sf_dir)
     return D.summary(D.dedup_report(st, fixture_registry(spark)), D.dedup_totals(st))
