@@ -31,3 +31,69 @@ def test_query_learns_past_twenty_merges(spark, tmp_path):
      .write.parquet(f"{tmp_path}/documents.parquet"))
     got = as_strings(QUERIES["bpe_merges"](spark, str(tmp_path)).collect())
     assert got == reference_bpe(texts, 50_000)[1] and len(got) > 20
+
+
+def _tied(n, seed):
+    """Words of equal count: every pair of a count level ties."""
+    rnd = random.Random(seed)
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    words = {"".join(rnd.choice(alphabet) for _ in range(rnd.randint(2, 7))) for _ in range(n)}
+    return [" ".join(sorted(words))] * 3 + ["aaaa aaaaaaa bbbb abab ababab"] * 3
+
+
+@pytest.mark.parametrize("segments,hot_pairs", [(12, 9), (40, 1), (100, 64)])
+def test_tied_pairs_beyond_the_drivers_room(spark, segments, hot_pairs):
+    """More tied pairs than the driver may hold: parts of the level, in order."""
+    texts = _tied(60, segments)
+    _, want = reference_bpe(texts, 40)
+    counts = B.pretoken_counts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    assert B.pair_counts(B.byte_words(counts)).groupBy("cnt").count().agg({"count": "max"}).first()[0] > segments
+    got = as_strings(B.learn_merges(counts, 12 if hot_pairs == 1 else 40, segments=segments, hot_pairs=hot_pairs).collect())
+    assert got == want[:12 if hot_pairs == 1 else 40]
+
+
+def test_driver_holds_no_more_than_segments(spark, monkeypatch):
+    texts = _tied(60, 1)
+    counts = B.pretoken_counts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    sizes = []
+    collect = type(counts).collect
+    monkeypatch.setattr(type(counts), "collect", lambda self: (lambda rows: sizes.append(len(rows)) or rows)(collect(self)))
+    B.learn_merges(counts, 12, segments=12, hot_pairs=9)
+    assert sizes and max(sizes) <= 13  # one more tells that there are more
+
+
+def test_delta_counts_equal_the_recount(spark):
+    import numpy as np
+    texts = _texts(3)
+    counts = B.pretoken_counts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    words = B.byte_words(counts)
+    pairs = B.pair_counts(words)
+    rows = lambda df: sorted(map(tuple, df.select("left", "right", "cnt").collect()))
+    for new, (left, right, _) in enumerate(rows(pairs)[:6], 257):
+        moved = words.select("symbols", "n").mapInArrow(B._merge_one(left, right, new), "symbols array<int>, n long, old array<int>")
+        pairs = B.update_pair_counts(pairs, B.pair_delta(moved.filter("old is not null")))
+        words = moved.select("symbols", "n")
+        assert rows(pairs) == rows(B.pair_counts(words))
+    flat = [s for r in words.collect() for s in r.symbols]
+    assert np.isin([257, 258], flat).any()
+
+
+def test_lengths_are_those_of_the_ids(spark):
+    texts = _texts(7) + ["", None, "x" * 200, f"a{B.SPECIAL}b", "  two  spaces "]
+    df = spark.createDataFrame([(i, i % 3, t) for i, t in enumerate(texts)], "doc_id long, part int, text string")
+    merges = B.learn_merges(B.pretoken_counts(df), 60)
+    want = {r.doc_id: len(r.ids) for r in B.encode(df, merges, ["doc_id"]).collect()}
+    assert {r.doc_id: r.tokens for r in B.token_lengths(df, merges, ["doc_id"]).collect()} == want
+    got = {r.part: r.tokens for r in B.token_counts(df, merges, ["part"], count_eos=True).collect()}
+    assert got == {p: sum(n + 1 for i, n in want.items() if i % 3 == p) for p in range(3)}
+    plan = B.token_counts(df, merges, ["part"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and plan.count("Aggregate") == 1  # no word is grouped or shuffled
+
+
+def test_scan_and_heap_agree():
+    rnd = random.Random(1)
+    rows = [(0, 1, 2, 257), (1, 257, 1, 258), (2, 2, 2, 259), (3, 259, 1, 260), (4, 1, 1, 261)]
+    enc = B.WordEncoder(rows)
+    for _ in range(300):
+        ids = [rnd.choice([1, 2, 3]) for _ in range(rnd.randint(1, 30))]
+        assert enc.scan(list(ids)) == enc.heap(list(ids))

@@ -3,14 +3,14 @@
 * T1 pre-token counts: one native regex scan of the corpus (``regexp_extract_all``
   with the published GPT-2 split pattern) + ``groupBy().count()``.
 * T2/T3 merge learning: rounds over the *distinct word* table (symbols as
-  ``array<int>``, weighted by count).  Each round: adjacent-pair counts with
-  partial aggregation, all merges down to a count floor on the distinct segments
-  that can change, and a rewrite of the words.  Lineage is cut with a reliable
-  checkpoint every round.
+  ``array<int>``, weighted by count).  Each round: all merges down to a count floor on
+  the distinct segments that can change, a rewrite of the words, and an update of the
+  adjacent-pair counts by what the changed words lost and gained.  Both tables are
+  written to the shared folder every round and the previous ones dropped.
 * T4 encode: one Arrow pass per document over its natively split pre-tokens, with
-  a bounded cache of encoded pre-tokens per task; no shuffle.  Token totals
-  (T5/A3) are sum(count * length) over the counted pre-tokens -- no per-document
-  token arrays are built for audits.
+  a bounded cache of encoded pre-tokens per worker; no shuffle.  Token totals
+  (T5/A3) come from the same pass without arrays: a number per document, added up per
+  group in the same stage, so no word is shuffled.
 * T6 decode: one Arrow pass over the id arrays; no shuffle.
 
 Ids: special token 0, the 256 byte symbols 1..256 in the order of their
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import uuid
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import nfc
-from ..session import cut_lineage
+from .staging import Staging
 
 # The special token and the published GPT-2 pre-tokenisation
 # pattern (Java syntax, Unicode whitespace).
@@ -94,6 +96,13 @@ def word_symbols(word: Column) -> Column:
     return F.transform(pairs, lambda h: F.element_at(lut, F.conv(h, 16, 10).cast("int") + 1))
 
 
+def byte_words(counts: DataFrame) -> DataFrame:
+    """Words of two bytes or more as byte symbols: ``(symbols, n)`` from ``(word, n)``; the
+    special token is no word."""
+    return (counts.filter((F.col("word") != SPECIAL) & (F.octet_length("word") > 1))
+            .select(word_symbols(F.col("word")).alias("symbols"), F.col("n").cast("long").alias("n")))
+
+
 # --------------------------------------------------------------------------- T2
 def pair_counts(words: DataFrame, symbols: str = "symbols", weight: str = "n") -> DataFrame:
     """Σ over words of count per adjacent symbol pair -> (left, right, cnt)."""
@@ -105,13 +114,26 @@ def pair_counts(words: DataFrame, symbols: str = "symbols", weight: str = "n") -
             .agg(F.sum(weight).cast("long").alias("cnt")))
 
 
+def pair_delta(changed: DataFrame, before: str = "old", after: str = "symbols", weight: str = "n") -> DataFrame:
+    """What words that changed add to the pair counts: (left, right, cnt), negative for
+    what they lost."""
+    lost = pair_counts(changed, before, weight).withColumn("cnt", -F.col("cnt"))
+    return lost.unionByName(pair_counts(changed, after, weight))
+
+
+def update_pair_counts(pairs: DataFrame, delta: DataFrame) -> DataFrame:
+    """T2, incremental: the counts after ``delta``; pairs that are gone drop out."""
+    return (pairs.unionByName(delta).groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
+            .filter(F.col("cnt") > 0))
+
+
 # --------------------------------------------------------------------------- T3
 #: Distinct segments that the driver merges in one round, and pairs it asks for at most.
 SEGMENTS, HOT_PAIRS = 100_000, 1 << 16
 
 
 def learn_merges(counts: DataFrame, num_merges: int, min_frequency: int = 2,
-                 segments: int = SEGMENTS) -> DataFrame:
+                 segments: int = SEGMENTS, hot_pairs: int = HOT_PAIRS) -> DataFrame:
     """Learn up to ``num_merges`` merges from ``(word, n)`` counts.
     Returns ``merges(rank, left, right, id)`` (id = 257 + rank).  The special
     token is not split into bytes (it has its own id).
@@ -119,41 +141,67 @@ def learn_merges(counts: DataFrame, num_merges: int, min_frequency: int = 2,
     A round takes every merge whose count is at least a floor.  Counts of pairs only
     fall, and a pair of merged symbols is no more frequent than the pair at its inner
     border, so a border whose pair is below the floor stays for the whole round: words
-    fall apart there into segments.  Their distinct kinds (about ``segments``; the floor
+    fall apart there into segments.  Their distinct kinds (at most ``segments``; the floor
     is raised until they fit) are merged one pair at a time on the driver, with exact
-    counts, and the words take over the result."""
+    counts, and the words take over the result.
+
+    Where the pairs of the highest count alone are too many, the round takes those up to
+    a bound in (left, right) order.  A pair made at a border that is not among them is
+    (x, new) for a border (x, a) behind the bound, or (new, y); new ids are the largest,
+    so it lies behind the bound as well.  Hence the pairs up to the bound are the next
+    ones whatever becomes of the others, and the round ends when none is left.  A single
+    pair is merged by the tasks alone.  The driver holds at most ``hot_pairs`` pairs and
+    ``segments`` segments."""
     spark = counts.sparkSession
-    words = cut_lineage(counts.filter((F.col("word") != SPECIAL) & (F.octet_length("word") > 1))
-                        .groupBy("word").agg(F.sum("n").cast("long").alias("n"))
-                        .select(word_symbols(F.col("word")).alias("symbols"), "n"))
+    run = Staging(spark, "merges")
+    words = run.write(byte_words(counts.groupBy("word").agg(F.sum("n").cast("long").alias("n"))))
+    pairs = run.write(pair_counts(words))
     merges: list[tuple] = []
-    wanted = HOT_PAIRS if words.count() <= segments else 64
+    wanted = hot_pairs if words.count() <= segments else min(64, hot_pairs)
     while len(merges) < num_merges:
-        pairs = cut_lineage(pair_counts(words).filter(F.col("cnt") >= min_frequency))
-        top = pairs.orderBy(F.col("cnt").desc()).limit(HOT_PAIRS + 1).select("cnt").collect()
+        often = pairs.filter(F.col("cnt") >= min_frequency)
+        top = [r["cnt"] for r in often.orderBy(F.col("cnt").desc()).limit(hot_pairs + 1).select("cnt").collect()]
         if not top:
             break
+        live = words.filter(F.size("symbols") > 1).select("symbols", "n")
         while True:
-            floor = top[wanted]["cnt"] + 1 if len(top) > wanted else min_frequency
-            floor = min(floor, top[0]["cnt"])
-            hot = sorted(r["left"] << 32 | r["right"]
-                         for r in pairs.filter(F.col("cnt") >= floor).select("left", "right").collect())
-            cut = words.mapInArrow(_segments(hot), "seg binary, n long").groupBy("seg").agg(F.sum("n").alias("n"))
-            found = cut.limit(segments + 1).collect()
-            if len(found) <= segments:
+            floor = top[wanted] + 1 if len(top) > wanted else min_frequency
+            tied = floor > top[0]
+            if tied:  # part of a count level, in order
+                floor = top[0]
+                level = often.filter(F.col("cnt") == floor).orderBy("left", "right").limit(wanted)
+            else:
+                level = often.filter(F.col("cnt") >= floor)
+            hot = sorted(r["left"] << 32 | r["right"] for r in level.select("left", "right").collect())
+            if len(hot) == 1:
+                found = []
                 break
-            if floor == top[0]["cnt"]:  # one count only: its pairs can't be parted
-                found = cut.collect()
+            found = (live.mapInArrow(_segments(hot), "seg binary, n long").groupBy("seg").agg(F.sum("n").alias("n"))
+                     .limit(segments + 1).collect())
+            if len(found) <= segments:
                 break
-            wanted = max(1, min(wanted, len(top)) // 2)
+            wanted = max(1, min(wanted, len(hot)) // 2)
         room = len(found) * 4 <= segments
-        seqs = [np.frombuffer(r["seg"], "<i4").tolist() for r in found]
-        merges += _merge_segments(seqs, [r["n"] for r in found], floor, 257, len(merges), num_merges)
-        new = {bytes(r["seg"]): np.array(q, "<i4").tobytes() for r, q in zip(found, seqs, strict=True)}
-        if floor <= min_frequency:
-            break  # every pair of that count was hot
-        words = cut_lineage(words.mapInArrow(_replace(hot, new), words.schema).filter(F.size("symbols") > 1))
-        wanted = min(HOT_PAIRS, wanted * 2) if room else wanted
+        if len(hot) == 1:
+            pair = hot[0] >> 32, hot[0] & 0xFFFFFFFF
+            merges.append((len(merges), *pair, 257 + len(merges)))
+            rewrite = _merge_one(*pair, merges[-1][3])
+        else:
+            seqs = [np.frombuffer(r["seg"], "<i4").tolist() for r in found]
+            merges += _merge_segments(seqs, [r["n"] for r in found], floor, 257, len(merges), num_merges,
+                                      last=(hot[-1] >> 32, hot[-1] & 0xFFFFFFFF) if tied else None)
+            new = {bytes(r["seg"]): np.array(q, "<i4").tobytes() for r, q in zip(found, seqs, strict=True)}
+            if floor <= min_frequency and not tied:
+                break  # every pair of that count was hot
+            rewrite = _replace(hot, new)
+        if len(merges) >= num_merges:
+            break
+        moved = run.write(live.mapInArrow(rewrite, "symbols array<int>, n long, old array<int>"))
+        counted = run.write(update_pair_counts(pairs, pair_delta(moved.filter(F.col("old").isNotNull()))))
+        run.drop(words, pairs)
+        words, pairs = moved, counted
+        wanted = min(hot_pairs, wanted * 2) if room else wanted
+    run.drop(words, pairs)
     return spark.createDataFrame(merges, "rank int, left int, right int, id int")
 
 
@@ -185,6 +233,14 @@ def _segments(hot: list[int]):
     return run
 
 
+def _rewritten(b: pa.RecordBatch, ends: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    """The batch with new symbols (flat ``ids``, row ends), and the old ones where a row changed."""
+    kept = np.diff(ends) == np.diff(starts)
+    symbols = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+    old = b.column("symbols").take(pa.array(np.arange(b.num_rows), mask=kept))
+    return pa.RecordBatch.from_arrays([symbols, b.column("n"), old], ["symbols", "n", "old"])
+
+
 def _replace(hot: list[int], new: dict[bytes, bytes]):
     def run(batches):
         known = np.array(hot, np.int64)
@@ -198,16 +254,32 @@ def _replace(hot: list[int], new: dict[bytes, bytes]):
                 at = e
                 less[r] += (e - s - len(seg)) // 4
             out.append(data[at:])
-            ends = np.concatenate([[0], np.cumsum(np.diff(starts) - less)]).astype(np.int32)
-            ids = pa.array(np.frombuffer(b"".join(out), "<i4"))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), ids), b.column("n")],
-                                             ["symbols", "n"])
+            ends = np.concatenate([[0], np.cumsum(np.diff(starts) - less)])
+            yield _rewritten(b, ends, np.frombuffer(b"".join(out), "<i4"), starts)
+    return run
+
+
+def _merge_one(left: int, right: int, new: int):
+    """One merge in the tasks: occurrences from the left, not overlapping."""
+    def run(batches):
+        for b in batches:
+            flat, starts, row, first, end = _runs(b, np.array([left << 32 | right], np.int64))
+            # a run of one pair is (left, right), or of equal symbols, which pair up from the left
+            size = end - first
+            at = np.concatenate([np.arange(f, e - 1, 2) for f, e in zip(first.tolist(), end.tolist(), strict=True)]
+                                or [np.zeros(0, np.int64)]).astype(np.int64)
+            flat = flat.copy()
+            flat[at] = new
+            less = np.bincount(row, weights=size // 2, minlength=b.num_rows).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(np.diff(starts) - less)])
+            yield _rewritten(b, ends, np.delete(flat, at + 1), starts)
     return run
 
 
-def _merge_segments(seqs: list[list[int]], n: list[int], floor: int, base: int, done: int, upto: int) -> list[tuple]:
+def _merge_segments(seqs: list[list[int]], n: list[int], floor: int, base: int, done: int, upto: int,
+                    last: tuple | None = None) -> list[tuple]:
     """Merges of count ``floor`` or more, most frequent first, then the smallest
-    (left, right); ``seqs`` are changed in place."""
+    (left, right), up to pair ``last`` if given; ``seqs`` are changed in place."""
     cnt: dict[tuple, int] = {}
     where: dict[tuple, set] = {}
     for k, q in enumerate(seqs):
@@ -223,6 +295,8 @@ def _merge_segments(seqs: list[list[int]], n: list[int], floor: int, base: int,
             if cnt.get(p, 0) >= floor:
                 heapq.heappush(heap, (-cnt[p], p))
             continue
+        if last is not None and p > last:
+            break  # pairs that are not here may come first
         a, b = p
         new = base + done + len(out)
         out.append((done + len(out), a, b, new))
@@ -281,15 +355,18 @@ def vocab(spark: SparkSession, merges: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- T4
-#: Encoded pre-tokens kept per task before the cache starts anew.
+#: Encoded pre-tokens kept per worker; when full, the older half stays (frequent ones are met first).
 CACHE = 200_000
+#: Pre-tokens of more bytes are merged with a heap.
+SHORT = 48
 #: Documents encoded at a time.
 ROWS = 256
 
 
 class WordEncoder:
-    """Applies the merges of least rank first, leftmost first, with a heap of
-    adjacent pairs over a linked list: n log n in the word's length."""
+    """Applies the merges of least rank first, leftmost first: short words by scanning
+    for the least rank, long ones with a heap of adjacent pairs over a linked list, n log n
+    in the word's length."""
 
     def __init__(self, merge_rows: list[tuple]):
         self.ranks = {(a, b): (rank, new) for rank, a, b, new in merge_rows}
@@ -300,11 +377,30 @@ class WordEncoder:
         if ids is None:
             ids = [0] if word == SPECIAL else self.merge([BYTE_IDS[b] for b in word.encode("utf-8")])
             if len(self.cache) >= CACHE:
-                self.cache.clear()
+                self.cache = dict(islice(self.cache.items(), CACHE // 2))
             self.cache[word] = ids
         return ids
 
     def merge(self, ids: list[int]) -> list[int]:
+        return self.scan(ids) if len(ids) <= SHORT else self.heap(ids)
+
+    def scan(self, ids: list[int]) -> list[int]:
+        get, none = self.ranks.get, (1 << 60, 0)
+        found = [get(p, none) for p in zip(ids, ids[1:], strict=False)]
+        while found:
+            best = min(found)
+            if best is none:
+                break
+            i = found.index(best)
+            ids[i:i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = get((ids[i - 1], ids[i]), none)
+            if i < len(found):
+                found[i] = get((ids[i], ids[i + 1]), none)
+        return ids
+
+    def heap(self, ids: list[int]) -> list[int]:
         n = len(ids)
         after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
 
@@ -329,15 +425,32 @@ class WordEncoder:
         return [x for x in ids if x >= 0]
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def _encoder(name: str, rows) -> WordEncoder:
+    """The worker's encoder of a broadcast merge list, with its cache; the last two are kept."""
+    if name not in _ENCODERS:
+        while len(_ENCODERS) > 1:
+            del _ENCODERS[next(iter(_ENCODERS))]
+        _ENCODERS[name] = WordEncoder(rows.value)
+    return _ENCODERS[name]
+
+
+def _shared_encoder(merges: DataFrame):
+    """A function for tasks that gives the worker's encoder.  The merge list is bounded by
+    the vocabulary size and broadcast."""
+    rows, name = merges.sparkSession.sparkContext.broadcast(_merge_rows(merges)), uuid.uuid4().hex
+    return lambda: _encoder(name, rows)
+
+
 def encode_words(words: DataFrame, merges: DataFrame, word: str = "word") -> DataFrame:
-    """T4 on distinct pre-tokens: adds ``ids array<int>``.  The merge list is
-    bounded by the vocabulary size and shipped once per task."""
-    rows = _merge_rows(merges)
-    bc = words.sparkSession.sparkContext.broadcast(rows)
+    """T4 on distinct pre-tokens: adds ``ids array<int>``."""
+    encoder = _shared_encoder(merges)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def _enc(s: pa.Array) -> pa.Array:
-        enc = WordEncoder(bc.value)
+        enc = encoder()
         return pa.array([None if w is None else enc(w) for w in s.to_pylist()],
                         type=pa.list_(pa.int32()))
 
@@ -351,11 +464,11 @@ def _merge_rows(merges: DataFrame) -> list[tuple]:
 
 def encode(df: DataFrame, merges: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """T4 per document: ``(*key, ids)``, in one pass without a shuffle."""
-    rows = _merge_rows(merges)
+    encoder = _shared_encoder(merges)
     src = df.select(*key, pretokens(nfc(text)).alias("_words"))
 
     def run(batches):
-        enc = WordEncoder(rows)
+        enc = encoder()
         for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             ids = [[i for w in words or () for i in enc(w)] for words in b.column("_words").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32()))],
@@ -366,20 +479,29 @@ def encode(df: DataFrame, merges: DataFrame, key: list[str], text: str = "text")
 
 
 # --------------------------------------------------------------------------- T5 / A3
+def token_lengths(df: DataFrame, merges: DataFrame, key: list[str], text: str = "text",
+                  count_eos: bool = False) -> DataFrame:
+    """T5 per document: ``(*key, tokens)`` of NFC text, in one pass without a shuffle and
+    without token arrays; ``count_eos`` adds the one EOS that training appends."""
+    encoder = _shared_encoder(merges)
+    src = df.select(*key, pretokens(nfc(text)).alias("_words"))
+
+    def run(batches):
+        enc = encoder()
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            n = [sum(len(enc(w)) for w in words or ()) + count_eos for words in b.column("_words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], [*b.schema.names[:-1], "tokens"])
+
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField("tokens", T.LongType())]))
+
+
 def token_counts(df: DataFrame, merges: DataFrame, group: list[str], text: str = "text",
                  count_eos: bool = False) -> DataFrame:
-    """T5/A3: Σ tokens of NFC text per group (no truncation): the counted
-    pre-tokens of each group, encoded once each; one scan of the corpus.  The audit counts no
-    EOS (default); ``count_eos=True`` adds the one EOS per document that
-    training appends."""
-    words = encode_words(pretoken_counts(df, text, tuple(group)), merges)
-    out = (words.groupBy(*group)
-           .agg(F.sum(F.col("n") * F.size("ids")).cast("long").alias("tokens")))
-    if count_eos:
-        docs = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_d"))
-        out = (docs.join(out, list(group), "left")
-               .select(*group, (F.coalesce("tokens", F.lit(0)) + F.col("_d")).cast("long").alias("tokens")))
-    return out
+    """T5/A3: Σ tokens of NFC text per group (no truncation); one scan of the corpus, and
+    only sums per task and group are shuffled.  The audit counts no EOS (default);
+    ``count_eos=True`` adds the one EOS per document that training appends."""
+    return (token_lengths(df, merges, group, text, count_eos)
+            .groupBy(*group).agg(F.sum("tokens").cast("long").alias("tokens")))
 
 
 # --------------------------------------------------------------------------- T6 / T7

@@ -39,17 +39,36 @@ _DOC_TOKENS_SQL = ("(strlen(t) - " + _count_sql("t", " t") + " - " + _count_sql(
 
 # RE2 has no look-ahead: a mark before the last character of each white-space run
 # that a word follows makes the split pattern expressible without one
-@register("pretoken_counts", """
+_PRETOKENS_SQL = """
 SELECT word, count(*) AS n FROM (
   SELECT unnest(regexp_extract_all(
     regexp_replace(nfc_normalize(coalesce(text, '')), '(\\s)(\\S)', chr(1) || '\\1\\2', 'g'),
     '''s|''t|''re|''ve|''m|''ll|''d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}\\x01]+|\\s+')) AS word
-  FROM documents) GROUP BY word""")
+  FROM documents) GROUP BY word"""
+
+
+@register("pretoken_counts", _PRETOKENS_SQL)
 def pretoken_counts(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return B.pretoken_counts(d, "text")
 
 
+def _byte_id_sql(pair: str) -> str:
+    digit = "instr('0123456789ABCDEF', {}) - 1".format
+    return f"({B.BYTE_IDS}::INTEGER[])[1 + 16 * ({digit(f'left({pair}, 1)')}) + {digit(f'right({pair}, 1)')}]"
+
+
+@register("pair_counts", f"""
+WITH w AS ({_PRETOKENS_SQL}),
+b AS (SELECT n, hex(encode(word)) AS x FROM w WHERE strlen(word) > 1),
+p AS (SELECT n, substr(x, 2 * u.i + 1, 2) AS l, substr(x, 2 * u.i + 3, 2) AS r
+      FROM b, LATERAL unnest(range(0, length(x) // 2 - 1)) AS u(i))
+SELECT {_byte_id_sql('l')} AS "left", {_byte_id_sql('r')} AS "right", sum(n)::BIGINT AS cnt FROM p GROUP BY ALL""")
+def pair_counts(spark, sf_dir):
+    """Adjacent byte pairs of all pre-tokens: what the first merge is chosen from."""
+    return B.pair_counts(B.byte_words(B.pretoken_counts(table(spark, sf_dir, "documents"), "text")))
+
+
 @register("bpe_merges")
 def bpe_merges(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
