@@ -4,8 +4,11 @@ A byte-level BPE pre-tokenizer binds a single space between two other characters
 to what follows it, and parts a single line break from both, so what stands between
 them is encoded on its own and can be cached.  The cache maps such a chunk to the
 bytes of its ids; a text's ids are one join of them.  The chunks that a batch of
-texts lacks are encoded together; a full stop or comma behind a word is a token of
-its own.  Tokenizers of another kind encode whole texts.
+texts lacks are words, which the tokenizer's model encodes, or are joined to a few long
+strings, with a line break between chunks: it is a token of its own there, which no chunk
+holds, so the ids are cut at it again.  A full
+stop or comma behind a word is a token of its own.  Tokenizers of another kind encode
+whole texts.
 """
 
 from __future__ import annotations
@@ -20,12 +23,16 @@ from itertools import islice
 
 import numpy as np
 
+from ..operators.bpe import byte_chars
+
 #: Chunks kept per worker, and the longest kept.  When the cache is full the
 #: older half stays: frequent chunks are met first.
 CACHE, LONGEST = 600_000, 64
-#: Strings encoded in one call.
-TOGETHER = 1000
+#: Chunks in one string.
+TOGETHER = 200
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Latin letters behind a space or alone: one pre-token.
+_WORD = re.compile("( ?)[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
 def _unsafe(chunk: str) -> bool:
@@ -35,26 +42,69 @@ def _unsafe(chunk: str) -> bool:
     return not word or word[0].isspace() or word[-1].isspace()
 
 
-def _string(chunk: str) -> str:
-    return chunk if chunk[0] == "\n" else " " + chunk
-
-
 def _stem(chunk: str) -> str | None:
     """The chunk without a last full stop or comma, if a letter or digit is before."""
     return chunk[:-1] if chunk[-1] in ".," and chunk[-2:-1].isalnum() else None
 
 
+def _odd_space(text: str) -> bool:
+    """White space other than single spaces and line breaks between other characters."""
+    words, single = text.split(), text.count(" ") + text.count("\n")
+    return len(words) != single + 1 or sum(map(len, words)) + single != len(text)
+
+
 class ChunkEncoder:
     """Ids of texts, equal to encoding each whole text.
 
     ``encode_many(strings)`` gives the ids of each string as bytes of ``dtype``.
     ``added``: tokens that are matched before pre-tokenization; a text that holds
-    one is encoded whole, as is any text if ``whole`` is set."""
+    one is encoded whole, as is any text if ``whole`` is set.  ``encode_word``: ids of
+    one pre-token of letters, where the library offers that."""
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]], dtype: str, added: list[str],
-                 whole: bool = False):
+                 whole: bool = False, encode_word: Callable[[str], bytes] | None = None):
         self.encode_many, self.dtype, self.added, self.whole = encode_many, dtype, added, whole
+        self.encode_word = encode_word
         self.chunks: dict[str, bytes] = {}
+        self.line_break = b"" if whole else encode_many(["\n"])[0]
+        #: Strings can be joined by a line break if that is one token and no added token spans it.
+        self.joins = len(self.line_break) == np.dtype(dtype).itemsize and not any(
+            c.isspace() for a in added for c in a)
+
+    def encode_all(self, strings: list[str]) -> list[bytes]:
+        """Ids of each string.  Words go to the tokenizer's model, others without a line
+        break and with no white space at their ends but one space in front are joined to
+        long strings."""
+        if not self.joins:
+            return self.encode_many(strings)
+        out, plain, other = [b""] * len(strings), [], []
+        word = _WORD.fullmatch if self.encode_word else lambda s: None
+        for i, s in enumerate(strings):
+            if word(s):
+                out[i] = self.encode_word(s)
+            elif s:
+                ok = not s[-1].isspace() and not s[s[0] == " "].isspace() and "\n" not in s
+                (plain if ok else other).append(i)
+        for i, ids in zip(other, self.encode_many([strings[i] for i in other]), strict=True):
+            out[i] = ids
+        size, mark = len(self.line_break), np.frombuffer(self.line_break, self.dtype)[0]
+        for at in range(0, len(plain), TOGETHER):
+            group = plain[at:at + TOGETHER]
+            data = self.encode_many(["\n".join([strings[i] for i in group])])[0]
+            ends = (np.flatnonzero(np.frombuffer(data, self.dtype) == mark) * size).tolist()
+            begin = 0
+            for i, end in zip(group, [*ends, len(data)], strict=True):
+                out[i] = data[begin:end]
+                begin = end + size
+        return out
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks as they stand in a text: behind a space, or behind the line
+        break they begin with."""
+        if not self.joins:
+            return self.encode_many([c if c[0] == "\n" else " " + c for c in chunks])
+        found = self.encode_all([c[1:] if c[0] == "\n" else " " + c for c in chunks])
+        return [self.line_break + ids if c[0] == "\n" else ids for c, ids in zip(chunks, found, strict=True)]
 
     def ids(self, text: str) -> np.ndarray:
         return self.batch([text])[0]
@@ -69,7 +119,8 @@ class ChunkEncoder:
             first, *rest = text.replace("\n", " \n").split(" ")
             lacking = set(rest).difference(self.chunks)
             last = ""
-            if rest and (not first or first[-1].isspace()) or any(map(_unsafe, lacking)):
+            if rest and (not first or first[-1].isspace()) or (
+                    _odd_space(text) and any(map(_unsafe, lacking))):
                 first, *rest = _SAFE_SPACE.split(text)
                 if rest and rest[-1][-1].isspace():  # only a text's end can be white space here
                     last = " " + rest.pop()
@@ -78,11 +129,10 @@ class ChunkEncoder:
             parts.append((first, rest, last))
         stems = {c: stem for c in new if (stem := _stem(c))}
         fresh = list(new.difference(stems).union(set(stems.values()).difference(self.chunks)))
-        ends = [x for first, _, last in parts for x in (first, last)]
-        found = self.encode_many([*map(_string, fresh), *ends, ".", ","])
-        self.chunks.update(zip(fresh, found, strict=False))
-        mark = {".": found[-2], ",": found[-1]}
-        get, ends = self.chunks.__getitem__, found[len(fresh):]
+        self.chunks.update(zip(fresh, self.encode_chunks(fresh), strict=True))
+        ends = self.encode_all([*[x for first, _, last in parts for x in (first, last)], ".", ","])
+        mark = {".": ends[-2], ",": ends[-1]}
+        get = self.chunks.__getitem__
         self.chunks.update({c: get(stem) + mark[c[-1]] for c, stem in stems.items()})
         out = [np.frombuffer(b"".join([ends[2 * i], *map(get, rest), ends[2 * i + 1]]), dtype=self.dtype)
                for i, (_, rest, _) in enumerate(parts)]
@@ -123,4 +173,11 @@ def library_encoder(path: str) -> ChunkEncoder:
         return [array(code, e.ids).tobytes() for at in range(0, len(strings), TOGETHER)
                 for e in batch(strings[at:at + TOGETHER], add_special_tokens=False)]
 
-    return ChunkEncoder(encode_many, dtype, [t["content"] for t in spec["added_tokens"]], whole=not chunked)
+    model, printable = tok.model, dict(enumerate(byte_chars()))
+
+    def encode_word(word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(printable)  # a character per byte
+        return array(code, [t.id for t in model.tokenize(letters)]).tobytes()
+
+    return ChunkEncoder(encode_many, dtype, [t["content"] for t in spec["added_tokens"]], whole=not chunked,
+                        encode_word=encode_word if chunked else None)
