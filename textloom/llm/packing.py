@@ -42,7 +42,7 @@ def pack_vectors(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool
     An example over a limit of its own gets a sequence for itself.  With ``cut``
     every token is loss-bearing and any example may be split."""
     todo = np.array(tokens, dtype=np.int64)     # tokens left of each example
-    weigh = todo if cut else np.array(loss, dtype=np.int64)
+    weigh = todo if cut else np.array(loss, dtype=np.int64)  # with ``cut`` all tokens are loss-bearing
     begin = np.zeros(len(todo), dtype=np.int64)
     room = np.array([limits.tokens, limits.segments, limits.loss], dtype=np.float64)
     top = min(limits.tokens, limits.loss) if cut else limits.tokens
@@ -59,28 +59,33 @@ def pack_vectors(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool
                 begin[i] += top
                 todo[i] -= top
     left = left[np.lexsort((left, -todo[left]))]  # largest first: the order of ties
-    while len(left):
+    t, w = todo[left].astype(np.float64), weigh[left].astype(np.float64)  # demands, in place
+    here, first = np.ones(len(left), dtype=bool), 0
+    while first < len(left):
         free, bin_ = room.copy(), []
-        while len(left):
-            demand = np.stack([todo[left], np.ones(len(left)), weigh[left]])
-            fits = (demand <= free[:, None]).all(axis=0)
-            if not fits.any():
+        while True:
+            fits = here & (t <= free[0]) & (w <= free[2])
+            # the dot product of demand and room, both as shares of the limits
+            weight = free / room ** 2
+            score = np.where(fits, t * weight[0] + weight[1] + w * weight[2], -1.0)
+            k = int(np.argmax(score)) if free[1] >= 1 else 0
+            if free[1] < 1 or not fits[k]:
                 break
-            # demand and room as shares of the limits
-            score = ((free / room ** 2) @ demand)
-            score[~fits] = -1.0
-            k = int(np.argmax(score))
             i = int(left[k])
-            bin_.append((i, int(begin[i]), int(todo[i])))
-            free -= demand[:, k]
-            left = np.delete(left, k)
+            bin_.append((i, int(begin[i]), int(t[k])))
+            free -= (t[k], 1, w[k])
+            here[k] = False
         gap = int(min(free[0], free[2]))
-        if cut and gap and free[1] >= 1 and len(left):
-            i = int(left[np.argmax(todo[left])])
+        if cut and gap and free[1] >= 1 and here.any():
+            k = int(np.argmax(np.where(here, t, -1)))
+            i = int(left[k])
             bin_.append((i, int(begin[i]), gap))
             begin[i] += gap
-            todo[i] -= gap
+            t[k] -= gap
+            w[k] = t[k]
         out.append(bin_)
+        while first < len(left) and not here[first]:
+            first += 1
     return out
 
 
