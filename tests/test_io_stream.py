@@ -3,6 +3,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.operators import incremental as I
@@ -70,11 +71,81 @@ def test_ingest_keeps_the_first_by_order(spark):
 
 
 def test_unreadable_table_is_an_error(spark):
-    from textloom.streaming.ingest import _table_or_empty
+    from textloom.streaming.ingest import read_table
     schema = T.StructType([T.StructField("id", T.LongType())])
     out = tmpdir()
-    assert _table_or_empty(spark, out + "/none", schema).collect() == []
+    assert read_table(spark, out + "/none", schema).collect() == []
     with open(os.path.join(out, "part-0.parquet"), "w") as f:
         f.write("not parquet")
     with pytest.raises(Exception):
-        _table_or_empty(spark, out, schema).collect()
+        read_table(spark, out, schema).collect()
+
+
+def _stream(spark, src, out, ck, rows, name, schema):
+    with open(os.path.join(src, name), "w") as f:
+        for url, text in rows:
+            f.write(json.dumps({"url": url, "text": text}) + "\n")
+    start_ingest(spark, src, out, ck, schema, "url", buckets=16).awaitTermination()
+
+
+def test_a_batch_reads_the_buckets_of_its_keys_only(spark):
+    """Files of all other buckets are damaged between two batches: nobody reads them."""
+    from textloom.streaming import ingest as G
+    schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
+    src, out, ck = tmpdir(), tmpdir() + "/table", tmpdir()
+    first = [(f"https://host{i % 7}.example/page/{i}", f"t{i}") for i in range(200)] + [(None, "no key")]
+    _stream(spark, src, out, ck, first, "b1.json", schema)
+    assert spark.read.parquet(out).count() == 201
+    second = [first[3], ("https://host1.example/new", "new"), (None, "again")]
+    batch = spark.createDataFrame(second, schema)
+    touched = {r[0] for r in batch.select(G.key_bucket("url", 16)).collect()}
+    assert 1 <= len(touched) <= 3
+    before = {}
+    for folder in os.listdir(out):
+        if folder.startswith("_bucket=") and int(folder.split("=")[1]) not in touched:
+            for name in os.listdir(f"{out}/{folder}"):
+                if name.endswith(".parquet"):
+                    before[f"{out}/{folder}/{name}"] = open(f"{out}/{folder}/{name}", "rb").read()
+                    open(f"{out}/{folder}/{name}", "w").write("damaged")
+                    crc = f"{out}/{folder}/.{name}.crc"
+                    if os.path.exists(crc):
+                        open(crc, "w").write("")
+    assert len(before) >= 10
+    plan = G.existing_keys(batch, out, schema, "url", 16)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_bucket" in plan and "ReadSchema: struct<url:string>" in plan
+    _stream(spark, src, out, ck, second, "b2.json", schema)
+    G.ingest_batch(batch, 1, out, schema, "url", 16)  # the batch again, as after a crash
+    for path, data in before.items():
+        open(path, "wb").write(data)
+    for folder in os.listdir(out):
+        for name in os.listdir(f"{out}/{folder}") if folder.startswith("_bucket=") else ():
+            if name.endswith(".crc") and os.path.getsize(f"{out}/{folder}/{name}") == 0:
+                os.remove(f"{out}/{folder}/{name}")
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 202 and len({r.url for r in rows}) == 202
+    assert [r.text for r in rows if r.url is None] == ["no key"]
+    assert all(G.read_table(spark, out, schema).select(F.col("_bucket") == G.key_bucket("url", 16)).distinct().collect()[0])
+
+
+def test_corpus_files_follow_sizes_and_are_reported(spark):
+    """Rebalanced by source: few files though there are many tasks; paths and sizes as on disk."""
+    from textloom.operators import dedup as D
+    from textloom.sources.corpus import registry
+    out = tmpdir() + "/corpus"
+    rows = [(f"s{i % 3 if i < 30 else 0}", f"text {i}") for i in range(3000)]
+    S.write_corpus(spark.createDataFrame(rows, "source string, text string").repartition(40), out)
+    assert sum(n.endswith(".parquet") for _, _, names in os.walk(out) for n in names) <= 6
+    sizes = {r.source: r for r in S.written_sizes(spark, out).collect()}
+    assert set(sizes) == {"s0", "s1", "s2"}
+    for name, r in sizes.items():
+        folder = f"{out}/source={name}"
+        files = [n for n in os.listdir(folder) if n.endswith(".parquet")]
+        assert r.output_path == folder and r.output_files == len(files)
+        assert r.output_bytes == sum(os.path.getsize(f"{folder}/{n}") for n in files)
+        assert r.output_size == f"{r.output_bytes / (1024 if r.output_bytes >= 1024 else 1):.2f} " + ("KB" if r.output_bytes >= 1024 else "B")
+    status = spark.createDataFrame([("s0", 0, 0, "kept", False), ("s9", 1, 0, "empty", False)],
+                                   "source string, source_rank int, pos long, status string, para_changed boolean")
+    rep = {r.source: r for r in D.with_outputs(D.dedup_report(status, registry(spark, ["s0", "s9"])),
+                                               S.written_sizes(spark, out)).collect()}
+    assert rep["s0"].output_path.endswith("source=s0") and rep["s0"].output_bytes == sizes["s0"].output_bytes
+    assert (rep["s9"].output_path, rep["s9"].output_files, rep["s9"].output_size) == (None, 0, "0.00 B")

@@ -212,6 +212,14 @@ def dedup_report(status: DataFrame, registry: DataFrame) -> DataFrame:
     return rep.withColumn("duplicate_rate", rate.cast("double"))
 
 
+def with_outputs(report: DataFrame, sizes: DataFrame) -> DataFrame:
+    """A1: the report with ``output_path``, ``output_files``, ``output_bytes`` and
+    ``output_size`` of each source (``sources.formats.written_sizes``); a source of which
+    nothing was kept has no path, no file and 0 bytes."""
+    return (report.join(sizes, "source", "left").na.fill(0, ["output_files", "output_bytes"])
+            .na.fill("0.00 B", ["output_size"]))
+
+
 def dedup_totals(status: DataFrame) -> DataFrame:
     """A2: totals over all sources (one row)."""
     t = status.agg(F.count(F.lit(1)).alias("total_original_docs"),

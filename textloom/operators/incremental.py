@@ -79,6 +79,8 @@ def frontier(config_totals: DataFrame, author_totals: DataFrame, max_pages: int
 def ingest_new(batch: DataFrame, table: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """R1 (batch form): rows of the new batch whose key is not yet in the
     table, one row per key: the least by ``order``, by default all other columns
-    in turn."""
+    in turn.  Null is a key like any other here: it is ingested once."""
     others = [c for c in batch.columns if c != key]
-    return first_seen(pending(batch, table, key), key, order or others).select(*batch.columns)
+    done = table.select(F.col(key).alias("_done")).distinct()
+    new = batch.join(done, batch[key].eqNullSafe(done["_done"]), "left_anti")
+    return first_seen(new, key, order or others).select(*batch.columns)

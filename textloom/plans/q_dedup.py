@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..functions.text import doc_hash, ustrip
+from ..functions.text import doc_hash, nfc, ustrip
 from ..operators import dedup as D
+from ..session import checkpoint_dir
 from ..sources.corpus import documents_corpus, fixture_registry
+from ..sources.formats import write_corpus, written_sizes
 from .catalog import (MIN_DOC, MIN_PARA, PARA_SEP, dedup_ctes, register, sql_hash,
                       sql_strip, table)
 
@@ -29,6 +33,19 @@ def nfc_doc_hash(spark, sf_dir):
     return d.select("doc_id", "source", doc_hash("text").alias("h"))
 
 
+@register("nfc_injected", f"""
+SELECT doc_id, {sql_hash("coalesce(text, '') || ' tie' || chr(770) || chr(769) || 'ng Vie' || chr(803) || chr(770) || 't ' || chr(8491) || lang")} AS h,
+       length(nfc_normalize(coalesce(text, '') || ' tie' || chr(770) || chr(769) || 'ng Vie' || chr(803) || chr(770) || 't ' || chr(8491) || lang))::BIGINT AS n
+FROM documents""")
+def nfc_injected(spark, sf_dir):
+    """P1 on text that is not in normal form: every document with decomposed Vietnamese
+    words and a singleton behind it."""
+    d = table(spark, sf_dir, "documents")
+    t = F.concat(F.coalesce("text", F.lit("")), F.lit(" tie\u0302\u0301ng Vie\u0323\u0302t \u212b"), "lang")
+    return d.select("doc_id", t.alias("t")).select(
+        "doc_id", doc_hash("t").alias("h"), F.length(nfc("t")).cast("long").alias("n"))
+
+
 @register("doc_dedup_keep_first", f"""
 SELECT doc_id, source FROM (
   SELECT doc_id, source, row_number() OVER (
@@ -97,6 +114,30 @@ def dedup_report_q(spark, sf_dir):
     return rep.drop("source_rank")
 
 
+@register("dedup_outputs", f"""
+WITH {dedup_ctes()},
+agg AS (
+  SELECT source, count(*) AS original_docs, count(*) FILTER (WHERE status = 'kept') AS deduped_docs
+  FROM status GROUP BY source)
+SELECT r.source, coalesce(original_docs, 0)::BIGINT AS original_docs, coalesce(deduped_docs, 0)::BIGINT AS deduped_docs,
+       CASE WHEN deduped_docs > 0 THEN 'source=' || r.source END AS folder, coalesce(deduped_docs, 0) > 0 AS has_bytes,
+       coalesce(deduped_docs, 0)::BIGINT AS read_back
+FROM reg r LEFT JOIN agg USING (source)""")
+def dedup_outputs(spark, sf_dir):
+    """K1, A1: the deduplicated corpus written per source, and the report with where and
+    how large each output is; ``read_back``: rows that its folder holds."""
+    decided = _decisions(spark, sf_dir)
+    kept = decided.filter("status = 'kept'")
+    texts = D.cleaned_texts(documents_corpus(spark, sf_dir), fixture_registry(spark), kept, PARA_SEP)
+    out = f"{checkpoint_dir(spark)}/deduped-{uuid.uuid4().hex}"
+    write_corpus(texts.select("source", F.col("new_text").alias("text")), out)
+    report = D.with_outputs(D.dedup_report(decided, fixture_registry(spark)), written_sizes(spark, out))
+    rows = spark.read.parquet(out).groupBy("source").agg(F.count(F.lit(1)).alias("read_back"))
+    return report.join(rows, "source", "left").select(
+        "source", "original_docs", "deduped_docs", F.regexp_extract("output_path", "([^/]*)\\z", 1).alias("folder"),
+        (F.col("output_bytes") > 0).alias("has_bytes"), F.coalesce("read_back", F.lit(0)).cast("long").alias("read_back"))
+
+
 @register("dedup_totals", f"""
 WITH {dedup_ctes()}
 SELECT count(*)::BIGINT AS total_original_docs,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import ustrip, wiki_url
+from ..functions.text import format_size, ustrip, wiki_url
 
 ARTICLE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("title", T.StringType()),
@@ -91,11 +91,26 @@ def content_pages(df: DataFrame, ns_col: str = "ns", redirect_col: str = "redire
 
 
 def write_corpus(df: DataFrame, path: str, partition_col: str = "source") -> None:
-    """K1: snappy Parquet, one directory per source, old output replaced."""
-    (df.write.mode("overwrite").option("compression", "snappy")
+    """K1: snappy Parquet, one directory per source, old output replaced.  Rows are
+    rebalanced by source first: adaptive execution merges small sources into one task and
+    cuts large ones at ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so a source has
+    as many files as its size asks for, not one per task."""
+    (df.hint("rebalance", F.col(partition_col)).write.mode("overwrite").option("compression", "snappy")
      .partitionBy(partition_col).parquet(path))
 
 
+def written_sizes(spark: SparkSession, path: str, partition_col: str = "source") -> DataFrame:
+    """A1: one row per source of a written corpus: ``output_path``, ``output_files``,
+    ``output_bytes`` and ``output_size`` in words, from the hidden file metadata (no
+    column of the data is read)."""
+    files = (spark.read.parquet(path)
+             .select(F.col(partition_col).cast("string").alias("source"), F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_size").alias("size")).distinct())
+    folder = F.concat(F.lit(f"{path.rstrip('/')}/{partition_col}="), F.coalesce("source", F.lit("__HIVE_DEFAULT_PARTITION__")))
+    return files.groupBy("source").agg(F.count(F.lit(1)).alias("output_files"), F.sum("size").alias("output_bytes")).select(
+        "source", folder.alias("output_path"), "output_files", "output_bytes", format_size("output_bytes").alias("output_size"))
+
+
 def jsonl_to_parquet(spark: SparkSession, src: str, dst: str, schema: T.StructType = ARTICLE_SCHEMA) -> int:
     """K2: malformed lines skipped; no valid record -> error, nothing written."""
     df = valid_rows(read_jsonl(spark, src, schema, lenient=True))
