@@ -66,14 +66,14 @@ def _big(spark, n=300_000):
                     F.concat_ws("-", F.lit("payload"), F.sha2(F.col("id").cast("string"), 224)).alias("payload"))
 
 
-@pytest.mark.parametrize("parts", [2, 8, 200])
+@pytest.mark.parametrize("parts", [2, 8, 200, 2000])
 def test_global_index_of_wide_rows(spark, parts):
     d = _big(spark)
     want = [r.k for r in d.select("k").orderBy("k").collect()]
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        for _ in range(2):
+        for _ in range(2 if parts < 2000 else 1):
             got = O.with_global_index(d, ["k"], "g", total="n").select("k", "g", "n", "payload").collect()
             got.sort(key=lambda r: r.g)
             assert [r.g for r in got] == list(range(len(want))) and [r.k for r in got] == want
@@ -82,6 +82,21 @@ def test_global_index_of_wide_rows(spark, parts):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_buckets_follow_the_shuffle_partitions(spark):
+    """As many buckets as partitions, about even, and each the count of bounds at or below."""
+    d = _big(spark, 40_000).select("k")
+    for buckets in (1, 2, 9, 300):
+        bounds = O._bounds(d, ["k"], buckets, 40_000)
+        got = d.select("k", O._bucket(O._order_key(["k"]), bounds).alias("b")).collect()
+        at = [x.k0 for x in spark.range(1).select(F.array(*bounds)).first()[0]] if bounds else []
+        assert len(at) == buckets - 1 and at == sorted(at)
+        assert all(r.b == sum(x <= r.k for x in at) for r in got[:500])
+        sizes = [0] * buckets
+        for r in got:
+            sizes[r.b] += 1
+        assert min(sizes) > 0 and max(sizes) < 4 * 40_000 / buckets
+
+
 def test_global_index_by_several_columns_with_nulls(spark):
     rows = [(None if i % 5 == 0 else i % 3, f"r{i * 37 % 500:03d}") for i in range(500)]
     d = spark.createDataFrame(rows, "a int, b string").repartition(7)
@@ -143,3 +158,32 @@ def test_documented_links(spark):
     df = spark.createDataFrame([("[https://x.org label] [http://y.org]",)], "t string")
     assert df.select(W.resolve_external("t")).collect()[0][0] == "//x.org label //y.org"
     assert df.select(W.resolve_external("t", "documented")).collect()[0][0] == "label "
+
+
+def test_requests_with_bad_turns_deep_in_the_history(spark):
+    from textloom.operators.chat import validate_requests
+    good = [("user", "hi"), ("assistant", "x" * 4000), ("system", "s")]
+    rows = [("ok", good, None, None), ("ok", None, 512, 2.0), ("", [], 1, 0.1),
+            ("m" * 4001, good * 20 + [("tool", "t"), ("user", ""), ("user", None), (None, "n"), ("user", "y" * 4001)], 0, 2.1),
+            (None, [("User", "")], 513, 0.05)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, message string, history array<struct<role: string, content: string>>, "
+                               "max_new_tokens int, temperature double")
+    got = {r.i: r for r in validate_requests(df).collect()}
+    assert [got[i].is_valid for i in range(5)] == [True, True, False, False, False]
+    assert (got[0].max_new_tokens, got[0].temperature) == (128, 0.8)
+    assert got[2].reasons == ["empty_message"]
+    assert [(t.i, t.reason) for t in got[3].bad_turns] == [
+        (60, "bad_role"), (61, "empty_content"), (62, "empty_content"), (63, "bad_role"), (64, "content_too_long")]
+    assert got[3].reasons == ["message_too_long", "bad_history", "bad_max_new_tokens", "bad_temperature"]
+    assert got[4].reasons == ["empty_message", "bad_history", "bad_max_new_tokens", "bad_temperature"]
+
+
+def test_packing_moves_arrays_once(spark):
+    """The index is made before the ids: one exchange of the plan holds arrays."""
+    from textloom.operators import pack as P
+    d = spark.createDataFrame([(i, "text %d" % i) for i in range(50)], "doc_id long, text string")
+    d = O.with_global_index(d, ["doc_id"], "g", total="n")
+    d = d.withColumn("ids", P.append_eos(P.code_point_ids("text"), 0)).drop("text")
+    plan = P.pack(d, "ids", "g", "n", 16, 10, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the texts by bucket, the arrays by batch

@@ -30,18 +30,34 @@ def validate_turns(df: DataFrame, role: str = "role", text: str = "text") -> Dat
     return df.withColumn("reasons", reasons).withColumn("is_valid", F.size("reasons") == 0)
 
 
+def _content_reason(role, text):
+    """Why a turn is refused, or null: a turn has the first reason that holds."""
+    n = F.length(text)
+    return (F.when(~F.coalesce(role.isin(*ROLES), F.lit(False)), F.lit("bad_role"))
+            .when(text.isNull() | (n < 1), F.lit("empty_content"))
+            .when(n > MAX_CONTENT, F.lit("content_too_long")))
+
+
 def validate_requests(df: DataFrame) -> DataFrame:
-    """F8 for request rows ``(message, max_new_tokens, temperature)``: defaults
-    filled by ``coalesce``, ``is_valid`` + ``reasons``."""
+    """F8 for request rows ``(message, history array<struct<role, content>>,
+    max_new_tokens, temperature)``: defaults filled by ``coalesce`` (a null or missing
+    history is empty), ``is_valid``, ``reasons`` and ``bad_turns`` array<struct<i, reason>>: every
+    turn of the history, however deep, that is refused."""
     mnt = F.coalesce(F.col("max_new_tokens"), F.lit(MAX_NEW_TOKENS[2]))
     tmp = F.coalesce(F.col("temperature"), F.lit(TEMPERATURE[2]))
     n = F.length("message")
+    turns = F.array().cast("array<struct<role: string, content: string>>")
+    past = F.coalesce(F.col("history"), F.array().cast(df.schema["history"].dataType)) if "history" in df.columns else turns
+    judged = F.transform(past, lambda t, i: F.struct(
+        i.cast("int").alias("i"), _content_reason(t["role"], t["content"]).alias("reason")))
     reasons = F.array_compact(F.array(
         F.when(F.col("message").isNull() | (n < 1), F.lit("empty_message")),
         F.when(n > MAX_CONTENT, F.lit("message_too_long")),
+        F.when(F.size("bad_turns") > 0, F.lit("bad_history")),
         F.when((mnt < MAX_NEW_TOKENS[0]) | (mnt > MAX_NEW_TOKENS[1]), F.lit("bad_max_new_tokens")),
         F.when((tmp < TEMPERATURE[0]) | (tmp > TEMPERATURE[1]), F.lit("bad_temperature"))))
-    return (df.withColumn("max_new_tokens", mnt).withColumn("temperature", tmp)
+    return (df.withColumn("bad_turns", F.filter(judged, lambda t: t["reason"].isNotNull()))
+            .withColumn("max_new_tokens", mnt).withColumn("temperature", tmp)
             .withColumn("reasons", reasons).withColumn("is_valid", F.size("reasons") == 0))
 
 

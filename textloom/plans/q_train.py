@@ -105,9 +105,12 @@ FROM kept GROUP BY shard, batch, block_idx"""
 
 @register("pack_blocks", _pack_sql())
 def pack_blocks(spark, sf_dir):
+    """Blocks of code points: the form that SQL can follow; ``pack_blocks_bpe`` has the
+    tokenizer's ids."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    d = d.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)).drop("text")
-    return _packed(O.with_global_index(d, ["doc_id"], "g", total="n"))
+    # ids are made behind the index, so only the packing's own exchange moves arrays
+    d = O.with_global_index(d, ["doc_id"], "g", total="n")
+    return _packed(d.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)).drop("text"))
 
 
 # The keys with SQL keep code points as ids; the *_bpe keys use the published vocabulary
@@ -343,6 +346,61 @@ def turn_validation(spark, sf_dir):
     return c.select("conv_id", "turn", "is_valid", F.array_join("reasons", ",").alias("reasons"))
 
 
+_REQUEST_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 13 = 5 THEN 'tool' ELSE role END AS role,
+         CASE WHEN (conv_id + 3 * turn) % 17 = 2 THEN '' WHEN (conv_id + 5 * turn) % 19 = 3 THEN repeat(text, 40)
+              ELSE text END AS content
+  FROM conversations),
+last AS (SELECT conv_id, max(turn) AS mt FROM conversations WHERE role = 'user' GROUP BY conv_id),
+r AS (
+  SELECT l.conv_id, any_value(m.content) AS message, l.conv_id % 600 AS mnt, (l.conv_id % 24) / 10.0::DOUBLE AS tmp,
+         coalesce(list({{'i': t.turn, 'role': t.role, 'content': t.content}} ORDER BY t.turn)
+                  FILTER (WHERE t.turn IS NOT NULL), []) AS history
+  FROM last l JOIN t m ON m.conv_id = l.conv_id AND m.turn = l.mt LEFT JOIN t ON t.conv_id = l.conv_id AND t.turn < l.mt
+  GROUP BY l.conv_id),
+b AS (
+  SELECT *, list_filter(list_transform(history, lambda x, k: {{'i': k - 1, 'reason':
+    CASE WHEN NOT coalesce(x.role IN ('user', 'assistant', 'system'), false) THEN 'bad_role'
+         WHEN x.content IS NULL OR length(x.content) < 1 THEN 'empty_content'
+         WHEN length(x.content) > {C.MAX_CONTENT} THEN 'content_too_long' END}}), lambda x: x.reason IS NOT NULL) AS bad
+  FROM r),
+v AS (
+  SELECT *, list_filter([
+    CASE WHEN message IS NULL OR length(message) < 1 THEN 'empty_message' END,
+    CASE WHEN length(message) > {C.MAX_CONTENT} THEN 'message_too_long' END,
+    CASE WHEN len(bad) > 0 THEN 'bad_history' END,
+    CASE WHEN coalesce(nullif(mnt, 7), 128) NOT BETWEEN 1 AND 512 THEN 'bad_max_new_tokens' END,
+    CASE WHEN coalesce(nullif(tmp, 1.1), 0.8) NOT BETWEEN 0.1 AND 2.0 THEN 'bad_temperature' END],
+    lambda x: x IS NOT NULL) AS reasons FROM b)
+SELECT conv_id, len(history)::BIGINT AS turns, len(reasons) = 0 AS is_valid, array_to_string(reasons, ',') AS reasons,
+       array_to_string(list_transform(bad, lambda x: x.i::VARCHAR || ':' || x.reason), ',') AS bad_turns FROM v"""
+
+
+@register("request_validation", _REQUEST_SQL)
+def request_validation(spark, sf_dir):
+    """F8 over whole requests: a request per conversation (its last user turn, and the
+    turns before it as history), with faults put into roles, contents and numbers."""
+    t = table(spark, sf_dir, "conversations")
+    c, n = F.col("conv_id"), F.col("turn")
+    t = t.select("conv_id", "turn", F.col("role").alias("_role"),
+                 F.when((c + n) % 13 == 5, F.lit("tool")).otherwise(F.col("role")).alias("role"),
+                 F.when((c + 3 * n) % 17 == 2, F.lit("")).when((c + 5 * n) % 19 == 3, F.repeat("text", F.lit(40)))
+                 .otherwise(F.col("text")).alias("content"))
+    last = t.filter("_role = 'user'").groupBy("conv_id").agg(F.max("turn").alias("_mt"))
+    past = F.array_sort(F.collect_list(F.when(n < F.col("_mt"), F.struct("turn", "role", "content"))))
+    r = t.join(last, "conv_id").filter(n <= F.col("_mt")).groupBy("conv_id").agg(
+        F.max(F.when(n == F.col("_mt"), F.col("content"))).alias("message"), past.alias("_past"))
+    r = r.select("conv_id", "message", F.transform("_past", lambda x: F.struct(x["role"], x["content"])).alias("history"),
+                 F.nullif(c % 600, F.lit(7)).cast("int").alias("max_new_tokens"),
+                 F.nullif((c % 24) / F.lit(10.0), F.lit(1.1)).alias("temperature"))
+    v = C.validate_requests(r)
+    return v.select("conv_id", F.size("history").cast("long").alias("turns"), "is_valid",
+                    F.array_join("reasons", ",").alias("reasons"),
+                    F.array_join(F.transform("bad_turns", lambda x: F.concat(x["i"].cast("string"), F.lit(":"), x["reason"])),
+                                 ",").alias("bad_turns"))
+
+
 @register("strip_generated_prefix", f"""
 SELECT conv_id, turn,
        CASE WHEN starts_with(text, 'Ét') THEN {sql_strip("substr(text, 3)")} ELSE text END AS stripped
