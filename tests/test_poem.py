@@ -44,6 +44,16 @@ def test_segment_poems(spark):
     assert (0, "D", "no title here") in got
 
 
+def test_segments_of_pages_with_any_character(spark):
+    z = "\u0000"
+    html = f"intro{z}m<b>One{z}</b><br><br>line {z} two\n{z}m more {z}z<b>x<b>Two</b>\n\nend{z}"
+    got = col1(spark, lambda c: PF.segment_poems(c, F.lit("D")), [html, f"no title {z}m", f"{z}<b>T</b>\n\n"])
+    assert [(x["title"], x["content"]) for x in got[0]] == [
+        (f"One{z}", f"line {z} two\n{z}m more {z}z"), ("x<b>Two", f"end{z}")]
+    assert [(x["title"], x["content"]) for x in got[1]] == [("D", f"no title {z}m")]
+    assert [(x["title"], x["content"]) for x in got[2]] == [("T", "")]
+
+
 def test_extract_blocks(spark):
     html = ('<html><div class="small"> Nguồn: <b>A</b> </div>'
             '<div class="poem-content x"><div>in</div>text<br></div><div class="poem-content">2</div></html>')
@@ -62,6 +72,25 @@ def test_list_items(spark):
     assert [(x["title"], x["url"], x["author"]) for x in r] == [("T1", "/p1", "Ann"), ("T2", "/p2", "Unknown")]
 
 
+def test_items_of_any_depth(spark):
+    html = ('<div class="page"><div class="list-item"><div class="x"><h4 class="list-item-header"><a href="/p1?a=1&amp;b=2">'
+            'T <i>one</i></a></h4></div><div><p>by<br><a href="/author-an/">An</a></div></div>'
+            '<div class="list-item"><a href="/author-x"> </a><h4 class="list-item-header"><span><a href="/no">n</a></span>'
+            '<a href="/p2">T&eacute;2</a><a href="/other">o</a></h4><a href="/author-y">Y</a></div>'
+            '<div class="list-item other"><h4 class="list-item-header"><a href="/p3">T3</a></h4></div>'
+            '<div class="list-item"><h4 class="list-item-header"><a href="/p4">T4</div></div><a href="/author-z">Z</a>')
+    r = col1(spark, PF.list_items, [html, None, "<p>no list</p>"])
+    assert [(x["title"], x["url"], x["author"]) for x in r[0]] == [
+        ("T one", "/p1?a=1&b=2", "An"), ("Té2", "/p2", "Unknown"), ("T4", "/p4", "Unknown")]
+    assert r[1] == r[2] == []
+
+
+def test_clean_poems(spark):
+    df = spark.createDataFrame([("<b>a</b><br>b", "Nguồn: X bình luận nhanh y\nz", " A &amp; B "), ("<i>x</i> &nbsp;", None, None),
+                                (None, "s", "t")], "content string, source string, title string")
+    assert [tuple(r) for r in PO.clean_poems(df).collect()] == [("a\nb", "Nguồn: X \nz", "A & B")]
+
+
 def test_stanzas(spark):
     good = "Một hai ba bốn năm\nsáu bảy tám chín mười\nmột hai ba bốn năm\nsáu bảy tám chín mười"
     bad = "a b c d e\na b c d e\na b c d e"

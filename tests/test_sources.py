@@ -52,3 +52,25 @@ def test_decode_invalid_bytes(spark):
 def test_dedup_exact_and_distinct(spark):
     df = spark.createDataFrame([(3, "x"), (1, "x"), (2, "y")], "pos long, t string")
     assert sorted(r.pos for r in D.dedup_exact(df, F.col("t"), ["pos"]).collect()) == [1, 2]
+
+
+def test_nfc_quick_check(spark):
+    """Exact where it lets a character pass; precomposed text stays in the JVM."""
+    import itertools
+    import unicodedata
+
+    from textloom.functions.text import may_need_nfc, nfc, nfc_safe_ranges
+    safe = [c for a, b in nfc_safe_ranges() for c in (a, a + 1, (a + b) // 2, b - 1, b)]
+    marks = [0x301, 0x323, 0x1161, 0x11A8, 0x9BE, 0x65, 0x61, 0x20]
+    for c, m in itertools.product(safe, marks):
+        # a passing character changes neither alone nor behind another one
+        pair = chr(m) + chr(c)
+        assert unicodedata.normalize("NFC", pair) == unicodedata.normalize("NFC", chr(m)) + chr(c)
+    texts = ["ascii", "Trăm năm trong cõi người ta — “chữ tài”, chữ mệnh… 😀", "Größe, façade, Œuvre, Ελλάδα Россия 漢字 한글",
+             "e\u0301", "tie\u0302\u0301ng Vie\u0323\u0302t", "\u1112\u1161\u11ab", "a\u0323\u0307", "a\u0307\u0323", "\u212b", "\u2000x", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
+        "i", "t", may_need_nfc("t").alias("python"), nfc("t").alias("n")).collect()
+    for r in rows:
+        assert r.n == unicodedata.normalize("NFC", r.t or "")
+        assert r.python is None if r.t is None else r.python or r.n == r.t
+    assert [r.i for r in rows if r.python is False] == [0, 1, 2]

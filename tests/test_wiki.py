@@ -53,3 +53,30 @@ def test_clean_wikitext(spark):
 def test_split_lines(spark):
     got = run(spark, W.split_lines, ["a\nb\n", "", "\n", "a\r\nb\x0bc "])
     assert got == ["a\nb\n".splitlines(), "".splitlines(), "\n".splitlines(), "a\r\nb\x0bc ".splitlines()]
+
+
+def _markup(seed, n):
+    """Random runs of delimiters, white space and text."""
+    import random
+    rnd = random.Random(seed)
+    parts = ["{|", "|}", "{{", "}}", "[[", "]]", "[", "]", "|", "\n", "\n| ", "\n|-", " ", "a", "File:", "abc:", "=", "== h ==\n",
+             "'''", "----", "__X__", "&amp;", "&nbsp;", "{", "}", "https://x y", " ", "é"]
+    return ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(n)]
+
+
+def test_one_crossing_equals_the_single_steps(spark):
+    texts = [c[0] for c in CASES] + _markup(1, 400) + [None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    one = {r.i: r.clean for r in W.clean_wikitext_df(df, "t").collect()}
+    many = {r.i: r.clean for r in W.clean_wikitext_df(df, "t", steps=W.SINGLE_STEPS).collect()}
+    assert one == many
+    for links in ("code", "documented"):
+        got = {r.i: r.c for r in df.select("i", W.clean_wikitext("t", links).alias("c")).collect()}
+        want = {r.i: r.c for r in W.clean_wikitext_df(df, "t", "c", links, W.SINGLE_STEPS).collect()}
+        assert got == want
+
+
+def test_one_scan_of_braces_equals_two():
+    for text in _markup(2, 4000):
+        two = W._drop_nested(text, W._TABLE_TOK, "{|", keep_stray_closer=True)
+        assert W.scan_braces(text) == W._drop_nested(two, W._TMPL_TOK, "{{", keep_stray_closer=False), text

@@ -112,19 +112,20 @@ def is_blocked(html, phrases=LIST_PAGE_BLOCKS + (POEM_PAGE_BLOCK,)) -> Column:
 
 
 _TITLE = f"<b>(.*?)</b>{S}*\\n{{2,}}"
-_SENTINEL = "\u0000"
+# A split mark in front of each title; a U+0000 of the page itself is written as _ZERO meanwhile.
+_MARK, _ZERO = "\u0000m", "\u0000z"
 
 
 def segment_poems(html, default_title) -> Column:
     """array<struct<title, content>>.  ``br`` -> newline; each single-line
     bold title followed by 2+ newlines starts a poem that runs to the next title
     (newline-stripped); text before the first title is dropped; no title -> one
-    poem with the default title and the whole html.  The split marks match
-    starts with U+0000, which HTML text does not carry."""
+    poem with the default title and the whole html.  A page may hold any character."""
     h = F.regexp_replace(_c(html), f"(?iu)<br{S}*/?>", "\n")
-    marked = F.regexp_replace(h, f"(?iud){_TITLE}", _SENTINEL + "$0")
-    parts = F.split(marked, _SENTINEL, -1)
-    segs = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
+    marked = F.regexp_replace(F.replace(h, F.lit("\u0000"), F.lit(_ZERO)), f"(?iud){_TITLE}", _MARK + "$0")
+    parts = F.split(marked, _MARK, -1)
+    segs = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))),
+                       lambda s: F.replace(s, F.lit(_ZERO), F.lit("\u0000")))
     found = F.transform(segs, lambda s: F.struct(
         ustrip(F.regexp_extract(s, f"(?iud)^{_TITLE}", 1)).alias("title"),
         F.btrim(F.regexp_replace(s, f"(?iud)^{_TITLE}", ""), F.lit("\n")).alias("content")))
@@ -227,18 +228,86 @@ def extract_blocks(html) -> Column:
 
 
 # --------------------------------------------------------------------------- list pages
-_ITEM = ("(?is)<div class=\"list-item\">(.*?)</div>")
-_HEADER_LINK = "(?is)<h4 class=\"list-item-header\">\\s*<a [^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
-_AUTHOR_LINK = "(?is)<a [^>]*?href=\"[^\"]*/author-[^\"]*\"[^>]*>(.*?)</a>"
+# Elements without an end tag.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+
+class _Items(HTMLParser):
+    """Items (``div class="list-item"``) in page order: the first link that is a child of
+    an ``h4 class="list-item-header"`` at any depth below the item, and the first link
+    whose address holds ``/author-``."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open: list[tuple[str, bool, int | None]] = []  # (tag, is a header, item it begins)
+        self.items: list[dict] = []
+        self.links: list[tuple[int, list, list]] = []       # open links: (depth, targets, text)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in VOID:
+            return
+        attrs = dict(attrs)
+        item = None
+        if tag == "div" and attrs.get("class") == "list-item":
+            item = len(self.items)
+            self.items.append({"title": None, "url": None, "author": None})
+        if tag == "a":
+            href, targets = attrs.get("href") or "", []
+            below_header = bool(self.open) and self.open[-1][1]
+            for i in {x[2] for x in self.open if x[2] is not None}:
+                for name, holds in (("title", below_header), ("author", "/author-" in href)):
+                    if holds and self.items[i][name] is None:
+                        self.items[i][name] = ""
+                        targets.append((i, name))
+                        if name == "title":
+                            self.items[i]["url"] = href
+            if targets:
+                self.links.append((len(self.open), targets, []))
+        self.open.append((tag, tag == "h4" and attrs.get("class") == "list-item-header", item))
+
+    def handle_endtag(self, tag):
+        at = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag), None)
+        if at is not None:  # a stray end tag closes nothing
+            del self.open[at:]
+            self.end_links(at)
+
+    def end_links(self, depth):
+        while self.links and self.links[-1][0] >= depth:
+            _, targets, text = self.links.pop()
+            for i, name in targets:
+                self.items[i][name] = "".join(text).strip()
+
+    def handle_data(self, data):
+        for _, _, text in self.links:
+            text.append(data)
+
+    def result(self) -> list[dict]:
+        self.end_links(0)
+        return [{"title": x["title"], "url": x["url"], "author": x["author"] or "Unknown"} for x in self.items if x["url"]]
+
+
+_ITEM_FIELDS = ("title", "url", "author")
+_ITEM_TYPE = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in _ITEM_FIELDS]))
+
+
+@F.arrow_udf(_ITEM_TYPE)
+def _items_arrow(s: pa.Array) -> pa.Array:
+    out = []
+    for x in s.to_pylist():
+        if x is None:
+            out.append([])
+            continue
+        p = _Items()
+        p.feed(x)
+        p.close()
+        out.append(p.result())
+    return pa.array(out, pa.list_(pa.struct([(n, pa.string()) for n in _ITEM_FIELDS])))
 
 
 def list_items(html) -> Column:
-    """array<struct<title, url, author>> of a list page's items; items
-    without a URL are dropped; missing/empty author -> 'Unknown'."""
-    items = F.regexp_extract_all(_c(html), F.lit(_ITEM), 1)
-    rows = F.transform(items, lambda it: F.struct(
-        ustrip(F.regexp_replace(F.regexp_extract(it, _HEADER_LINK, 2), "<[^>]+>", "")).alias("title"),
-        F.regexp_extract(it, _HEADER_LINK, 1).alias("url"),
-        F.coalesce(F.nullif(ustrip(F.regexp_replace(F.regexp_extract(it, _AUTHOR_LINK, 1), "<[^>]+>", "")),
-                            F.lit("")), F.lit("Unknown")).alias("author")))
-    return F.filter(rows, lambda r: r["url"] != "")
+    """array<struct<title, url, author>> of a list page's items, by the page's
+    structure: elements inside an item do not end it.  Items without a URL are dropped;
+    missing/empty author -> 'Unknown'.  Only pages that mention ``list-item`` reach
+    Python."""
+    h = _c(html)
+    return _items_arrow(F.when(h.contains("list-item"), h))

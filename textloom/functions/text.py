@@ -2,7 +2,7 @@
 
 Everything that Spark can express natively stays JVM-side.  Only Unicode NFC
 and HTML entity decoding need Python; both run as Arrow-batched UDFs and are
-fed NULL for rows that cannot change (ASCII-only / no ``&``), so those rows do
+fed NULL for rows that cannot change (no character that NFC may touch / no ``&``), so those rows do
 not pay the Python round trip.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -62,6 +63,42 @@ def is_ascii(col) -> Column:
 
 
 # --------------------------------------------------------------------------- NFC
+#: Ranges of code points that the JVM check lets pass: the longest ones below and above U+FFFF.
+NFC_RANGES = (32, 2)
+
+
+@lru_cache(maxsize=1)
+def nfc_safe_ranges() -> list[tuple[int, int]]:
+    """The longest ranges of code points that NFC never touches, whatever stands beside
+    them: each is its own normal form, is no combining mark and never joins the character
+    before it.  Made from Python's Unicode data, which also normalises."""
+    joins = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))  # vowels and finals of syllables made by rule
+    unsafe = set()
+    for c in range(0x110000):
+        ch = chr(c)
+        if 0xD800 <= c < 0xE000 or unicodedata.combining(ch) or unicodedata.normalize("NFC", ch) != ch:
+            unsafe.add(c)
+        parts = unicodedata.decomposition(ch).split(" ")
+        if len(parts) == 2 and parts[0][:1] != "<":
+            joins.add(int(parts[1], 16))
+    ranges, begin = [], 0
+    for c in sorted(unsafe | joins) + [0x110000]:
+        if c > begin:
+            ranges.append((begin, c - 1))
+        begin = c + 1
+    ranges.sort(key=lambda r: r[0] - r[1])
+    low, high = ([r for r in ranges if (r[0] > 0xFFFF) == above][:n] for above, n in enumerate(NFC_RANGES))
+    return sorted(low + high)
+
+
+def may_need_nfc(col) -> Column:
+    """JVM check: the text holds a character that NFC may change or move.  False for
+    ASCII, and for precomposed text of nearly all scripts."""
+    c = _c(col)
+    safe = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in nfc_safe_ranges())
+    return ~is_ascii(c) & c.rlike(f"[^{safe}]")
+
+
 @F.arrow_udf(T.StringType())
 def _nfc_arrow(s: pa.Array) -> pa.Array:
     norm = unicodedata.normalize
@@ -72,9 +109,9 @@ def _nfc_arrow(s: pa.Array) -> pa.Array:
 
 
 def nfc(col) -> Column:
-    """Unicode NFC with null -> ''.  ASCII rows never reach Python."""
+    """Unicode NFC with null -> ''.  Rows that cannot change never reach Python."""
     c = _c(col)
-    return F.coalesce(_nfc_arrow(F.when(~is_ascii(c), c)), c, F.lit(""))
+    return F.coalesce(_nfc_arrow(F.when(may_need_nfc(c), c)), c, F.lit(""))
 
 
 def doc_hash(col) -> Column:

@@ -9,6 +9,7 @@ as Arrow-batched UDFs that receive NULL for rows without the delimiter.
 
 from __future__ import annotations
 
+import html
 import re
 
 import pyarrow as pa
@@ -24,10 +25,10 @@ S = f"[{WS}]"          # one Python-whitespace character
 # Fixed values
 # ---------------------------------------------------------------------------
 # Opening tags replaced by a space.
-BLOCK_TAGS = ("div span small big b i u s br p table tr th td ul ol li dl dt dd "
-              "sub sup blockquote nowiki code pre gallery imagemap timeline score "
-              "syntaxhighlight source poem section indicator templatestyles "
-              "hiero math chem").split()
+BLOCK_TAGS = ("div", "span", "small", "big", "b", "i", "u", "s", "br", "p", "table", "tr", "th", "td",
+              "ul", "ol", "li", "dl", "dt", "dd", "sub", "sup", "blockquote", "nowiki", "code", "pre",
+              "gallery", "imagemap", "timeline", "score", "syntaxhighlight", "source", "poem", "section",
+              "indicator", "templatestyles", "hiero", "math", "chem")
 # Link targets that are media or category links (W10), lower case, '_' as ' '.
 MEDIA_PREFIXES = ("file:", "image:", "tập tin:", "hình:", "ảnh:",
                   "category:", "thể loại:", "media:")
@@ -151,9 +152,38 @@ def resolve_links(col) -> Column:
 
 
 # --------------------------------------------------------------------------- W9, W11-W14
+# Patterns and replacements in order, as Java regex; ``python_rules`` has them for ``re``.
+ORPHAN_ROWS = ((f"(?md)^{S}*\\|[-+|].*\\n?", ""), (f"(?md)^{S}*\\| [^\\n]*\\n?", ""))
+INTERWIKI = (("\\[([a-z][a-z0-9_-]*):([^\\]|]*)\\|([^\\]]+)\\]", "$3"),  # labelled
+             ("\\[[a-z]{2}:[^\\]]+\\]", ""),                            # of a language
+             ("\\[[a-z][a-z0-9_-]*:([^\\]]+)\\]", "$1"))
+EXTERNAL = ((f"\\[https?://[^{WS}\\]]+{S}+([^\\]]+)\\]", "$1"), ("\\[https?://[^\\]]+\\]", ""))
+HEADERS = ((f"(?md)^=+{S}*(.+?){S}*=+{S}*$", "$1"), (f"(?md)^=+{S}*=+{S}*$", ""))
+EMPHASIS = (("'''|''|----+", ""),)
+SWITCHES = (("__[A-Z_]+__", ""),)
+
+
+def _apply(col, rules) -> Column:
+    t = _c(col)
+    for pattern, replacement in rules:
+        t = F.regexp_replace(t, pattern, replacement)
+    return t
+
+
+def python_rules(rules) -> list[tuple[re.Pattern, str]]:
+    """The same rules for ``re``, whose ``\\s`` is the white space class and whose lines end
+    at ``\\n`` only."""
+    return [(re.compile(p.replace("(?md)", "(?m)").replace(f"[^{WS}\\]]", r"[^\s\]]").replace(S, r"\s")),
+             r.replace("$", "\\")) for p, r in rules]
+
+
+def link_rules(links: str = "code"):
+    """W11 in the order of the code or as documented (``resolve_external``)."""
+    return EXTERNAL + INTERWIKI if links == "documented" else INTERWIKI + EXTERNAL
+
+
 def strip_orphan_rows(col) -> Column:
-    t = F.regexp_replace(_c(col), f"(?md)^{S}*\\|[-+|].*\\n?", "")
-    return F.regexp_replace(t, f"(?md)^{S}*\\| [^\\n]*\\n?", "")
+    return _apply(col, ORPHAN_ROWS)
 
 
 def resolve_external(col, links: str = "code") -> Column:
@@ -162,31 +192,19 @@ def resolve_external(col, links: str = "code") -> Column:
     already takes any lower-case ``scheme:rest`` (``[https://x lbl]`` becomes
     ``//x lbl``).  ``links='documented'`` applies the two external-link rules
     first, giving ``lbl`` and ``''`` as documented."""
-    interwiki_label = ("\\[([a-z][a-z0-9_-]*):([^\\]|]*)\\|([^\\]]+)\\]", "$3")
-    language = ("\\[[a-z]{2}:[^\\]]+\\]", "")
-    interwiki = ("\\[[a-z][a-z0-9_-]*:([^\\]]+)\\]", "$1")
-    ext_label = (f"\\[https?://[^{WS}\\]]+{S}+([^\\]]+)\\]", "$1")
-    ext_bare = ("\\[https?://[^\\]]+\\]", "")
-    rules = [interwiki_label, language, interwiki, ext_label, ext_bare]
-    if links == "documented":
-        rules = [ext_label, ext_bare, interwiki_label, language, interwiki]
-    t = _c(col)
-    for pat, rep in rules:
-        t = F.regexp_replace(t, pat, rep)
-    return t
+    return _apply(col, link_rules(links))
 
 
 def strip_headers(col) -> Column:
-    t = F.regexp_replace(_c(col), f"(?md)^=+{S}*(.+?){S}*=+{S}*$", "$1")
-    return F.regexp_replace(t, f"(?md)^=+{S}*=+{S}*$", "")
+    return _apply(col, HEADERS)
 
 
 def strip_emphasis(col) -> Column:
-    return F.regexp_replace(_c(col), "'''|''|----+", "")
+    return _apply(col, EMPHASIS)
 
 
 def strip_switches(col) -> Column:
-    return F.regexp_replace(_c(col), "__[A-Z_]+__", "")
+    return _apply(col, SWITCHES)
 
 
 def decode_entities(col) -> Column:
@@ -243,34 +261,112 @@ def collapse_space(col) -> Column:
     return ustrip(F.array_join(F.transform(split_lines(t), lambda x: ustrip(x)), "\n"))
 
 
+# --------------------------------------------------------------------------- W7-W15 at once
+_BRACE_TOK = re.compile(r"\{\||\|\}|\{\{|\}\}")
+
+
+def scan_braces(text: str) -> str:
+    """Tables first, templates in what is left.  One pass over the delimiters
+    of both where they do not touch each other; texts in which two share a character
+    (``{{|``, ``|}}``) or which hold no table take the two passes or the one needed."""
+    tables, templates = "{|" in text or "|}" in text, "{{" in text or "}}" in text
+    if not tables:
+        return _drop_nested(text, _TMPL_TOK, "{{", keep_stray_closer=False) if templates else text
+    if not templates:
+        return _drop_nested(text, _TABLE_TOK, "{|", keep_stray_closer=True)
+    tokens = list(_BRACE_TOK.finditer(text))
+    if any(x in text for x in ("{{|", "|}}", "{{{", "}}}")) or _joined_by_tables(text, tokens):
+        text = _drop_nested(text, _TABLE_TOK, "{|", keep_stray_closer=True)
+        return _drop_nested(text, _TMPL_TOK, "{{", keep_stray_closer=False)
+    out, table, template, last = [], 0, 0, 0
+    for m in tokens:
+        token = m.group()
+        if not table and not template:
+            out.append(text[last:m.start()])
+        if token == "{|":
+            table += 1
+        elif token == "|}":
+            if table:
+                table -= 1
+            elif not template:
+                out.append(token)  # a stray closer stays
+        elif not table:            # templates are looked for outside tables only
+            template = template + 1 if token == "{{" else max(template - 1, 0)
+        last = m.end()
+    if not table and not template:
+        out.append(text[last:])
+    return "".join(out)
+
+
+def _joined_by_tables(text: str, tokens: list[re.Match]) -> bool:
+    """Removing a table would bring braces on both of its sides together."""
+    depth = begin = 0
+    for m in tokens:
+        if m.group() == "{|":
+            begin = m.start() if depth == 0 else begin
+            depth += 1
+        elif m.group() == "|}" and depth:
+            depth -= 1
+            if depth == 0 and begin and m.end() < len(text) and text[begin - 1] in "{}" and text[m.end()] in "{}":
+                return True
+    return False
+
+
+def _middle(links: str):
+    rules = [python_rules(r) for r in (ORPHAN_ROWS, link_rules(links) + HEADERS + EMPHASIS + SWITCHES)]
+
+    @F.arrow_udf(T.StringType())
+    def middle(s: pa.Array) -> pa.Array:
+        out = []
+        for x in s.to_pylist():
+            if x is not None:
+                x = scan_braces(x)
+                for p, r in rules[0]:
+                    x = p.sub(r, x)
+                x = _resolve_links(x)
+                for p, r in rules[1]:
+                    x = p.sub(r, x)
+                x = html.unescape(x).replace("\u00a0", " ")
+            out.append(x)
+        return pa.array(out, type=pa.string())
+    return middle
+
+
+def strip_middle(col, links: str = "code") -> Column:
+    """W7 to W15 in one crossing to Python; rows without braces, double brackets and
+    ``&`` take the native rules and never reach it."""
+    c = _c(col)
+    python = c.contains("{") | c.contains("}") | c.contains("[[") | c.contains("&")
+    native = F.translate(_apply(c, ORPHAN_ROWS + link_rules(links) + HEADERS + EMPHASIS + SWITCHES), "\u00a0", " ")
+    return F.coalesce(_middle(links)(F.when(python, c)), native)
+
+
 # --------------------------------------------------------------------------- P6
 def clean_wikitext(col, links: str = "code") -> Column:
     """The whole chain in the reference order.  Null -> ''.  Rows that end
     up empty are kept (empty string).  Prefer ``clean_wikitext_df`` for large
     plans (it stages each step as a column)."""
     t = F.coalesce(_c(col), F.lit(""))
-    for step in (strip_comments, strip_ref_selfclosed, strip_ref_pairs, strip_open_tags,
-                 strip_close_tags, strip_other_tags, strip_tables_templates,
-                 strip_orphan_rows, resolve_links, resolve_external, strip_headers,
-                 strip_emphasis, strip_switches, decode_entities, strip_lists,
-                 cut_terminal, collapse_space):
-        t = resolve_external(t, links) if step is resolve_external else step(t)
+    for step in STEPS:
+        t = step(t, links) if step is strip_middle else step(t)
     return t
 
 
+#: The chain: W1-W6, W7-W15 in one crossing, W16-W18.
 STEPS = (strip_comments, strip_ref_selfclosed, strip_ref_pairs, strip_open_tags,
-         strip_close_tags, strip_other_tags, strip_tables_templates, strip_orphan_rows,
-         resolve_links, resolve_external, strip_headers, strip_emphasis, strip_switches,
-         decode_entities, strip_lists, cut_terminal, collapse_space)
+         strip_close_tags, strip_other_tags, strip_middle, strip_lists, cut_terminal, collapse_space)
+#: The chain with every step by itself.
+SINGLE_STEPS = STEPS[:6] + (strip_tables_templates, strip_orphan_rows, resolve_links, resolve_external,
+                            strip_headers, strip_emphasis, strip_switches, decode_entities) + STEPS[7:]
 
 
-def clean_wikitext_df(df, col: str, out: str = "clean", links: str = "code"):
+def clean_wikitext_df(df, col: str, out: str = "clean", links: str = "code", steps: tuple = STEPS):
     """P6 as a DataFrame transform: the same chain, each step written to a
     column so that steps which read their input several times (the UDF guards,
     line splitting) do not copy the whole preceding chain into the plan."""
     tmp = "_wk"
     d = df.withColumn(tmp, F.coalesce(F.col(col), F.lit("")))
-    for step in STEPS:
-        c = resolve_external(F.col(tmp), links) if step is resolve_external else step(F.col(tmp))
+    for step in steps:
+        c = step(F.col(tmp), links) if step in (strip_middle, resolve_external) else step(F.col(tmp))
         d = d.withColumn(tmp, c)
     return d.withColumnRenamed(tmp, out)

@@ -10,7 +10,8 @@ from ..functions import poem as PF
 from ..functions.text import WS
 from ..operators import incremental as I
 from ..operators import poem as PO
-from .catalog import register, sql_hash, sql_strip, table
+from ..sources import formats as S
+from .catalog import WS_SQL, register, sql_hash, sql_strip, table
 
 RE2_WS = f"[{WS}]"
 
@@ -74,6 +75,34 @@ def poem_segments(spark, sf_dir):
                       "content", "source", "author")
 
 
+@register("clean_poems", f"""
+SELECT doc_id, trim(lang || chr(10) || text, {WS_SQL}) AS content,
+       CASE WHEN source = 'src3' THEN '' ELSE 'Nguồn: ' || source || '  ' || chr(10) || lang END AS source,
+       '<' || lang || '> & ' || source AS title
+FROM documents WHERE doc_id % 7 <> 0 AND {sql_strip("lang || text")} <> ''""")
+def clean_poems(spark, sf_dir):
+    """Captions with the quick-comment phrase, titles with entities, and
+    every seventh poem blank once it is cleaned."""
+    d = table(spark, sf_dir, "documents")
+    body = F.concat(F.lit("<b>"), "lang", F.lit("</b><br/>"), "text")
+    df = d.select(
+        "doc_id", F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("<i>"), "source", F.lit("</i> &nbsp;<br>"))).otherwise(body).alias("content"),
+        F.when(F.col("source") != "src3", F.concat(F.lit("Nguồn: "), "source", F.lit("  BÌNH luận nhanh "), "lang", F.lit("\n"), "lang"))
+        .alias("source"),
+        F.concat(F.lit("  &lt;"), "lang", F.lit("&gt; &amp; "), "source", F.lit("\u00a0 ")).alias("title"))
+    return PO.clean_poems(df)
+
+
+@register("content_pages", """
+SELECT page_id, url FROM pages WHERE page_id % 3 = 0 AND NOT coalesce(nullif(page_id % 10, 4) IN (1, 6), false)""")
+def content_pages(spark, sf_dir):
+    """pages of the main namespace that are no redirects (unknown: none)."""
+    p = table(spark, sf_dir, "pages")
+    last = F.nullif(F.col("page_id") % 10, F.lit(4))
+    p = p.select("page_id", "url", (F.col("page_id") % 3).alias("ns"), last.isin(1, 6).alias("redirect"))
+    return S.content_pages(p).select("page_id", "url")
+
+
 # ---------------------------------------------------------------- stanzas
 def _stanza_content(d):
     """Re-flow each document into 5-word lines and 4-line stanzas separated by
@@ -240,8 +269,8 @@ WHERE regexp_extract(u.li, '{_re2(_LI)}', 1) <> ''""")
 def list_links(spark, sf_dir):
     """Each page's nav list re-marked as list items (header link + author link)."""
     p = table(spark, sf_dir, "pages")
-    listed = F.regexp_replace("html", _LI, '<div class="list-item"><h4 class="list-item-header">'
-                                           '<a href="$1">$2</a></h4> by <a href="/author-x">$2</a></div>')
+    listed = F.regexp_replace("html", _LI, '<div class="list-item"><div class="head"><h4 class="list-item-header">'
+                                           '<a href="$1">$2</a></h4></div><div>by <a href="/author-x">$2</a></div></div>')
     items = p.select("page_id", F.posexplode(PF.list_items(listed)).alias("item_idx", "it"))
     return items.select("page_id", F.col("item_idx").cast("int"), "it.title", "it.url", "it.author")
 

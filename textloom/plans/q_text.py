@@ -42,6 +42,30 @@ def clean_wikitext_injected(spark, sf_dir):
             .select("doc_id", "clean")
 
 
+# Markup that the steps above it never see: nested tables with orphan rows behind them,
+# both kinds of reference, opening, closing and other tags, single brackets, a switch,
+# entities, a definition, and a terminal section in other words.
+_MARKUP = [
+    "{| class=\"wikitable\"\n|-\n| a || {| nested\n|} b\n|}\n", "|- orphan row\n| orphan cell\n|+ caption\n",
+    "<span style=\"c\">", "@lang", "</span><ref name=\"x\" />: <REF group=\"n\">cite\nmore</REF><h2>Mục</h2>\n",
+    "[https://example.org nhãn ngoài] [en:Foo] [abc:Bar|nhãn]__NOTOC__\n", "; thuật ngữ : định nghĩa\n",
+    "&lt;b&gt;&nbsp;x &amp;copy;\n", "<blockquote>trích</blockquote>----\n", "# ", "@source", "''", "@text",
+    "''\n== Xem  thêm ==\n* gone",
+]
+
+
+@register("clean_wikitext_markup", f"""
+SELECT doc_id,
+       {sql_strip("lang || ' : Mục' || chr(10) || '//example.org nhãn ngoài nhãn' || chr(10) || 'thuật ngữ: định nghĩa' || chr(10) || "
+                  "'<b> x &copy;' || chr(10) || 'trích' || chr(10) || " + _clean_lines_sql("source || text"))} AS clean
+FROM documents""")
+def clean_wikitext_markup(spark, sf_dir):
+    """P6 over every kind of markup: W2, W4-W7, W9, W11, W14 and W15 change each row."""
+    d = table(spark, sf_dir, "documents")
+    raw = F.concat(*[F.coalesce(F.col(p[1:]), F.lit("")) if p.startswith("@") else F.lit(p) for p in _MARKUP])
+    return W.clean_wikitext_df(d.select("doc_id", raw.alias("raw")), "raw", "clean").select("doc_id", "clean")
+
+
 @register("wiki_url", """
 SELECT p_partkey, 'https://vi.wikipedia.org/wiki/' ||
        replace(replace(replace(replace(url_encode(replace(p_name, ' ', '_')), '%2F', '/'), '%3A', ':'),
