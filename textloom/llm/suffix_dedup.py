@@ -12,9 +12,13 @@ bytes per byte of text, so suffixes travel in runs:
 3. Those are range-partitioned by leading token (Spark samples the splitters).
    Each bucket sorts its suffixes by multikey quicksort on 8-byte words, three-way
    and vectorised, and equal neighbours are duplicates.
-4. A token with very many runs is cut across buckets: its suffixes, as 128-bit
-   keys with their position, are range-partitioned and sorted, neighbours are
-   compared, and the ends of adjacent buckets are compared with one another.
+4. A token with more kinds of runs than two buckets hold on average is cut across
+   buckets: its suffixes, as 126-bit keys with their position, are range-partitioned
+   and sorted, neighbours are compared, and the ends of adjacent buckets are compared
+   with one another.
+
+Whole runs are told apart within a token by a hash modulo two primes (structured texts
+that defeat a hash modulo a power of two do not defeat it), and so is half of the keys.
 """
 
 from __future__ import annotations
@@ -32,8 +36,9 @@ from .common import join_hot_split, slices, stage, text_or_empty
 TOKEN = 32
 #: Suffixes handled at a time; a longer document is cut into such pieces.
 PIECE = 1 << 17
-#: A leading token with more runs than this takes the bucket-crossing path.
-HOT_RUNS = 4096
+#: A leading token with more kinds of runs than this, and than twice the kinds per
+#: shuffle partition, takes the bucket-crossing path.
+HOT_RUNS = 512
 #: Bytes of runs sorted at a time in a bucket.
 SORT_BATCH = 4 << 20
 
@@ -71,6 +76,43 @@ class RollingHash:
         return _mix((self.sums[end] - self.sums[start]) * self.inverse[start])
 
 
+#: The two largest primes below 2**31, and a base for each.
+_PRIMES, _PRIME_BASES = (2147483647, 2147483629), (1000003, 1664525)
+
+
+def _prime_powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo a prime, at least ``n``; kept per worker."""
+    have = _TABLES.get(("prime", which))
+    if have is None or len(have[0]) < n:
+        p, tables = _PRIMES[which], []
+        for base in (_PRIME_BASES[which], pow(_PRIME_BASES[which], -1, _PRIMES[which])):
+            x = np.ones(1, dtype=_U)
+            while len(x) < max(n, PIECE + 4096):  # doubling: the powers so far times the next one
+                x = np.r_[x, x * _U(pow(base, len(x), p)) % _U(p)]
+            tables.append(x)
+        have = _TABLES["prime", which] = tuple(tables)
+    return have
+
+
+class PrimeHash:
+    """Hashes of any substring of ``data`` modulo two primes, as one number of 62 bits."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = []
+        for which, p in enumerate(_PRIMES):
+            power, _ = _prime_powers(which, len(data) + 1)
+            sums = np.zeros(len(data) + 1, dtype=_U)
+            np.cumsum((data.astype(_U) + _U(1)) * power[:len(data)] % _U(p), out=sums[1:])  # below 2**31 * length
+            self.sums.append(sums)
+
+    def at(self, start, end):
+        out = []
+        for which, (p, sums) in enumerate(zip(_PRIMES, self.sums, strict=True)):
+            _, inverse = _prime_powers(which, len(sums))
+            out.append((sums[end] - sums[start]) % _U(p) * inverse[start] % _U(p))
+        return out[0] << _U(31) | out[1]
+
+
 def sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     """``pick`` (minimum or maximum) over every ``width`` neighbours."""
     k = 1
@@ -95,7 +137,7 @@ def runs_of(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         again = leading[1:][leading[1:] == leading[:-1]]
         first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         count = np.diff(np.r_[first, len(least)])
-        content = RollingHash(part, 1).at(first, first + count - 1 + length)
+        content = PrimeHash(part).at(first, first + count - 1 + length)
         twice = np.isin(least[first], again) if len(again) else np.zeros(len(first), dtype=bool)
         yield at + first, count, least[first], content, twice
 
@@ -238,7 +280,7 @@ def _suffix_keys(length: int):
                 index.append(np.full(len(s), i))
                 at.append(first + s)
                 k1.append(RollingHash(part, 0).at(s, s + length))
-                k2.append(RollingHash(part, 1).at(s, s + length))
+                k2.append(PrimeHash(part).at(s, s + length))
             if index:
                 rows = pa.array(np.concatenate(index))
                 yield pa.RecordBatch.from_arrays(
@@ -300,7 +342,8 @@ def _hot_spans(segments: DataFrame, length: int, id_type) -> DataFrame:
 
 def repeated_spans(src: DataFrame, length: int, hot_runs: int = HOT_RUNS) -> DataFrame:
     """``src``: _id, _rk, bytes.  Spans (_id, _rk, s, e) that cover exactly the
-    bytes of suffixes that occur twice; spans may overlap."""
+    bytes of suffixes that occur twice; spans may overlap.  ``hot_runs``: see
+    ``HOT_RUNS``; 0 sends every token over the bucket-crossing path."""
     id_type = src.schema["_id"].dataType
     run_type = T.StructType([
         T.StructField("_id", id_type), T.StructField("_rk", T.LongType()), T.StructField("first", T.LongType()),
@@ -313,8 +356,12 @@ def repeated_spans(src: DataFrame, length: int, hot_runs: int = HOT_RUNS) -> Dat
     tokens = stage(kinds.groupBy("token").agg(F.sum("copies").alias("uses"), F.sum(
         F.when(F.col("copies") == 1, 1).otherwise(0)).alias("single"), F.count(F.lit(1)).alias("kinds"),
         F.max("twice").alias("twice")).filter("uses > 1 or twice").drop("twice"), "run-tokens")
+    parts = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # kinds of runs that are sorted: those of tokens with a run that does not repeat whole
+    sorted_kinds = tokens.filter("single > 0").agg(F.sum("kinds")).first()[0] or 0
+    limit = max(hot_runs, 2 * sorted_kinds // parts) if hot_runs else 0
     shared = stage(join_hot_split(kinds.drop("twice"), tokens, "token", "kinds", kinds.count())
-                   .select(*key, "copies", (F.col("kinds") > hot_runs).alias("hot")), "run-shared")
+                   .select(*key, "copies", (F.col("kinds") > limit).alias("hot")), "run-shared")
     state = stage(join_hot_split(runs.drop("twice"), shared, key, "copies", runs.count()), "run-state")
     whole = state.filter("copies > 1").select("_id", "_rk", F.col("first").alias("s"),
                                               (F.col("first") + F.col("n") - 1 + length).alias("e"))
@@ -334,7 +381,6 @@ def repeated_spans(src: DataFrame, length: int, hot_runs: int = HOT_RUNS) -> Dat
         T.StructField("bytes", T.BinaryType())])), "suffix-segments")
     span_type = T.StructType([T.StructField("_id", id_type), T.StructField("_rk", T.LongType()),
                               T.StructField("s", T.LongType()), T.StructField("e", T.LongType())])
-    parts = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = (segments.filter("not hot").drop("hot").repartitionByRange(parts, "token")
             .sortWithinPartitions("token").mapInArrow(_sort_bucket(length), span_type))
     return whole.unionByName(cold).unionByName(_hot_spans(segments, length, id_type))
