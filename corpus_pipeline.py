@@ -7,9 +7,12 @@ reread as the next one's ``docs``.  All but the last return the columns of
 
 1. quality rules: documents that the rules reject go;
 2. exact dedup: one document of each group of equal texts stays;
-3. SimHash near-dedup: the smallest id of each component stays;
-4. suffix-array dedup: bytes of passages of 400 bytes or more that occur twice are
-   cut out of the texts (``n_chars`` follows; a document may end up empty);
+3. SimHash near-dedup: the document of the smallest id of each component stays (null
+   ids last, equal ids by text hash);
+4. suffix-array dedup: bytes of passages of ``PASSAGE`` bytes or more that occur twice
+   are cut out of the texts (``n_chars`` follows; a document may end up empty).
+   Passages of more than 50 words are to go, and 51 words of four letters with their
+   spaces are 255 bytes;
 5. packing: every remaining document in sequences of 1,024 tokens.
 
 Null texts are rejected by the first stage.  Columns beyond ``doc_id`` and
@@ -31,6 +34,9 @@ from textloom.session import ship_package
 #: a brute-force version.
 ORACLE_SQL = None
 
+#: Bytes of a repeated passage that the suffix stage removes.
+PASSAGE = 256
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
@@ -49,7 +55,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    out = suffix_dedup.suffix_cut(docs, length=400)
+    out = suffix_dedup.suffix_cut(docs, length=PASSAGE)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)
                           ).select(*docs.columns) if "n_chars" in docs.columns else out
 
