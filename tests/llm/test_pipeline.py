@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as C
 from textloom.llm import quality
 
-LENGTH = 400
+LENGTH = C.PASSAGE
 
 
 def _docs(seed=4):
@@ -114,3 +114,48 @@ def test_repeated_rows_and_null_ids(spark):
         [(2, text + " "), (None, "x" + text), (None, None)], key=str)
     kept = C.quality_stage(spark, df, "").collect()
     assert len(kept) == 4 and all(r.text for r in kept)
+
+
+@pytest.mark.parametrize("size", [285, 300, 396])
+def test_passages_of_over_fifty_words_go(spark, size):
+    rnd = random.Random(size)
+    word = lambda n: "".join(rnd.choice("abcdefghilmnoprstu") for _ in range(n))
+    passage = " ".join(word(4) for _ in range(51))
+    while len(passage) < size:
+        passage += " " + word(3)
+    passage = passage[:size - 1].rstrip() + "."
+    prose = lambda: " ".join(word(rnd.randint(2, 9)) for _ in range(120))
+    rows = [(i, prose()) for i in range(12)]
+    held = [(100 + i, f"{prose()}\n{passage}\n{prose()}") for i in range(3)]
+    df = spark.createDataFrame(rows + held, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in C.suffix_stage(spark, df, "").collect()}
+    assert all(got[i] == t for i, t in rows)          # clean documents stay as they are
+    assert all(passage not in got[i] and len(t) - size - 4 <= len(got[i]) <= len(t) - len(passage) for i, t in held)
+
+
+def test_null_and_repeated_ids_in_the_later_stages(spark):
+    rnd = random.Random(8)
+    prose = lambda n=60: " ".join(f"w{rnd.randrange(5000)}" for _ in range(n))
+    a, b, c, d = (prose() for _ in range(4))
+    near = a.split(" ")
+    near[30] = "other"
+    rows = [(None, a), (None, b), (4, c), (4, d), (4, d), (9, " ".join(near)), (2, " ".join(near[:-1] + ["last"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    fp = [brute.simhash(t) for _, t in rows]
+    root = brute.classes(len(rows), lambda i, j: bin(fp[i] ^ fp[j]).count("1") <= 4)
+    kept = C.simhash_stage(spark, df, "").collect()
+    # one row per class, of the smallest id where there is one; a class of null ids keeps a row
+    classes = {}
+    for (i, t), r in zip(rows, root, strict=True):
+        classes.setdefault(r, []).append((i is None, i or 0, t))
+    assert len(kept) == len(classes)
+    for g in classes.values():
+        least = min(x[:2] for x in g)
+        assert any((r.doc_id is None, r.doc_id or 0) == least and (*least, r.text) in g for r in kept)
+    assert (None, b) in [tuple(r) for r in kept]
+    cut = C.suffix_stage(spark, df, "").collect()
+    assert len(cut) == len(rows) and sum(r.text == "" for r in cut if r.doc_id == 4) == 2  # rows that repeat go both
+    pieces = C.packing_stage(spark, df, "").collect()
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = sum(len(tok.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+    assert sum(r.length for r in pieces) == want and {r.doc_id for r in pieces} == {None, 2, 4, 9}

@@ -61,9 +61,10 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-@pytest.mark.parametrize("chunk", [8, 1 << 15])
-def test_dedup(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk,large", [(8, 1000), (8, 0), (1 << 15, 1000)])
+def test_dedup(spark, monkeypatch, chunk, large):
     monkeypatch.setattr(S, "CHUNK", chunk)
+    monkeypatch.setattr(S, "LARGE", large)
     rnd = random.Random(3)
     base = [[f"w{rnd.randrange(500)}" for _ in range(60)] for _ in range(6)]
     texts = [None, "", " ", "one two"]

@@ -75,3 +75,40 @@ def test_multikey_quicksort_finds_equal_suffixes():
     for s in starts.tolist():
         seen.setdefault(buf[s:s + 50].tobytes(), []).append(s)
     assert got == sorted(s for v in seen.values() if len(v) > 1 for s in v)
+
+
+def test_whole_operator_on_a_text_of_several_pieces(spark):
+    """A passage that lies across the border of two pieces, and one in another document."""
+    rnd = random.Random(9)
+    prose = lambda n: "".join(rnd.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = prose(300)
+    long = prose(S.PIECE - 150) + passage + prose(S.PIECE)
+    df = spark.createDataFrame([(1, long), (2, "x" + passage + "y"), (3, prose(500))], "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in S.suffix_dedup(df, length=LENGTH).collect()}
+    # a byte next to the passage may be equal in both by chance
+    (s, e), = got[1]
+    assert s <= S.PIECE - 150 and e >= S.PIECE + 150 and e - s <= 306
+    (s, e), = got[2]
+    assert s <= 1 and e >= 301 and got[3] == []
+
+
+def test_structured_texts_do_not_collide():
+    """Two halves of a Thue-Morse text are equal modulo 2**64, not modulo the primes."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    data = np.array([[97 + b for b in bits], [98 - b for b in bits]], dtype=np.uint8)
+    plain, prime = ([h(d).at(np.array([0]), np.array([2048]))[0] for d in data] for h in (
+        lambda d: S.RollingHash(d, 1), S.PrimeHash))
+    assert plain[0] == plain[1] and prime[0] != prime[1]
+
+
+def test_prime_hash_of_equal_substrings():
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 256, 4000).astype(np.uint8)
+    data[3000:3500] = data[10:510]
+    h = S.PrimeHash(data)
+    at = np.array([10, 11, 60, 10])
+    assert (h.at(at, at + 100) == h.at(at + 2990, at + 3090)).all()
+    assert h.at(np.array([10]), np.array([110]))[0] != h.at(np.array([11]), np.array([111]))[0]
+    value = lambda a, b, p, base: sum((int(x) + 1) * pow(base, i, p) for i, x in enumerate(data[a:b])) % p
+    got = int(h.at(np.array([7]), np.array([57]))[0])
+    assert (got >> 31, got & (1 << 31) - 1) == tuple(value(7, 57, p, b) for p, b in zip(S._PRIMES, S._PRIME_BASES, strict=True))

@@ -75,15 +75,18 @@ def same_row(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
 
 
 def join_hot_split(rows: DataFrame, table: DataFrame, key: str | list[str], weight: str,
-                   total: int, parts: int = 1000) -> DataFrame:
+                   total: int, parts: int | None = None) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key, ``weight`` = rows
     of that key) where a key may hold a large share of all rows.
 
-    Keys with over ``total / parts`` rows are fewer than ``parts``, so their
-    table rows are broadcast (bounded by construction) and their rows are not
-    shuffled; all other keys take an ordinary shuffle join.  Both inputs should
-    be staged, because each is read twice.
+    Keys with over ``total / parts`` rows are fewer than ``parts`` (by default four times
+    the shuffle partitions, 1,000 at least), so their table rows are broadcast (bounded by
+    construction) and their rows are not shuffled; all other keys, each at most a quarter
+    of a partition's share, take an ordinary shuffle join.  Both inputs should be staged,
+    because each is read twice.
     """
+    if parts is None:
+        parts = max(1000, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     limit, key = total / parts, [key] if isinstance(key, str) else key
     hot = table.filter(F.col(weight) > limit)
     cold = table.filter(F.col(weight) <= limit)

@@ -30,6 +30,8 @@ ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: A key with more fingerprints is cut into chunks of this many, compared pairwise
 #: in tasks of their own.
 CHUNK = 32768
+#: Up to so many cut keys are broadcast (24 bytes each); beyond, they are joined in shares.
+LARGE, SHARES = 100_000, 64
 #: Rows gathered before a comparison.
 BATCH = 1 << 18
 
@@ -53,15 +55,18 @@ def fingerprint(text: str, words_per_shingle: int = 4) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str, words_per_shingle: int) -> DataFrame:
-    """(_id, fp): the fingerprint as a signed long."""
+    """(_id, _rk: text hash, fp: the fingerprint as a signed long)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = np.array([fingerprint(t, words_per_shingle) for t in b.column("t").to_pylist()],
                           dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(fp.view(np.int64))], ["_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_rk"), pa.array(fp.view(np.int64))],
+                                             ["_id", "_rk", "fp"])
 
-    schema = T.StructType([T.StructField("_id", df.schema[id_col].dataType), T.StructField("fp", T.LongType())])
-    return df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("t")).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("_id", df.schema[id_col].dataType), T.StructField("_rk", T.LongType()),
+                           T.StructField("fp", T.LongType())])
+    text = text_or_empty(text_col)
+    return df.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_rk"), text.alias("t")).mapInArrow(run, schema)
 
 
 def key_masks(radius: int, blocks: int) -> list[int]:
@@ -206,7 +211,13 @@ def fingerprint_links(fps: DataFrame, radius: int, blocks: int) -> DataFrame:
     # keys with very many fingerprints: c chunks, every pair of chunks its own task
     large = stage(cand.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK)
                   .select("t", "key", F.ceil(F.col("n") / CHUNK).cast("int").alias("c")), "large-keys")
-    cand = cand.join(large, ["t", "key"], "left").withColumn("c", F.coalesce("c", F.lit(1)))
+    if large.count() <= LARGE:
+        cand = cand.join(F.broadcast(large), ["t", "key"], "left")
+    else:  # every key in as many shares as a chunk's rows are cut into
+        share = F.pmod(F.xxhash64("fp", "t"), F.lit(SHARES)).cast("int")
+        spread = large.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+        cand = cand.withColumn("_share", share).join(spread, ["t", "key", "_share"], "left").drop("_share")
+    cand = cand.withColumn("c", F.coalesce("c", F.lit(1)))
     chunk = F.pmod(F.xxhash64("fp"), F.col("c")).cast("int")
     subs = F.transform(F.sequence(F.lit(0), F.col("c") - 1),
                        lambda j: F.least(chunk, j) * F.col("c") + F.greatest(chunk, j))
@@ -219,6 +230,20 @@ def fp_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def _reachable(df: DataFrame, id_col: str, text_col: str, words_per_shingle: int, radius: int, blocks: int) -> DataFrame:
+    """(_id, _rk: text hash, fp, root: smallest fingerprint reachable, component_id)."""
+    rows = stage(fingerprints(df, id_col, text_col, words_per_shingle), "fingerprints")
+    nodes = stage(rows.groupBy("fp").agg(F.min("_id").alias("least"), F.count(F.lit(1)).alias("n")), "fp-nodes")
+    comp = components(fingerprint_links(nodes.select("fp"), radius, blocks))
+    nodes = nodes.join(comp, nodes["fp"] == comp["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    nodes = stage(nodes.select("fp", "least", "n", "root"), "fp-roots")
+    roots = stage(nodes.groupBy("root").agg(F.min("least").alias("component_id"),
+                                            F.count(F.lit(1)).alias("fps")), "fp-components")
+    named = stage(join_hot_split(nodes, roots, "root", "fps", nodes.count())
+                  .select("fp", "n", "root", "component_id"), "fp-named")
+    return join_hot_split(rows, named, "fp", "n", rows.count())
+
+
 def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   words_per_shingle: int = 4, radius: int = 4, blocks: int = 6) -> DataFrame:
     """One row per input row: id, ``fingerprint`` (16 hex digits), ``component_id``
@@ -231,23 +256,23 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     share fingerprint and component.  An empty table gives an empty result; other
     columns are not read.
     """
-    rows = stage(fingerprints(df, id_col, text_col, words_per_shingle), "fingerprints")
-    nodes = stage(rows.groupBy("fp").agg(F.min("_id").alias("least"), F.count(F.lit(1)).alias("n")), "fp-nodes")
-    comp = components(fingerprint_links(nodes.select("fp"), radius, blocks))
-    nodes = nodes.join(comp, nodes["fp"] == comp["node"], "left").withColumn("root", F.coalesce("root", "fp"))
-    nodes = stage(nodes.select("fp", "least", "n", "root"), "fp-roots")
-    roots = stage(nodes.groupBy("root").agg(F.min("least").alias("component_id"),
-                                            F.count(F.lit(1)).alias("fps")), "fp-components")
-    named = stage(join_hot_split(nodes, roots, "root", "fps", nodes.count())
-                  .select("fp", "n", "component_id"), "fp-named")
-    return join_hot_split(rows, named, "fp", "n", rows.count()).select(
+    return _reachable(df, id_col, text_col, words_per_shingle, radius, blocks).select(
         F.col("_id").alias(id_col), fp_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def simhash_distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     words_per_shingle: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of its component, with all
-    their columns (a component without any id loses its rows)."""
-    keep = (simhash_dedup(df, id_col, text_col, words_per_shingle, radius)
-            .filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct())
-    return df.join(keep, df[id_col] == keep["_keep"], "left_semi")
+                     words_per_shingle: int = 4, radius: int = 4, blocks: int = 6) -> DataFrame:
+    """One row of ``df`` per component, with all its columns: the one of the smallest
+    id (null ids last; of equal ids that of the smallest text hash).  A row that repeats
+    the survivor's id and text goes too."""
+    rows = _reachable(df, id_col, text_col, words_per_shingle, radius, blocks)
+    # partially aggregated: a component of very many rows is one row per task here
+    same = rows.groupBy("_id", "_rk").agg(F.min("root").alias("root"), F.count(F.lit(1)).alias("n"))
+    best = stage(same.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_rk", "n")).alias("b"))
+                 .select(F.col("b._id").alias("_keep"), F.col("b._rk").alias("_keep_rk"), F.col("b.n").alias("_keep_n")),
+                 "survivors")
+    rk = F.xxhash64(text_or_empty(text_col))
+    kept = df.join(best, df[id_col].eqNullSafe(best["_keep"]) & (rk == best["_keep_rk"]), "left_semi")
+    if best.filter("_keep_n > 1").isEmpty():
+        return kept
+    return kept.withColumn("_keep_rk", rk).dropDuplicates([id_col, "_keep_rk"]).drop("_keep_rk")
