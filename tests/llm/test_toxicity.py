@@ -83,3 +83,58 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
                               "doc_id long, toxic int")
     one, two = ({r.doc_id: r.score for r in X.toxicity(docs, x, cfg=SMALL).collect()} for x in (a, b))
     assert one == pytest.approx(two)
+
+
+def _plain_score(model, text):
+    """Windows, both recurrences and attention, one step and one number at a time."""
+    words = X.words_of(text)
+    if not words:
+        return 0.0
+    p, k, cfg = {n: v.astype(np.float64) for n, v in model.p.items()}, model.cfg.hidden, model.cfg
+
+    def vector(w):
+        grams, _ = X.char_ngrams([w], cfg.ngrams)
+        return p["word"][model.vocabulary.get(X.bare(w), 0)] + sum(p["char"][g] for g in grams) / len(grams)
+
+    def states(vs, side):
+        h, out = np.zeros(k), []
+        for v in vs:
+            g, hu = v @ p["w" + side] + p["g" + side], h @ p["u" + side]
+            z = 1 / (1 + np.exp(-(g[:k] + hu[:k])))
+            r = 1 / (1 + np.exp(-(g[k:2 * k] + hu[k:2 * k])))
+            h = (1 - z) * np.tanh(g[2 * k:] + r * hu[2 * k:]) + z * h
+            out.append(h)
+        return out
+
+    best = -np.inf
+    for at in range(0, max(1, len(words) - cfg.window + cfg.stride), cfg.stride):
+        at = min(at, max(0, len(words) - cfg.window))
+        vs = [vector(w) for w in words[at:at + cfg.window]]
+        both = [np.concatenate(x) for x in zip(states(vs, "f"), states(vs[::-1], "b")[::-1], strict=True)]
+        weight = np.exp([h @ p["att"] for h in both])
+        best = max(best, sum(a * (h @ p["out"]) for a, h in zip(weight / weight.sum(), both, strict=True)) + p["bias"][0])
+    return 1 / (1 + np.exp(-best))
+
+
+def test_score_equals_the_plain_network():
+    data = _texts(120, 4)
+    model = X.train([t for t, _ in data], [y for _, y in data], X.Config(ngrams=1 << 10, min_texts=2, steps=20, passes=2))
+    texts = [t for t, _ in data[:25]] + ["", "one", "naïve İ ßcum bag!", " ".join(t for t, _ in data[:6])]
+    got = X.score_texts(model, texts)
+    assert np.allclose(got, [_plain_score(model, t) for t in texts], atol=2e-5)
+
+
+def test_default_settings_learn_from_few_labels():
+    data = _texts(300, 5)
+    model = X.train([t for t, _ in data], [y for _, y in data])
+    test = _texts(300, 6)
+    score = X.score_texts(model, [t for t, _ in test])
+    y = np.array([y for _, y in test])
+    assert (score[y == 1] >= 0.3).mean() >= 0.8 and (score[y == 0] >= 0.3).mean() <= 0.05
+
+
+def test_one_row_in_five_does_not_train():
+    y = np.array([0.0] * 20 + [1.0] * 5)
+    held = X._validation(y, 5)
+    assert held[:20].sum() == 4 and held[20:].sum() == 1
+    assert not X._validation(np.array([0.0] * 20 + [1.0] * 4), 5).any()

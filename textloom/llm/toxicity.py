@@ -8,7 +8,9 @@ text's score is that of its worst window.  Training knows only the labels of
 texts: in each pass the worst window of every text is found and learned from.
 
 Training runs on a bounded sample (``Config.ones`` and ``Config.zeros`` rows) of
-the labelled rows.  Scoring runs in the tasks, over every window of every text.
+the labelled rows; whole texts of these rows are on the driver.  A part of the sample
+does not train: its loss tells when to stop and which parameters to keep, and its rows
+set the bias.  Scoring runs in the tasks, over every window of every text.
 """
 
 from __future__ import annotations
@@ -37,7 +39,11 @@ class Config:
     vocabulary: int = 20000
     min_texts: int = 5      #: texts that a vocabulary word is found in, at least
     ngrams: int = 1 << 16   #: hashed character n-grams
-    passes: int = 4
+    passes: int = 4         #: over the sample, at least
+    steps: int = 300        #: batches, at least (a small sample is passed more often)
+    patience: int = 3       #: passes without a better validation loss before the end
+    most: int = 1500        #: batches, at most
+    validate: int = 5       #: one row in so many does not train (none in samples of fewer than so many of a class)
     batch: int = 64
     rate: float = 0.01
     seed: int = 7
@@ -311,15 +317,25 @@ def train(texts: list[str], y: list[int], cfg: Config = Config()) -> Model:
     idx = idx.astype(np.int32)
     ends = np.r_[first[1:], len(idx)]
     target = np.array(labels, dtype=np.float32)
+    trains = ~_validation(target, cfg.validate)
     rng = np.random.default_rng(cfg.seed)
-    mean, var, step = {n: 0.0 for n in m.p}, {n: 0.0 for n in m.p}, 0
-    for _ in range(cfg.passes):
+    mean, var, step, passes = {n: 0.0 for n in m.p}, {n: 0.0 for n in m.p}, 0, 0
+    best, kept, kept_logits, since = np.inf, None, None, 0
+    while True:
         table = m.gates(m.vectors(f)).astype(np.float32)
         logits = np.concatenate([m.window_logits(table, idx[i:i + 4096]) for i in range(0, len(idx), 4096)])
         worst = np.array([s + int(np.argmax(logits[s:e])) for s, e in zip(first, ends, strict=True)])
+        judged = ~trains if not trains.all() else trains
+        loss = _cross_entropy(logits[worst][judged], target[judged])
+        since += 1
+        if loss < best:
+            best, kept, kept_logits, since = loss, {n: x.copy() for n, x in m.p.items()}, logits[worst][judged], 0
+        if step >= cfg.most or passes >= cfg.passes and step >= cfg.steps and since >= cfg.patience:
+            break
         other = rng.integers(first, ends)  # a second window of each text that has label 0
-        pick = np.r_[worst, other[target == 0]]
-        want = np.r_[target, target[target == 0]]
+        clean = trains & (target == 0)
+        pick = np.r_[worst[trains], other[clean]]
+        want = np.r_[target[trains], target[clean]]
         order = rng.permutation(len(pick))
         for at in range(0, len(order), cfg.batch):
             b = order[at:at + cfg.batch]
@@ -328,9 +344,35 @@ def train(texts: list[str], y: list[int], cfg: Config = Config()) -> Model:
                 mean[n] = .9 * mean[n] + .1 * g
                 var[n] = .999 * var[n] + .001 * g * g
                 m.p[n] -= (cfg.rate * (mean[n] / (1 - .9 ** step)) / (np.sqrt(var[n] / (1 - .999 ** step)) + 1e-8)).astype(np.float32)
+        passes += 1
+    m.p = kept
+    m.p["bias"] += np.float32(_bias_shift(kept_logits, target[judged]))
     return m
 
 
+def _validation(target: np.ndarray, parts: int) -> np.ndarray:
+    """Every ``parts``-th row of each class, unless a class has fewer rows than that."""
+    out = np.zeros(len(target), dtype=bool)
+    for y in (0, 1):
+        rows = np.flatnonzero(target == y)
+        if len(rows) < parts:
+            return np.zeros(len(target), dtype=bool)
+        out[rows[parts - 1::parts]] = True
+    return out
+
+
+def _cross_entropy(logits: np.ndarray, y: np.ndarray) -> float:
+    x = logits.astype(np.float64)
+    return float(np.mean(np.logaddexp(0, x) - x * y))
+
+
+def _bias_shift(logits: np.ndarray, y: np.ndarray) -> float:
+    """The shift of all logits under which the rows are likeliest, a little held back."""
+    shifts = np.arange(-4, 4.01, 0.05)
+    cost = [_cross_entropy(logits + s, y) + 0.05 * s * s / np.sqrt(len(y)) for s in shifts]
+    return float(shifts[int(np.argmin(cost))])
+
+
 class WordTable:
     """Gate rows of the words a worker has met, of bounded size."""
 
@@ -409,12 +451,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     empty table gives an empty result; other columns are not read.
     """
     data = training_sample(docs, labels, ~held_out("_id"), id_col, text_col, label_col, cfg.ones, cfg.zeros)
-    model = train([t for t, _ in data], [y for _, y in data], cfg)
+    # of a size that Config bounds: vocabulary, n-gram buckets and dimensions
+    model = docs.sparkSession.sparkContext.broadcast(train([t for t, _ in data], [y for _, y in data], cfg))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays(
-                [b.column("_id"), pa.array(score_texts(model, b.column("t").to_pylist()))], ["_id", "score"])
+                [b.column("_id"), pa.array(score_texts(model.value, b.column("t").to_pylist()))], ["_id", "score"])
 
     schema = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
     out = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("t")).mapInArrow(run, schema)
