@@ -52,6 +52,27 @@ def _capacity(sizes, shards):
     return lo
 
 
+@pytest.mark.parametrize("heavy", [[1 / 3], [0.3, 0.2]])
+def test_sharding_around_large_groups(spark, heavy):
+    """Texts with a third, or half, of all bytes: no shard is empty, and what lies between
+    them is cut evenly."""
+    rnd = random.Random(3)
+    small = [f"{i} " + "x" * rnd.randint(20, 60) for i in range(400)]
+    bytes_ = sum(map(len, small))
+    large = [f"large {i} " + "y" * int(bytes_ * h / (1 - sum(heavy))) for i, h in enumerate(heavy)]
+    df = spark.createDataFrame(list(enumerate(small + large)), "doc_id long, text string").repartition(5)
+    sizes = {}
+    for r in S.assign_shards(df, shards=8).collect():
+        sizes.setdefault(r.shard, []).append(r["size"])
+    assert sorted(sizes) == list(range(8))
+    alone = [s for s in sizes.values() if max(s) > 1000]
+    assert len(alone) == len(heavy) and all(len(s) == 1 for s in alone)
+    total = [sum(s) for s in sizes.values() if max(s) < 1000]
+    # the number of shards between two large groups is whole, so shares differ a little
+    even = sum(total) / len(total)
+    assert max(total) <= 1.5 * even and (len(heavy) > 1 or min(total) >= 0.7 * even)
+
+
 @pytest.mark.parametrize("shards", [1, 3, 8])
 def test_sharding(docs, shards):
     got = S.assign_shards(docs, shards=shards, slot_buckets=7).collect()

@@ -84,6 +84,47 @@ def minimax_cuts(cum: DataFrame, shards: int) -> tuple[int, list[int]]:
     return hi, best
 
 
+def _heavy(cum: DataFrame, shards: int, total: int) -> list[tuple[int, int]]:
+    """(begin, end) as running sizes of the groups larger than an even share of what the
+    others leave: fewer than ``shards``."""
+    heavy: list[tuple[int, int]] = []
+    while True:
+        rest, free = total - sum(e - b for b, e in heavy), shards - len(heavy)
+        found = [(r["cum"] - r["size"], r["cum"]) for r in
+                 cum.filter(F.col("size") * free > rest).orderBy("cum").select("cum", "size").collect()]
+        if len(found) == len(heavy):
+            return heavy
+        heavy = found
+
+
+def even_cuts(cum: DataFrame, shards: int, total: int, capacity: int) -> list[int] | None:
+    """Cuts where some groups are larger than an even share: such a group is a shard of
+    its own, and the groups between are cut evenly into the other shards.  None if there
+    is no such group, or if no such cuts stay within the capacity."""
+    heavy = _heavy(cum, shards, total)
+    if not heavy:
+        return None
+    marks = [0, *[x for h in heavy for x in h], total]
+    between = [(b, e) for b, e in zip(marks[::2], marks[1::2], strict=True) if e > b]
+    free = shards - len(heavy)
+    if len(between) > free:
+        return None
+    share = [1] * len(between)
+    for _ in range(free - len(between) if between else 0):  # one more to the one with the largest shards
+        share[max(range(len(between)), key=lambda i: (between[i][1] - between[i][0]) / share[i])] += 1
+    ideal = [b + (e - b) * i // n for (b, e), n in zip(between, share, strict=True) for i in range(1, n)]
+    nearest = []
+    if ideal:  # the group borders at or below and above each point: two numbers each
+        row = cum.agg(*[f(F.when(c, F.col("cum"))).alias(f"{k}{i}") for i, x in enumerate(ideal) for k, f, c in (
+            ("lo", F.max, F.col("cum") <= x), ("hi", F.min, F.col("cum") > x))]).first()
+        for i, x in enumerate(ideal):
+            lo, hi = row[f"lo{i}"] or 0, row[f"hi{i}"]
+            nearest.append(lo if x - lo <= hi - x else hi)
+    cuts = sorted({*nearest, *[e for _, e in between], *[x for h in heavy for x in h]} - {0})
+    sizes = [e - b for b, e in zip([0, *cuts], cuts, strict=False)]
+    return cuts if len(cuts) == shards and max(sizes) <= capacity else None
+
+
 def assign_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shards: int = 8, slot_buckets: int = 256) -> DataFrame:
     """One row per input row: id, ``size`` (UTF-8 bytes + 1), ``text_crc32``,
@@ -92,7 +133,8 @@ def assign_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Equal texts share a shard; null equals empty (size 1).  Slots follow a hash
     of the id, then id and checksum, inside hash buckets, so a large group of
     copies is numbered by many tasks; repeated rows get slots of their own.
-    A single group larger than total/shards bounds the capacity from below.
+    A group larger than an even share bounds the capacity from below; it is a shard of its
+    own then, and the others are cut evenly (where that stays within the capacity).
     An empty table gives an empty result; other columns are not read.
     """
     text = text_or_empty(text_col)
@@ -103,7 +145,9 @@ def assign_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = scratch(df.sparkSession, "shard-cum")
     running_sizes(groups).sortWithinPartitions("cum").write.parquet(path)
     cum = df.sparkSession.read.parquet(path)
-    _, cuts = minimax_cuts(cum, shards)
+    capacity, cuts = minimax_cuts(cum, shards)
+    if cuts:
+        cuts = even_cuts(cum, shards, cuts[-1], capacity) or cuts
     last = ([r[0] for r in cum.filter(F.col("cum").isin(cuts)).orderBy("cum").select("digest").collect()]
             if cuts else [])  # at most one digest per shard
     shard = F.lit(0)
