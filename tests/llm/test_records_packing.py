@@ -123,3 +123,40 @@ def test_examples_stay_whole_under_three_limits(spark):
 
 def test_padding_rule():
     assert [P.padded_length(n) for n in (1, 3, 512, 513, 1024)] == [1, 1024, 512, 1024, 1024]
+
+
+def test_long_reads_give_every_record(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 7)) for i in range(60)] + [(None, "none")], "doc_id long, text string")
+    R.write_records(docs, str(tmp_path), PATH, end_id=0, files=2)
+    parts = [(m.file, m.dtype) for m in R.read_manifest(spark, str(tmp_path)).collect()]
+    one = [[(k, s, i.tolist()) for k, s, i in R.read_file(f"{tmp_path}/data", *p)] for p in parts]
+    for block in (1, 64, 300):  # a record per read, and several
+        monkeypatch.setattr(R, "BLOCK", block)
+        assert one == [[(k, s, i.tolist()) for k, s, i in R.read_file(f"{tmp_path}/data", *p)] for p in parts]
+    shuffled = [sorted([(k, s, i.tolist()) for k, s, i in R.read_file(f"{tmp_path}/data", *p, 3)], key=lambda r: r[1]) for p in parts]
+    assert shuffled == one and sum(map(len, one)) == 61
+
+
+def test_instruction_query_keeps_its_limits(spark):
+    from textloom.llm.queries import INSTRUCTIONS, QUERIES
+    rows = QUERIES["pack_instructions"](spark, "/root/testdata/sf0.001").collect()
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect()
+    tok = Tokenizer.from_file(PATH)
+    want = {}
+    for t in turns:
+        n = len(tok.encode(t.text or "", add_special_tokens=False).ids) + 1
+        a, b = want.get(t.conv_id, (0, 0))
+        want[t.conv_id] = (a + n, b + n * (t.role == "assistant"))
+    assert {r.conv_id: (r.tokens, r.loss) for r in rows} == want and len(rows) == len(want)
+    seqs = {}
+    for r in rows:
+        seqs.setdefault(r.sequence_id, []).append(r)
+    for s in seqs.values():
+        s.sort(key=lambda r: r.offset)
+        assert [r.offset for r in s] == [sum(x.tokens for x in s[:i]) for i in range(len(s))]
+        if len(s) > 1:
+            assert (sum(r.tokens for r in s) <= INSTRUCTIONS.tokens and len(s) <= INSTRUCTIONS.segments
+                    and sum(r.loss for r in s) <= INSTRUCTIONS.loss)
+    # two sequences that would fit into one: at most the last of each group
+    assert len(seqs) <= 1.3 * max(sum(r.tokens for r in rows) / INSTRUCTIONS.tokens, len(rows) / INSTRUCTIONS.segments,
+                                  sum(r.loss for r in rows) / INSTRUCTIONS.loss) + 1

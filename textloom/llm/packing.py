@@ -182,6 +182,29 @@ def pack_pieces(pieces: DataFrame, groups: int, limits: Limits, cut: bool = Fals
             .repartition("_g").sortWithinPartitions(*order).mapInArrow(_packer(limits, cut), out))
 
 
+def conversation_demands(turns: DataFrame, tokenizer: str, conv_col: str = "conv_id", role_col: str = "role",
+                         text_col: str = "text", learned: str = "assistant") -> DataFrame:
+    """One row per conversation: ``tokens`` of its turns, an end id behind each, and
+    ``loss``: those of the turns whose role is ``learned``.  Null texts are empty; turns
+    without a conversation belong to none."""
+    id_t = turns.schema[conv_col].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = library_encoder(tokenizer)
+        for b in slices(batches, 1024):
+            n = [len(ids) + 1 for ids in enc.batch(b.column("t").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("learned"), pa.array(n, pa.int64())],
+                                             ["_id", "learned", "n"])
+
+    sizes = (turns.filter(F.col(conv_col).isNotNull())
+             .select(F.col(conv_col).alias("_id"), F.coalesce(F.col(role_col) == learned, F.lit(False)).alias("learned"),
+                     text_or_empty(text_col).alias("t"))
+             .mapInArrow(run, T.StructType([T.StructField("_id", id_t), T.StructField("learned", T.BooleanType()),
+                                            T.StructField("n", T.LongType())])))
+    return sizes.groupBy(F.col("_id").alias(conv_col)).agg(
+        F.sum("n").alias("tokens"), F.coalesce(F.sum(F.when(F.col("learned"), F.col("n"))), F.lit(0)).cast("long").alias("loss"))
+
+
 def pack_examples(df: DataFrame, id_col: str, tokens_col: str, loss_col: str, limits: Limits = Limits()) -> DataFrame:
     """Instruction data: whole examples under all three limits.  One row per
     example: id, ``sequence_id``, ``offset``.  Null counts are 0; an example over a

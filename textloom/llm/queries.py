@@ -19,9 +19,12 @@ from . import (  # noqa: F401  (queries_more registers its queries)
     suffix_dedup,
     toxicity,
 )
-from .common import scratch
+from .common import scratch, stage
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
+#: Limits of a sequence of instruction data.
+INSTRUCTIONS = packing.Limits(tokens=4096, segments=8, loss=2048)
+
 _WS_SQL = "[\\x20\\x09-\\x0D]"
 
 
@@ -155,6 +158,17 @@ def op10_packing(spark, sf_dir):
                     "sequence_id", "offset")
 
 
+@register("pack_instructions")
+def pack_instructions(spark, sf_dir):
+    """The packing operator on instruction data: whole conversations under limits on
+    tokens, segments and loss-bearing tokens (those of the assistant), a conversation
+    over a limit alone."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    d = stage(packing.conversation_demands(turns, _tokenizer()), "demands")  # read three times
+    placed = packing.pack_examples(d, "conv_id", "tokens", "loss", INSTRUCTIONS)
+    return placed.join(d, "conv_id").select("conv_id", "tokens", "loss", "sequence_id", "offset")
+
+
 @register("op4_toxicity")
 def op4_toxicity(spark, sf_dir):
     """Toxicity score of every whole text; labels of held-out ids are not used."""

@@ -131,24 +131,41 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
             .withColumn("before", F.coalesce(F.sum("tokens").over(w), F.lit(0)).cast("long")))
 
 
+#: Bytes read at a time in file order.
+BLOCK = 8 << 20
+
+
 def read_file(folder: str, name: str, dtype: str, shuffle_seed: int | None = None) -> Iterator[tuple]:
     """(id, tokens before it in the file, ids) of each record of a file, through
-    its index: in file order, or in a seeded random order.  Every checksum is
-    checked."""
+    its index: in file order, by long reads, or in a seeded random order, by a read per
+    record.  Every checksum is checked."""
     fs, path = open_fs(folder)
     with fs.open_input_file(f"{path}/{name}.idx") as f:
         index = np.frombuffer(f.read(), dtype=[("id", "<i8"), ("at", "<u8"), ("n", "<u4")])
     start = np.cumsum(index["n"], dtype=np.int64) - index["n"]
-    order = list(range(len(index)))
-    if shuffle_seed is not None:
-        random.Random(f"{shuffle_seed}:{name.rsplit('-', 1)[0]}").shuffle(order)
-    width = np.dtype(dtype).itemsize
+    size = OVERHEAD + _HEAD.size + index["n"].astype(np.int64) * np.dtype(dtype).itemsize
+    at = index["at"].astype(np.int64)
+
+    def record(i: int, data) -> tuple:
+        body, _ = unframe(data)
+        has, key = _HEAD.unpack_from(body)
+        return key if has else None, int(start[i]), np.frombuffer(body, dtype=dtype, offset=_HEAD.size)
+
     with fs.open_input_file(f"{path}/{name}.rec") as f:
-        for i in order:
-            size = OVERHEAD + _HEAD.size + int(index["n"][i]) * width
-            data, _ = unframe(f.read_at(size, int(index["at"][i])))
-            has, key = _HEAD.unpack_from(data)
-            yield key if has else None, int(start[i]), np.frombuffer(data, dtype=dtype, offset=_HEAD.size)
+        if shuffle_seed is not None:
+            order = list(range(len(index)))
+            random.Random(f"{shuffle_seed}:{name.rsplit('-', 1)[0]}").shuffle(order)
+            for i in order:
+                yield record(i, f.read_at(int(size[i]), int(at[i])))
+            return
+        first = 0
+        while first < len(index):  # whole records that a block holds, one at least
+            end = max(first + 1, int(np.searchsorted(at + size, at[first] + BLOCK, side="right")))
+            data = memoryview(f.read_at(int(at[end - 1] + size[end - 1] - at[first]), int(at[first])))
+            for i in range(first, end):
+                begin = int(at[i] - at[first])
+                yield record(i, data[begin:begin + int(size[i])])
+            first = end
 
 
 def read_records(spark: SparkSession, folder: str, shuffle_seed: int | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import join_hot_split, slices, stage, text_or_empty
+from .common import Scratch, join_hot_split, slices, text_or_empty
 
 TOKEN = 32
 #: Suffixes handled at a time; a longer document is cut into such pieces.
@@ -317,7 +317,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from mark(held, before, None, first, True)
 
 
-def _hot_spans(segments: DataFrame, length: int, id_type) -> DataFrame:
+def _hot_spans(run: Scratch, segments: DataFrame, length: int, id_type) -> DataFrame:
     keys = segments.filter("hot").select("_id", "_rk", "first", "bytes").mapInArrow(
         _suffix_keys(length), T.StructType([
             T.StructField("_id", id_type), T.StructField("_rk", T.LongType()), T.StructField("at", T.LongType()),
@@ -327,7 +327,7 @@ def _hot_spans(segments: DataFrame, length: int, id_type) -> DataFrame:
     marked = (keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .mapInArrow(_neighbours, T.StructType([*keys.schema.fields, T.StructField("dup", T.BooleanType()),
                                                      T.StructField("side", T.IntegerType())])))
-    marked = stage(marked.withColumn("part", F.spark_partition_id()), "hot-suffixes")
+    marked = run.stage(marked.withColumn("part", F.spark_partition_id()))
     # two rows per bucket, in sorted order: the whole comparison across boundaries
     edge = marked.filter("side > 0").withColumn("end", F.explode(F.expr(
         "filter(array(0, 1), x -> (side & (1 + x)) > 0)")))  # side: 1 first, 2 last, 3 both
@@ -349,20 +349,21 @@ def repeated_spans(src: DataFrame, length: int, hot_runs: int = HOT_RUNS) -> Dat
         T.StructField("_id", id_type), T.StructField("_rk", T.LongType()), T.StructField("first", T.LongType()),
         T.StructField("n", T.IntegerType()), T.StructField("token", T.LongType()), T.StructField("content", T.LongType()),
         T.StructField("twice", T.BooleanType())])
-    runs = stage(src.mapInArrow(_runs(length), run_type), "suffix-runs")
+    run = Scratch(src.sparkSession, "suffix")
+    runs = run.stage(src.mapInArrow(_runs(length), run_type))
     key = ["token", "content", "n"]
-    kinds = stage(runs.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("copies"), F.max("twice").alias("twice")), "run-kinds")
-    tokens = stage(kinds.groupBy("token").agg(F.sum("copies").alias("uses"), F.sum(
+    kinds = run.stage(runs.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.max("twice").alias("twice")))
+    tokens = run.stage(kinds.groupBy("token").agg(F.sum("copies").alias("uses"), F.sum(
         F.when(F.col("copies") == 1, 1).otherwise(0)).alias("single"), F.count(F.lit(1)).alias("kinds"),
-        F.max("twice").alias("twice")).filter("uses > 1 or twice").drop("twice"), "run-tokens")
+        F.max("twice").alias("twice")).filter("uses > 1 or twice").drop("twice"))
     parts = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # kinds of runs that are sorted: those of tokens with a run that does not repeat whole
     sorted_kinds = tokens.filter("single > 0").agg(F.sum("kinds")).first()[0] or 0
     limit = max(hot_runs, 2 * sorted_kinds // parts) if hot_runs else 0
-    shared = stage(join_hot_split(kinds.drop("twice"), tokens, "token", "kinds", kinds.count())
-                   .select(*key, "copies", (F.col("kinds") > limit).alias("hot")), "run-shared")
-    state = stage(join_hot_split(runs.drop("twice"), shared, key, "copies", runs.count()), "run-state")
+    shared = run.stage(join_hot_split(kinds.drop("twice"), tokens, "token", "kinds", kinds.count())
+                       .select(*key, "copies", (F.col("kinds") > limit).alias("hot")))
+    state = run.stage(join_hot_split(runs.drop("twice"), shared, key, "copies", runs.count()))
+    run.drop(runs, kinds, shared)
     whole = state.filter("copies > 1").select("_id", "_rk", F.col("first").alias("s"),
                                               (F.col("first") + F.col("n") - 1 + length).alias("e"))
     # a run that repeats as a whole still stands for its token's other runs: one copy is enough
@@ -375,15 +376,18 @@ def repeated_spans(src: DataFrame, length: int, hot_runs: int = HOT_RUNS) -> Dat
     wanted = need.groupBy("_id", "_rk").agg(F.collect_list(F.struct("first", "n", "token", "hot")).alias("runs"))
     wanted = wanted.withColumnsRenamed({"_id": "_wid", "_rk": "_wrk"})
     text = src.join(wanted, src["_id"].eqNullSafe(wanted["_wid"]) & (src["_rk"] == wanted["_wrk"]))
-    segments = stage(text.select("_id", "_rk", "bytes", "runs").mapInArrow(_segments(length), T.StructType([
+    segments = run.stage(text.select("_id", "_rk", "bytes", "runs").mapInArrow(_segments(length), T.StructType([
         T.StructField("_id", id_type), T.StructField("_rk", T.LongType()), T.StructField("token", T.LongType()),
         T.StructField("hot", T.BooleanType()), T.StructField("first", T.LongType()),
-        T.StructField("bytes", T.BinaryType())])), "suffix-segments")
+        T.StructField("bytes", T.BinaryType())])))
     span_type = T.StructType([T.StructField("_id", id_type), T.StructField("_rk", T.LongType()),
                               T.StructField("s", T.LongType()), T.StructField("e", T.LongType())])
     cold = (segments.filter("not hot").drop("hot").repartitionByRange(parts, "token")
             .sortWithinPartitions("token").mapInArrow(_sort_bucket(length), span_type))
-    return whole.unionByName(cold).unionByName(_hot_spans(segments, length, id_type))
+    # the spans are small beside what they were found in, which goes
+    found = run.stage(whole.unionByName(cold).unionByName(_hot_spans(run, segments, length, id_type)))
+    run.drop_all_but(found)
+    return found
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
