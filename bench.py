@@ -16,7 +16,9 @@ from textloom.session import get_spark  # noqa: E402
 
 HEADLINE = ["dedup_status", "dedup_report", "paragraph_dedup", "clean_wikitext_injected",
             "pretoken_counts", "token_audit", "pack_blocks", "seeded_shuffle_split",
-            "stanzas", "poem_html_clean", "prompt_assembly", "bpe_merges"]
+            "stanzas", "poem_html_clean", "prompt_assembly", "bpe_merges",
+            # the same jobs over the published vocabulary
+            "token_audit_bpe", "pack_blocks_bpe"]
 
 
 def main():
