@@ -73,11 +73,12 @@ BYTE_IDS = byte_ids()
 def pretokens(text: Column) -> Column:
     """Pre-tokens of NFC(text) with the special token split out first:
     array<string>; the special token appears as itself."""
+    found = F.regexp_extract_all(text, F.lit(PRETOKEN_PATTERN), 0)
     pieces = F.split(text, SPECIAL_REGEX, -1)
     per_piece = F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(PRETOKEN_PATTERN), 0))
     with_special = F.transform(per_piece, lambda ws, i: F.when(i == 0, ws).otherwise(
         F.concat(F.array(F.lit(SPECIAL)), ws)))
-    return F.flatten(with_special)
+    return F.when(text.contains(SPECIAL), F.flatten(with_special)).otherwise(found)
 
 
 def pretoken_counts(df: DataFrame, text: str = "text", group: tuple = ()) -> DataFrame:
@@ -355,10 +356,12 @@ def vocab(spark: SparkSession, merges: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- T4
-#: Encoded pre-tokens kept per worker; when full, the older half stays (frequent ones are met first).
-CACHE = 200_000
+#: Encoded pre-tokens, and lengths of pre-tokens, kept per worker; when full, the older half
+#: stays (frequent ones are met first).
+CACHE, LENGTHS = 200_000, 600_000
 #: Pre-tokens of more bytes are merged with a heap.
 SHORT = 48
+ID_BITS, NONE = 24, 1 << 62
 #: Documents encoded at a time.
 ROWS = 256
 
@@ -370,12 +373,35 @@ class WordEncoder:
 
     def __init__(self, merge_rows: list[tuple]):
         self.ranks = {(a, b): (rank, new) for rank, a, b, new in merge_rows}
+        self.packed = {a << ID_BITS | b: rank << ID_BITS | new for rank, a, b, new in merge_rows}
         self.cache: dict[str, list[int]] = {}
+        self.lengths: dict[str, int] = {}
+
+    def encode(self, word: str) -> list[int]:
+        return [0] if word == SPECIAL else self.merge([BYTE_IDS[b] for b in word.encode("utf-8")])
+
+    def sizes(self, words: list[str]) -> np.ndarray:
+        """Tokens of each of some different words."""
+        for w in set(words).difference(self.lengths):
+            self.lengths[w] = len(self.encode(w))
+        n = np.fromiter(map(self.lengths.__getitem__, words), np.int64, len(words))
+        if len(self.lengths) > LENGTHS:
+            self.lengths = dict(islice(self.lengths.items(), LENGTHS // 2))
+        return n
+
+    def totals(self, column: pa.Array) -> np.ndarray:
+        """Tokens of each list of words: only the different words of a batch become
+        Python strings."""
+        coded = column.flatten().dictionary_encode()
+        each = self.sizes(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        ends = np.cumsum(np.asarray(column.value_lengths().fill_null(0)))
+        upto = np.concatenate([[0], np.cumsum(each)])
+        return upto[ends] - upto[np.concatenate([[0], ends[:-1]])] if len(ends) else ends
 
     def __call__(self, word: str) -> list[int]:
         ids = self.cache.get(word)
         if ids is None:
-            ids = [0] if word == SPECIAL else self.merge([BYTE_IDS[b] for b in word.encode("utf-8")])
+            ids = self.encode(word)
             if len(self.cache) >= CACHE:
                 self.cache = dict(islice(self.cache.items(), CACHE // 2))
             self.cache[word] = ids
@@ -385,19 +411,20 @@ class WordEncoder:
         return self.scan(ids) if len(ids) <= SHORT else self.heap(ids)
 
     def scan(self, ids: list[int]) -> list[int]:
-        get, none = self.ranks.get, (1 << 60, 0)
-        found = [get(p, none) for p in zip(ids, ids[1:], strict=False)]
+        # pairs and (rank, new id) as one number each: least rank, then leftmost
+        get, bits = self.packed.get, ID_BITS
+        found = [get(a << bits | b, NONE) for a, b in zip(ids, ids[1:], strict=False)]
         while found:
             best = min(found)
-            if best is none:
+            if best == NONE:
                 break
             i = found.index(best)
-            ids[i:i + 2] = [best[1]]
+            ids[i:i + 2] = [best & (1 << bits) - 1]
             del found[i]
             if i:
-                found[i - 1] = get((ids[i - 1], ids[i]), none)
+                found[i - 1] = get(ids[i - 1] << bits | ids[i], NONE)
             if i < len(found):
-                found[i] = get((ids[i], ids[i + 1]), none)
+                found[i] = get(ids[i] << bits | ids[i + 1], NONE)
         return ids
 
     def heap(self, ids: list[int]) -> list[int]:
@@ -489,7 +516,7 @@ def token_lengths(df: DataFrame, merges: DataFrame, key: list[str], text: str =
     def run(batches):
         enc = encoder()
         for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
-            n = [sum(len(enc(w)) for w in words or ()) + count_eos for words in b.column("_words").to_pylist()]
+            n = enc.totals(b.column("_words")) + int(count_eos)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], [*b.schema.names[:-1], "tokens"])
 
     return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField("tokens", T.LongType())]))

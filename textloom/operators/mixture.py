@@ -14,7 +14,7 @@ from .order import shuffle_key, with_global_index
 def with_weight(df: DataFrame, registry: DataFrame, default: int = 1) -> DataFrame:
     """Source -> weight from the (broadcast) registry, default 1."""
     w = registry.select("source", F.col("weight").alias("_w"))
-    return (df.join(w, "source", "left")
+    return (df.join(F.broadcast(w), "source", "left")
             .withColumn("weight", F.coalesce("_w", F.lit(default)).cast("int")).drop("_w"))
 
 

@@ -91,9 +91,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``documents`` table as a corpus: order = doc_id."""
+    """The driver's ``documents`` table as a corpus: order = doc_id.  Rows of sources that
+    the registry lists; the registry is a short list, so the texts stay where they are."""
     reg = fixture_registry(spark).select("source", "source_rank")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     docs = spread(docs).select("source", F.col("doc_id").cast("long").alias("pos"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return docs.join(reg, "source")
+    return docs.join(F.broadcast(reg), "source")
