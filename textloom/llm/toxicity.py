@@ -41,8 +41,8 @@ class Config:
     ngrams: int = 1 << 16   #: hashed character n-grams
     passes: int = 4         #: over the sample, at least
     steps: int = 300        #: batches, at least (a small sample is passed more often)
-    patience: int = 3       #: passes without a better validation loss before the end
-    most: int = 1500        #: batches, at most
+    patience: int = 1       #: passes without a better validation loss before the end
+    most: int = 600         #: batches, at most
     validate: int = 5       #: one row in so many does not train (none in samples of fewer than so many of a class)
     batch: int = 64
     rate: float = 0.01
