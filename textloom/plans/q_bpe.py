@@ -96,7 +96,8 @@ tc AS (SELECT source, sum({_DOC_TOKENS_SQL})::BIGINT AS tokens
 
 @register("token_counts", _TOKENS_SQL + "\nSELECT source, tokens FROM tc")
 def token_counts(spark, sf_dir):
-    """BPE tokens of the deduplicated documents per source."""
+    """Tokens of the deduplicated documents per source under four merges: the form that SQL
+    can follow; ``token_counts_bpe`` has the whole vocabulary."""
     return B.token_counts(_kept(spark, sf_dir), _few_merges(spark), ["source"])
 
 
@@ -123,6 +124,8 @@ FROM per, tot)"""
 
 @register("token_audit", _AUDIT_SQL + " SELECT * FROM audit")
 def token_audit(spark, sf_dir):
+    """The audit of ``token_counts``: the form that SQL can follow; ``token_audit_bpe`` has the
+    whole vocabulary."""
     counts = B.token_counts(_kept(spark, sf_dir), _few_merges(spark), ["source"])
     return A.token_audit(counts, fixture_registry(spark))
 
@@ -150,7 +153,7 @@ UNION ALL (SELECT u._o, u.line FROM (SELECT unnest([
       ELSE 'Gap: ' || {_N('-budget_gap_or_surplus')} || ' tokens below budget' END}}]) AS u
   FROM (SELECT * FROM audit LIMIT 1)))""")
 def audit_summary(spark, sf_dir):
-    """A5, token-audit lines."""
+    """A5, token-audit lines of ``token_audit`` (the form that SQL can follow)."""
     return _summary(spark, token_audit(spark, sf_dir))
 
 

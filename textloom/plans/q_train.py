@@ -153,6 +153,8 @@ FROM p"""
 
 @register("mask_labels", _mask_sql())
 def mask_labels(spark, sf_dir):
+    """Samples of code points: the form that SQL can follow; ``mask_labels_bpe`` has the
+    tokenizer's ids."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     prefix_ids = F.array(*[F.lit(ord(ch)) for ch in POEM_PREFIX])
     ids = F.concat(prefix_ids, P.append_eos(P.code_point_ids("text"), EOS_ID))
@@ -192,6 +194,8 @@ SELECT split, count(*)::BIGINT AS samples, sum(least(n_tok, {MAX_LEN}))::BIGINT
          AS tokens_all_epochs
 FROM s GROUP BY split""")
 def stage2_token_stats(spark, sf_dir):
+    """Code points per split: the form that SQL can follow; ``stage2_token_stats_bpe`` counts
+    the tokenizer's ids."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     c = c.withColumn("n_tok", F.lit(len(POEM_PREFIX)) + F.length(nfc("text")) + F.lit(1))
     s = M.split_exact(c, 0.1, SEED, ["conv_id", "turn"])
@@ -260,6 +264,8 @@ SELECT source, sum(length(nfc_normalize(coalesce(text, ''))) + 1)::BIGINT AS tok
        {8 * 16 * 2 * 1024}::BIGINT AS tokens_per_step
 FROM documents GROUP BY source""")
 def step_budget(spark, sf_dir):
+    """Steps by code points: the form that SQL can follow; ``step_budget_bpe`` counts the
+    tokenizer's ids."""
     d = table(spark, sf_dir, "documents")
     return _steps(d.groupBy("source").agg(F.sum(F.length(nfc("text")) + 1).cast("long").alias("tokens")))
 
@@ -441,7 +447,8 @@ FROM b GROUP BY split"""
 def train_blocks(spark, sf_dir):
     """Stage-1 training-set build: weighted mixture -> seeded exact split ->
     tokenise (code points + EOS) -> pack each split into 1024-token blocks ->
-    blocks per split (A8)."""
+    blocks per split (A8).  The form that SQL can follow; ``train_blocks_bpe`` has the
+    tokenizer's ids."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     s = _mixture(spark, d).join(d.select("doc_id", "text"), "doc_id")
     return _split_blocks(s.withColumn("ids", P.append_eos(P.code_point_ids("text"), EOS_ID)))
