@@ -38,6 +38,32 @@ def _java_cp(c: int) -> str:
 WS = "".join(_java_cp(c) for c in WS_CODEPOINTS)
 
 
+def java_class(codepoints) -> str:
+    """Body of a Java character class.  Java asks every range of a class in turn, Latin-1's
+    bit table last, so ranges that lie close together stand behind one range around them."""
+    points = sorted(set(codepoints))
+    runs: list[list[list[int]]] = []
+    for c in points:
+        if c < 0x100:
+            continue
+        if runs and c == runs[-1][-1][1] + 1:
+            runs[-1][-1][1] = c
+        elif runs and c - runs[-1][-1][1] < 0x400:
+            runs[-1].append([c, c])
+        else:
+            runs.append([[c, c]])
+
+    def spell(near):
+        return "".join(_java_cp(a) if a == b else f"{_java_cp(a)}-{_java_cp(b)}" for a, b in near)
+
+    return "".join(_java_cp(c) for c in points if c < 0x100) + "".join(
+        spell(near) if len(near) == 1 else f"[{_java_cp(near[0][0])}-{_java_cp(near[-1][1])}&&[{spell(near)}]]" for near in runs)
+
+
+#: The class ``WS`` for Java alone.
+JAVA_WS = java_class(WS_CODEPOINTS)
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -95,8 +121,11 @@ def may_need_nfc(col) -> Column:
     """JVM check: the text holds a character that NFC may change or move.  False for
     ASCII, and for precomposed text of nearly all scripts."""
     c = _c(col)
-    safe = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in nfc_safe_ranges())
-    return ~is_ascii(c) & c.rlike(f"[^{safe}]")
+    # Java asks all ranges of a class; Latin, and the block of its precomposed letters, first
+    safe = [f"{_java_cp(a)}-{_java_cp(b)}" for a, b in nfc_safe_ranges()]
+    first = [r for r, (a, b) in zip(safe, nfc_safe_ranges(), strict=True) if a <= 0x41 <= b or a <= 0x1EA1 <= b]
+    rest = "".join(r for r in safe if r not in first)
+    return ~is_ascii(c) & c.rlike("[" + "&&".join(f"[^{r}]" for r in [*first, rest]) + "]")
 
 
 @F.arrow_udf(T.StringType())

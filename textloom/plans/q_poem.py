@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import poem as PF
-from ..functions.text import WS
+from ..functions.text import JAVA_WS, WS
 from ..operators import incremental as I
 from ..operators import poem as PO
 from ..sources import formats as S
@@ -104,20 +104,15 @@ def content_pages(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- stanzas
+_WORDS_5, _LINES_4 = " ".join(["[^ ]++"] * 5), "\n".join(["[^\n]++"] * 4)
+
+
 def _stanza_content(d):
     """Re-flow each document into 5-word lines and 4-line stanzas separated by
-    a blank line that holds a space (staged columns keep the plan small)."""
-    d = d.withColumn("_w", F.filter(F.split(F.regexp_replace("text", f"[{WS}]+", " "), " "),
-                                    lambda w: w != ""))
-    nw = F.size("_w")
-    d = d.withColumn("_l", F.when(nw == 0, F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.ceil(nw / 5).cast("int") - 1),
-                    lambda i: F.array_join(F.slice("_w", i * 5 + 1, 5), " "))))
-    nl = F.size("_l")
-    d = d.withColumn("_s", F.when(nl == 0, F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.ceil(nl / 4).cast("int") - 1),
-                    lambda j: F.array_join(F.slice("_l", j * 4 + 1, 4), "\n"))))
-    return d.select("doc_id", F.array_join("_s", "\n \n").alias("content"))
+    a blank line that holds a space: one walk per step, from match to match."""
+    words = F.btrim(F.regexp_replace("text", f"[{JAVA_WS}]+", " "), F.lit(" "))
+    lines = F.regexp_replace(words, f"\\G({_WORDS_5}) ", "$1\n")
+    return d.select("doc_id", F.regexp_replace(lines, f"\\G({_LINES_4})\n", "$1\n \n").alias("content"))
 
 
 def _stanza_sql():
