@@ -55,3 +55,25 @@ def test_merges_and_encoding_match(spark, k):
     assert got == want
     rt = B.roundtrip_errors(pdf, merges, ["doc_id"]).collect()[0]
     assert rt.errors == 0
+
+
+def test_lists_of_words_and_ids(spark):
+    """Documents are put together from their different words and ids: empty and null lists,
+    unknown ids and broken UTF-8 included."""
+    import pyarrow as pa
+    merges = spark.createDataFrame([(0, B.BYTE_IDS[97], B.BYTE_IDS[98], 257), (1, 257, B.BYTE_IDS[99], 258)],
+                                   "rank int, left int, right int, id int")
+    enc = B.WordEncoder([tuple(r) for r in merges.collect()])
+    words = [["abc", " ab", "abc"], [], None, [B.SPECIAL, "é"], ["c"] * 3]
+    column = pa.array([["dropped"], *words], pa.list_(pa.string())).slice(1)
+    assert enc.lists(column).to_pylist() == [[i for w in x or () for i in enc(w)] for x in words]
+    assert enc.lists(pa.array([[], None], pa.list_(pa.string()))).to_pylist() == [[], []]
+    half = B.BYTE_IDS[0xC3]
+    ids = [[258, 257], [], None, [half, 258], [half], [B.BYTE_IDS[0xA9]], [999, -3, None, 0, 258], [half, B.BYTE_IDS[0xA9]]]
+    for kind, rows in (("int", ids), ("long", ids), ("int", [None, []])):
+        df = spark.createDataFrame(list(enumerate(rows)), f"k long, ids array<{kind}>").coalesce(1)
+        for skip in (False, True):
+            piece = {r.id: b"" if skip and not r.id else bytes.fromhex(r.hex) for r in B.vocab(spark, merges).collect()}
+            got = B.decode(df, B.vocab(spark, merges), "ids", ["k"], skip).collect()
+            assert dict(map(tuple, got)) == {k: b"".join(piece.get(i, b"") for i in x or ()).decode("utf-8", "replace")
+                                             for k, x in enumerate(rows)}

@@ -180,7 +180,7 @@ def test_java_classes(spark):
     """Classes with nested ranges hold the same code points as plain ones."""
     points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
     df = spark.createDataFrame([(c, chr(c)) for c in points if c < 0x3100 or c % 97 == 0], "id int, c string")
-    for body, chars in ((JAVA_WS, WS_CHARS), (PF._GAP, WS_CHARS.replace("\n", "")), (PF._TAIL, PF.TRAILING_PUNCT.replace("\\", "")),
+    for body, chars in ((JAVA_WS, WS_CHARS), (PF._TAIL, PF.TRAILING_PUNCT.replace("\\", "")),
                         (PF._PART, " " + PF.WORD_PUNCT.replace("\\", ""))):
         assert {r.id for r in df.filter(df.c.rlike(f"[{body}]")).collect()} == set(map(ord, chars))
         assert df.filter(df.c.rlike(f"[^\\n{body}]")).count() == df.count() - len({*chars, "\n"})
@@ -189,6 +189,14 @@ def test_java_classes(spark):
         r.id for r in df.collect() if r.id > 127 and not any(a <= r.id <= b for a, b in safe)}
 
 
+def test_blocks_parsed_once(spark):
+    """A filter on the blocks is not moved below them, which would parse every page twice."""
+    df = spark.createDataFrame([(1, '<div class="poem-content">x</div>'), (2, "none"), (3, None)], "k int, html string")
+    found = df.withColumn("_b", PF.extract_blocks("html")).filter(F.col("_b.content").isNotNull())
+    assert found._jdf.queryExecution().sparkPlan().toString().count("ArrowEvalPython [") == 1
+    assert [tuple(r) for r in found.select("k", "_b.content").collect()] == [(1, '<div class="poem-content">x</div>')]
+
+
 def test_blocks_some_pages_at_a_time(spark, monkeypatch):
     pages = [None if i % 7 == 0 else f'<div class="small"> s{i} </div><div class="poem-content">p{i}<br>' + "</div>" * (i % 3 > 0)
              for i in range(PF.PAGES * 2 + 5)]

@@ -88,6 +88,14 @@ def is_ascii(col) -> Column:
     return F.octet_length(c) == F.length(c)
 
 
+def collapse(col, codepoints, ascii_only) -> Column:
+    """Runs of ``codepoints`` become one space.  Where ``ascii_only`` holds, no character
+    beyond ASCII is asked for: Java would try each such range first."""
+    few = java_class(c for c in codepoints if c < 0x80)
+    return F.regexp_replace(_c(col), F.when(ascii_only, F.lit(f"[{few}]+")).otherwise(F.lit(f"[{java_class(codepoints)}]+")),
+                            F.lit(" "))
+
+
 # --------------------------------------------------------------------------- NFC
 #: Ranges of code points that the JVM check lets pass: the longest ones below and above U+FFFF.
 NFC_RANGES = (32, 2)

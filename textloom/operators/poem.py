@@ -43,7 +43,7 @@ def extract_stanzas(df: DataFrame, content: str = "content", n_lines: int = PF.L
     nor the mark between stanzas compose, so this equals NFC per line)."""
     docs = df.withColumn("_pre", PF.clean_stanzas(content)).withColumn("_t", nfc("_pre")).drop("_pre")
     st = docs.select(*df.columns, F.posexplode(F.split("_t", PF.STANZA_MARK, -1)).alias("stanza_idx", "stanza"))
-    return st.filter(F.col("stanza").rlike(PF.stanza_pattern(n_lines, n_words)))
+    return st.filter(PF.is_clean_stanza("stanza", n_lines, n_words))
 
 
 def distinct_first(df: DataFrame, col: str, order: list[str]) -> DataFrame:

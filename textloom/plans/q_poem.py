@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import poem as PF
-from ..functions.text import JAVA_WS, WS
+from ..functions.text import WS, WS_CODEPOINTS, collapse, is_ascii
 from ..operators import incremental as I
 from ..operators import poem as PO
 from ..sources import formats as S
@@ -110,7 +110,7 @@ _WORDS_5, _LINES_4 = " ".join(["[^ ]++"] * 5), "\n".join(["[^\n]++"] * 4)
 def _stanza_content(d):
     """Re-flow each document into 5-word lines and 4-line stanzas separated by
     a blank line that holds a space: one walk per step, from match to match."""
-    words = F.btrim(F.regexp_replace("text", f"[{JAVA_WS}]+", " "), F.lit(" "))
+    words = F.btrim(collapse("text", WS_CODEPOINTS, is_ascii("text")), F.lit(" "))
     lines = F.regexp_replace(words, f"\\G({_WORDS_5}) ", "$1\n")
     return d.select("doc_id", F.regexp_replace(lines, f"\\G({_LINES_4})\n", "$1\n \n").alias("content"))
 
