@@ -97,3 +97,23 @@ def test_scan_and_heap_agree():
     for _ in range(300):
         ids = [rnd.choice([1, 2, 3]) for _ in range(rnd.randint(1, 30))]
         assert enc.scan(list(ids)) == enc.heap(list(ids))
+
+
+def test_words_merged_together_agree_with_one_by_one():
+    """Words of all widths, many at a time: the ids that each has by itself; long words and
+    the special token too, and no merges at all."""
+    import numpy as np
+    rnd = random.Random(3)
+    a, b, c = (B.BYTE_IDS[ord(x)] for x in "abc")
+    rows = [(0, a, b, 257), (1, 257, a, 258), (2, b, b, 259), (3, 259, a, 260), (4, a, a, 261), (5, 261, 261, 262), (6, 258, c, 263)]
+    words = list(dict.fromkeys("".join(rnd.choice("abcé") for _ in range(rnd.randint(0, 60))) for _ in range(2000)))
+    words += [B.SPECIAL, "a" * B.SHORT, "a" * (B.SHORT + 1)]
+    for merges in (rows, []):
+        enc = B.WordEncoder(merges)
+        want = [[0] if w == B.SPECIAL else enc.heap([B.BYTE_IDS[x] for x in w.encode()]) for w in words]
+        found = {}
+        for at, flat, size in enc.encode_all(words):
+            ends = np.cumsum(size)
+            found.update((i, flat[e - n:e].tolist()) for i, e, n in zip(at.tolist(), ends.tolist(), size.tolist(), strict=True))
+        assert [found[i] for i in range(len(words))] == want
+        assert enc.sizes(words).tolist() == list(map(len, want)) and [enc(w) for w in words] == want

@@ -57,6 +57,13 @@ def test_token_audit_counts_the_vocabulary(spark, folder, encode):
     assert f"Unique tokens after dedup: {total:,}" in lines
 
 
+def test_summary_reads_the_audit_once(spark, folder):
+    """The lines of one audit encode the texts once, not again for the run-wide lines."""
+    df = QUERIES["audit_summary_bpe"](spark, folder)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sum(r.line.startswith("Unique tokens") for r in df.collect()) == 1 and df.count() == 5 + len({10, 11})
+
+
 def test_packing_and_budget_use_the_vocabulary(spark, folder, encode):
     from model import pack_model
     from textloom.plans.q_train import BATCH_DOCS, BLOCK, SHARDS

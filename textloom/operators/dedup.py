@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WS_CHARS, doc_hash, nfc, ustrip
@@ -267,7 +267,8 @@ def summary(report: DataFrame, totals: DataFrame) -> DataFrame:
 def audit_summary(audit: DataFrame, order: Column, first: int = (1 << 30) + 1) -> DataFrame:
     """A5, second part: the lines of a token audit (``operators.audit.token_audit``,
     one row per source): run-wide counts, one line per source in ``order``, then
-    the surplus or gap.  ``_o`` continues that of ``summary`` from ``first``."""
+    the surplus or gap.  ``_o`` continues that of ``summary`` from ``first``.  The audit is
+    read once: one of its rows, which all have the run-wide columns, gives their lines too."""
     def n(c):
         return F.format_number(c, 0)
 
@@ -281,9 +282,10 @@ def audit_summary(audit: DataFrame, order: Column, first: int = (1 << 30) + 1) -
            .otherwise(F.concat(F.lit("Gap: "), n(-gap), F.lit(" tokens below budget")))]
 
     def lines(columns, begin):
-        at = F.array(*[F.struct((F.lit(begin + i)).cast("int").alias("_o"), c.alias("line")) for i, c in enumerate(columns)])
-        return audit.limit(1).select(F.explode(at).alias("x")).select("x._o", "x.line")  # run-wide columns
+        return [F.struct((F.lit(begin + i)).cast("int").alias("_o"), c.alias("line")) for i, c in enumerate(columns)]
 
-    per = audit.select((F.lit(first + len(run)) + order).cast("int").alias("_o"), F.format_string(
+    per = F.struct((F.lit(first + len(run)) + order).cast("int").alias("_o"), F.format_string(
         "%s %s  x%d  = %s", "source", n("tokens"), "weight", n("weighted_tokens")).alias("line"))
-    return lines(run, first).unionByName(per).unionByName(lines(end, first + (1 << 20)))
+    one = F.row_number().over(Window.orderBy("source")) == 1  # a row per source: few
+    at = F.when(F.col("_one"), F.array(*lines(run, first), per, *lines(end, first + (1 << 20)))).otherwise(F.array(per))
+    return audit.withColumn("_one", one).select(F.explode(at).alias("x")).select("x._o", "x.line")
