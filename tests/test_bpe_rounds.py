@@ -117,3 +117,28 @@ def test_words_merged_together_agree_with_one_by_one():
             found.update((i, flat[e - n:e].tolist()) for i, e, n in zip(at.tolist(), ends.tolist(), size.tolist(), strict=True))
         assert [found[i] for i in range(len(words))] == want
         assert enc.sizes(words).tolist() == list(map(len, want)) and [enc(w) for w in words] == want
+
+
+def test_packed_words_carry_their_pair_counts(spark):
+    """Words packed four bytes a symbol: the same symbols as ``byte_words``, and beside them the
+    pair counts, first in full and then what a rewrite changes."""
+    texts = [*_texts(4), f"a{B.SPECIAL}b", "", "x", "é"]
+    counts = B.pretoken_counts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    words = B.byte_words(counts)
+    rows = lambda df: sorted(map(tuple, df.select("left", "right", "cnt").collect()))
+    start = counts.filter("word != '<|endoftext|>' and octet_length(word) > 1").select("word", "n")
+    packed = start.mapInArrow(B._pack_words, B._PACKED)
+    plain = sorted((list(r.symbols), r.n) for r in words.collect())
+
+    def unpacked(df):
+        return sorted((list(memoryview(r.symbols).cast("i")), r.n) for r in df.filter("symbols is not null").collect())
+
+    assert unpacked(packed) == plain
+    pairs = B.update_pair_counts(spark.createDataFrame([], "left int, right int, cnt long"), B._packed_delta(packed))
+    assert rows(pairs) == rows(B.pair_counts(words))
+    left, right, _ = max(rows(pairs), key=lambda r: r[2])
+    one = B._merge_one(left, right, 257)
+    moved = packed.filter("symbols is not null").select("symbols", "n").mapInArrow(B._packed(one), B._PACKED)
+    want = words.mapInArrow(one, "symbols array<int>, n long, old array<int>")
+    assert unpacked(moved) == sorted((list(r.symbols), r.n) for r in want.collect())
+    assert rows(B.update_pair_counts(pairs, B._packed_delta(moved))) == rows(B.pair_counts(want))
