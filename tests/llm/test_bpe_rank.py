@@ -1,10 +1,12 @@
 import random
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from textloom.llm import rank_bpe
-from textloom.llm.tokens import library_encoder
+from textloom.llm import rank_bpe, tokens
+from textloom.llm.tokens import ChunkEncoder, library_encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 CASES = ["a.\nB, c.\n\nd. e\n f.", "x.\ny.\nz,", "½. ²., a.. b., 3,4, .", "a\n.b \n, c.\n", "one.\n", "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\n\nb c", "Hello, world! It's fine.",
@@ -52,3 +54,36 @@ def test_invalid_bytes_are_replaced():
     bpe = rank_bpe.load(PATH)
     half = bpe.encode("漢")[:1]
     assert bpe.decode(half) == Tokenizer.from_file(PATH).decode(half.tolist(), skip_special_tokens=False)
+
+
+def test_batches_equal_the_library(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 40)  # the cache is cut between batches
+    tok, rnd = Tokenizer.from_file(PATH), random.Random(8)
+    enc, bpe = library_encoder.__wrapped__(PATH), rank_bpe.load(PATH)
+    long = "y" * 70
+    texts = _texts() + [f"a {long}. {long} {long}.", f"b {long}", "end.\"''s it.'s x') y!?'t", "one two.\n\nthree  four. ",
+                        "Æon ɓy Ǎx, ɓy.", "a \u0085", "tab \t", " lead", "x ''' '.", "². ½) (a) [b]"]
+    assert enc.batch([]) == []
+    for size in (1, 3, 50, len(texts)):
+        rnd.shuffle(texts)
+        for at in range(0, len(texts), size):
+            some = texts[at:at + size]
+            want = [tok.encode(t, add_special_tokens=False).ids for t in some]
+            assert [x.tolist() for x in enc.batch(some)] == want
+            assert [x.tolist() for x in bpe.encoder.batch(some)] == want
+
+
+def test_words_go_to_the_model_together_and_tails_alone():
+    calls = []
+
+    def encode(strings):
+        calls.append(list(strings))
+        return [np.frombuffer(s.encode(), np.uint8).astype("<u2").tobytes() for s in strings]
+
+    enc = ChunkEncoder(encode, "<u2", [], encode_words=encode)
+    words = ["".join(chr(97 + i // k % 26) for k in (1, 26, 676)) for i in range(1000)]
+    texts = ["x " + " ".join(w + tail for w in words) for tail in ("", ".", "###", ").")]
+    assert [bytes(x.astype(np.uint8)).decode() for x in enc.batch(texts)] == texts
+    assert len(calls) < 10  # not one a word
+    sent = list(chain(*calls))
+    assert sum(w in s for s in sent for w in words[::50]) == len(words[::50])  # no word again for its tail
